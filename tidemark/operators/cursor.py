@@ -23,16 +23,19 @@ def scan_since(df: DataFrame, cursor: str, high_water_mark=None, start=None) ->
     bound = start if high_water_mark is None or high_water_mark == "" else high_water_mark
     if bound is None or bound == "":
         return df
-    return df.where(F.col(cursor) >= _literal(bound))
+    return df.where(F.col(cursor) >= _bound(df, cursor, bound))
 
 
 def read_between(df: DataFrame, cursor: str, start, end) -> DataFrame:
     """Rows in `(start, end]`: the same rows every time a range is read again."""
-    return df.where((F.col(cursor) > _literal(start)) & (F.col(cursor) <= _literal(end)))
+    low, high = _bound(df, cursor, start), _bound(df, cursor, end)
+    return df.where((F.col(cursor) > low) & (F.col(cursor) <= high))
 
 
-def _literal(value) -> Column:
-    return value if isinstance(value, Column) else F.lit(value)
+def _bound(df: DataFrame, cursor: str, value) -> Column:
+    """Literal of the cursor's own type, so that the column is compared without a cast."""
+    literal = value if isinstance(value, Column) else F.lit(value)
+    return literal.cast(df.schema[cursor].dataType)
 
 
 def high_water_mark(

@@ -59,7 +59,7 @@ def batch_rows(per_page=None, max_pages=None) -> int:
 def keyset_page(df: DataFrame, key: str, after=None, size: int = PAGE_SIZE) -> DataFrame:
     """The page that starts after a key."""
     if after is not None:
-        df = df.where(F.col(key) > F.lit(after))
+        df = df.where(F.col(key) > F.lit(after).cast(df.schema[key].dataType))
     return df.orderBy(key).limit(size)
 
 
