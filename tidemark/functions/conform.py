@@ -85,9 +85,9 @@ def conform(
             value = F.when(problem.isNotNull(), F.raise_error(problem)).otherwise(value)
         elif error is not None and _is_nested(f.dataType):
             value = F.when(error.isNull(), value)
-        values[f.name] = value.cast(f.dataType)
+        values[f.name] = value.cast(relaxed(f.dataType))
     for name in computed:
-        values[name] = F.col(f"__c_{name}").cast(schema[name].dataType)
+        values[name] = F.col(f"__c_{name}").cast(relaxed(schema[name].dataType))
     columns = [values[f.name].alias(f.name) for f in schema.fields]
     if mode == "permissive":
         columns.append(F.array_compact(F.array(*errors)).alias(ERRORS))
@@ -99,6 +99,17 @@ def _steps(paths: Mapping[str, Iterable[str]], name: str) -> tuple[str, ...]:
     return tuple(steps.split(".")) if isinstance(steps, str) else tuple(steps)
 
 
+def relaxed(dtype: T.DataType) -> T.DataType:
+    """The type with every nested value nullable: an explicit null passes even if required."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, relaxed(f.dataType)) for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(relaxed(dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return T.MapType(relaxed(dtype.keyType), relaxed(dtype.valueType))
+    return dtype
+
+
 def _is_nested(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
 
@@ -185,7 +196,7 @@ def _struct(v: Column, dtype: T.StructType, path: str) -> tuple[Column, Column]:
     for f in dtype.fields:
         inner = F.try_variant_get(v, json_path(f.name), "variant")
         value, error = _field(inner, f, path + ".")
-        parts.append(value.cast(f.dataType).alias(f.name))
+        parts.append(value.cast(relaxed(f.dataType)).alias(f.name))
         if error is not None:
             errors.append(error)
     wrong = F.when(_present(v) & ~filled, _message(v, dtype, path))
@@ -202,7 +213,7 @@ def _array(v: Column, dtype: T.ArrayType, path: str) -> tuple[Column, Column]:
     if dtype.containsNull:  # a single value stands for a list of one
         items = F.coalesce(items, F.when(_present(v), F.array(v)))
     each = f"{path}[]"
-    values = F.transform(items, lambda x: _value(x, dtype.elementType, each)[0].cast(dtype.elementType))
+    values = F.transform(items, lambda x: _value(x, dtype.elementType, each)[0].cast(relaxed(dtype.elementType)))
     wrong = F.when(items.isNull() & _present(v), _message(v, dtype, path))
     if isinstance(dtype.elementType, T.StringType):
         return values, wrong
@@ -214,7 +225,7 @@ def _map(v: Column, dtype: T.MapType, path: str) -> tuple[Column, Column]:
     entries = F.try_variant_get(v, "$", "map<string,variant>")
     each = f"{path}{{}}"
     values = F.transform_values(
-        entries, lambda _, x: _value(x, dtype.valueType, each)[0].cast(dtype.valueType)
+        entries, lambda _, x: _value(x, dtype.valueType, each)[0].cast(relaxed(dtype.valueType))
     )
     wrong = F.when(entries.isNull() & _present(v), _message(v, dtype, path))
     errors = [wrong]
@@ -235,7 +246,7 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     have = set(df.columns)
     return df.select(
         *[
-            (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(relaxed(f.dataType)).alias(f.name)
             for f in schema.fields
         ]
     )

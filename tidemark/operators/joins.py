@@ -97,4 +97,4 @@ def rows_present(written: DataFrame, returned: DataFrame, mapping: Mapping[str,
 
 def not_in(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct values of `left` that `right` lacks; empty means left is a subset."""
-    return left.select(*columns).exceptAll(right.select(*columns)).distinct()
+    return left.select(*columns).subtract(right.select(*columns))

@@ -51,7 +51,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def as_payload(df: DataFrame, *keep: str, name: str = "payload") -> DataFrame:
     """Rows as landed JSON records."""
-    return df.select(*keep, F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(name))
+    options = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    return df.select(*keep, F.to_json(F.struct("*"), options).alias(name))
 
 
 def iso(column: str) -> Column:
@@ -438,7 +439,7 @@ def _quoted(c: Column) -> Column:
     "conform_lenient",
     """
 select event_id, cast(trunc(value) as bigint) as whole, value as number,
-       cast(value as decimal(12,2)) as exact,
+       cast(cast(value as decimal(12,2)) as varchar) as exact,
        event_id % 10 < 5 as flag, strftime(ts, '%Y-%m-%d') as day, epoch_us(date_trunc('second', ts)) as at_us
 from events""",
 )
@@ -475,7 +476,7 @@ def conform_lenient(spark, sf):
     )
     rows = conform(table(spark, sf, "events").select(body.alias("payload")), "payload", schema)
     return rows.select(
-        "event_id", "whole", "number", "exact", "flag", F.col("day").cast("string").alias("day"),
+        "event_id", "whole", "number", F.col("exact").cast("string").alias("exact"), "flag", F.col("day").cast("string").alias("day"),
         F.unix_micros("at").alias("at_us"),
     )
 
