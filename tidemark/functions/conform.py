@@ -1,7 +1,7 @@
 """Raw JSON records to typed columns, as one recursive expression builder.
 
-The payload is parsed once into a VARIANT. Each field is then taken out by
-path and converted by the rules of its target type. VARIANT keeps what a typed
+The payload is read once, with every field that has a rule as a VARIANT, and the
+values are converted by the rules of their target types. VARIANT keeps what a typed
 JSON read loses: an absent field (SQL NULL) differs from an explicit null, and
 the kind of a value is known, so a string that looks like a list stays a string.
 """
@@ -9,6 +9,7 @@ the kind of a value is known, so a string that looks like a list stays a string.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,26 +18,21 @@ from pyspark.sql import types as T
 from tidemark.functions import convert
 
 ERRORS = "_errors"
-_RECORD = "__record"
+_RECORD, _BROKEN = "__record", "__broken"
 _SUPPORTED = (
     T.StringType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
     T.DecimalType, T.BooleanType, T.DateType, T.TimestampType,
 )
 
 
-def json_path(*names: str) -> str:
-    """Quoted path, safe for names with dots or dashes."""
-    return "$" + "".join("['" + n.replace("'", "\\'") + "']" for n in names)
-
-
 def conform(
     df: DataFrame,
     payload: str,
     schema: T.StructType,
     *,
     mode: str = "fail",
-    paths: Mapping[str, Iterable[str]] | None = None,
-    computed: Mapping[str, Callable[[Column], Column]] | None = None,
+    paths: Mapping[str, str | Iterable[str]] | None = None,
+    computed: Mapping[str, Callable[[Callable[..., Column]], Column]] | None = None,
     keep: Iterable[str] = (),
 ) -> DataFrame:
     """Typed columns of `schema` from the column `payload`: JSON text or VARIANT.
@@ -45,8 +41,9 @@ def conform(
               `_errors` lists what was wrong in the row.
     paths     field name -> path in the record, for columns flattened out of nested
               objects; the default path is the field name.
-    computed  field name -> expression over the parsed record, for columns that are
-              not a plain field (scope columns, id arrays).
+    computed  field name -> function that gets `field(*steps)`, the VARIANT at a path, and
+              returns the column; for columns that are not a plain field (id arrays), or
+              that are landed beside the payload (scope columns).
     keep      input columns to carry along.
     Fields of the record that the schema does not name are dropped.
     """
@@ -54,51 +51,156 @@ def conform(
         raise ValueError(f"mode must be 'fail' or 'permissive', not {mode!r}")
     paths, computed, keep = dict(paths or {}), dict(computed or {}), list(keep)
     taken = [f for f in schema.fields if f.name not in computed]
+    steps = {f.name: _steps(paths, f.name) for f in taken}
+    for f in taken:
+        _check_supported(f.dataType, f.name)
+
+    record = _Record(payload, is_variant=isinstance(df.schema[payload].dataType, T.VariantType))
+    for f in taken:
+        record.ask(steps[f.name], text=_plain_text(f, steps[f.name]))
+    for fn in computed.values():
+        fn(record.ask)
+    as_text = {f.name for f in taken if record.is_text(steps[f.name])}
+
+    # Separate projections on purpose. Catalyst keeps them apart because each costly
+    # column is used more than once above it, so the JSON is read once, and every
+    # value is converted once.
+    taken_out = [record.field(*steps[f.name]).alias(f"__f{i}") for i, f in enumerate(taken)]
+    derived = [fn(record.field).alias(f"__c_{name}") for name, fn in computed.items()]
+    parsed = record.parse(df)
+    extracted = parsed.select(*keep, record.problem().alias("__bad"), *taken_out, *derived)
+    built = []
+    for i, f in enumerate(taken):
+        if f.name in as_text:
+            built.append(F.col(f"__f{i}").alias(f"__v{i}"))
+            continue
+        field = F.col(f"__f{i}")
+        value = _pair(field, f.dataType, f.name) if _is_nested(f.dataType) else _leaf(field, f.dataType)
+        built.append(value.alias(f"__v{i}"))
+    raw = [f"__f{i}" for i, f in enumerate(taken) if f.name not in as_text]
+    converted = extracted.select(*keep, "__bad", *raw, *[f"__c_{n}" for n in computed], *built)
 
-    # Three projections on purpose. Catalyst keeps them apart because each
-    # expensive column is used more than once above, so the JSON is parsed once
-    # and every field is extracted once.
-    is_variant = isinstance(df.schema[payload].dataType, T.VariantType)
-    parsed = df.withColumn(_RECORD, F.col(payload) if is_variant else F.try_parse_json(F.col(payload)))
-    record = F.col(_RECORD)
-    problem = _variant_error(record) if is_variant else _record_error(F.col(payload), record)
-    slots = {f.name: f"__f{i}" for i, f in enumerate(taken)}
-    extracted = parsed.select(
-        *keep,
-        problem.alias("__bad"),
-        *[
-            F.try_variant_get(record, json_path(*_steps(paths, f.name)), "variant").alias(slots[f.name])
-            for f in taken
-        ],
-        *[fn(record).alias(f"__c_{name}") for name, fn in computed.items()],
-    )
     bad = F.col("__bad")
     values: dict[str, Column] = {}
     errors: list[Column] = [bad]
-    for f in taken:
-        value, error = _field(F.col(slots[f.name]), f)
-        if error is not None:
-            error = F.when(bad.isNull(), error)
-            errors.append(error)
+    for i, f in enumerate(taken):
+        value, field, error = F.col(f"__v{i}"), F.col(f"__f{i}"), None
+        if _is_nested(f.dataType):
+            value, error = F.col(f"__v{i}.value"), F.col(f"__v{i}.error")
+        elif not isinstance(f.dataType, T.StringType):
+            error = F.when(value.isNull() & _present(field), _message(field, f.dataType, f.name))
+        if not f.nullable:
+            missing = F.when(field.isNull(), F.lit(f"required field {f.name} is absent"))
+            error = missing if error is None else F.coalesce(missing, error)
         if mode == "fail":
             problem = bad if error is None else F.coalesce(bad, error)
             value = F.when(problem.isNotNull(), F.raise_error(problem)).otherwise(value)
-        elif error is not None and _is_nested(f.dataType):
-            value = F.when(error.isNull(), value)
-        values[f.name] = value.cast(relaxed(f.dataType))
+        elif error is not None:
+            errors.append(F.when(bad.isNull(), error))
+            if _is_nested(f.dataType):
+                value = F.when(F.col(f"__v{i}.error").isNull(), value)
+        values[f.name] = value
     for name in computed:
         values[name] = F.col(f"__c_{name}").cast(relaxed(schema[name].dataType))
     columns = [values[f.name].alias(f.name) for f in schema.fields]
     if mode == "permissive":
         columns.append(F.array_compact(F.array(*errors)).alias(ERRORS))
-    return extracted.select(*keep, *columns)
+    return converted.select(*keep, *columns)
 
 
-def _steps(paths: Mapping[str, Iterable[str]], name: str) -> tuple[str, ...]:
+def _steps(paths: Mapping, name: str) -> tuple[str, ...]:
     steps = paths.get(name, (name,))
     return tuple(steps.split(".")) if isinstance(steps, str) else tuple(steps)
 
 
+def _plain_text(field: T.StructField, steps: tuple[str, ...]) -> bool:
+    """An optional top-level string: its own text is the value and nothing can be wrong."""
+    return len(steps) == 1 and field.nullable and isinstance(field.dataType, T.StringType)
+
+
+class _Record:
+    """How fields are taken out of a payload column.
+
+    JSON text is read once by `from_json`, and only the fields that are asked for: plain
+    text fields as text, the others as VARIANT, nested ones out of nested structs. A path
+    into a VARIANT is not used, as Spark throws and catches when a step is absent.
+    """
+
+    def __init__(self, payload: str, is_variant: bool):
+        self.payload, self.from_json = payload, not is_variant
+        self.asked: dict[tuple[str, ...], bool] = {}
+
+    def ask(self, *steps, text: bool = False) -> Column:
+        """Note a path (as a tuple or as steps). The result stands in for the field."""
+        path = steps[0] if isinstance(steps[0], tuple) else steps
+        self.asked[path] = text and self.asked.get(path, True)
+        return F.lit(None).cast("variant")
+
+    def _has_inner(self, path: tuple[str, ...]) -> bool:
+        return any(len(p) > len(path) and p[: len(path)] == path for p in self.asked)
+
+    def is_text(self, path: tuple[str, ...]) -> bool:
+        return self.from_json and self.asked[path] and not self._has_inner(path)
+
+    def _whole(self, path: tuple[str, ...]) -> int | None:
+        """Length of the shortest prefix that is itself asked for as a whole."""
+        return next((n for n in range(1, len(path)) if path[:n] in self.asked), None)
+
+    def field(self, *path: str) -> Column:
+        stop = (self._whole(path) or len(path)) if self.from_json else 0
+        column = F.col(_RECORD if self.from_json else self.payload)
+        for name in path[:stop]:
+            column = column.getField(name)
+        for name in path[stop:]:
+            column = member(column, name)
+        return column
+
+    def _schema(self, prefix: tuple[str, ...] = ()) -> T.StructType:
+        out = T.StructType()
+        for name in dict.fromkeys(p[len(prefix)] for p in self.asked if p[: len(prefix)] == prefix and len(p) > len(prefix)):
+            path = (*prefix, name)
+            if path in self.asked:
+                out = out.add(name, T.StringType() if self.is_text(path) else T.VariantType())
+            else:
+                out = out.add(name, self._schema(path))
+        return out
+
+    def parse(self, df: DataFrame) -> DataFrame:
+        if not self.from_json:
+            return df
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+        schema = self._schema().add(_BROKEN, T.StringType())
+        return df.withColumn(_RECORD, F.from_json(F.col(self.payload), schema, options))
+
+    def problem(self) -> Column:
+        """What is wrong with the record as a whole: it must be an object with some field."""
+        if not self.from_json:
+            size = F.size(F.try_variant_get(F.col(self.payload), "$", "map<string,variant>"))
+            return (
+                F.when(F.col(self.payload).isNull(), F.lit("record is missing"))
+                .when(size.isNull() | (size < 0), F.lit("record is not an object"))
+                .when(size == 0, F.lit("record is an empty object"))
+            )
+        text, broken = F.trim(F.col(self.payload)), F.col(_RECORD).getField(_BROKEN)
+        shown = F.substring(text, 1, 200)
+        return (
+            F.when(text.isNull(), F.lit("record is missing"))
+            .when(~text.startswith("{"), F.concat(F.lit("record is not an object: "), shown))
+            .when(broken.isNotNull(), F.concat(F.lit("record does not parse: "), shown))
+            .when(text.rlike(r"^\{\s*\}$"), F.lit("record is an empty object"))
+        )
+
+
+def member(v: Column, name: str) -> Column:
+    """A member of a VARIANT object; NULL when it is absent or `v` is not an object."""
+    shape = T.StructType().add(name, T.VariantType())
+    return F.try_variant_get(v, "$", _ddl(shape)).getField(name)
+
+
+def _ddl(shape: T.StructType) -> str:
+    return "struct<" + ",".join(f"`{f.name.replace('`', '``')}`:variant" for f in shape.fields) + ">"
+
+
 def relaxed(dtype: T.DataType) -> T.DataType:
     """The type with every nested value nullable: an explicit null passes even if required."""
     if isinstance(dtype, T.StructType):
@@ -114,30 +216,17 @@ def _is_nested(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
 
 
-def _record_error(payload: Column, record: Column) -> Column:
-    """A record must be a JSON object with at least one field."""
-    text = F.trim(payload)
-    return (
-        F.when(payload.isNull(), F.lit("record is missing"))
-        .when(record.isNull(), F.concat(F.lit("record is not JSON: "), F.substring(text, 1, 200)))
-        .when(~text.startswith("{"), F.concat(F.lit("record is not an object: "), F.substring(text, 1, 200)))
-        .when(text.rlike(r"^\{\s*\}$"), F.lit("record is an empty object"))
-    )
-
-
-def _variant_error(record: Column) -> Column:
-    size = F.size(F.try_variant_get(record, "$", "map<string,variant>"))
-    return (
-        F.when(record.isNull(), F.lit("record is missing"))
-        .when(size.isNull() | (size < 0), F.lit("record is not an object"))
-        .when(size == 0, F.lit("record is an empty object"))
-    )
-
-
 def _present(v: Column) -> Column:
     return v.isNotNull() & ~F.is_variant_null(v)
 
 
+def _text(v: Column) -> Column:
+    """Text of a value. Numbers and containers are written as JSON, which is cheaper than
+    the cast of a VARIANT number to string."""
+    is_string = F.schema_of_variant(v) == "STRING"
+    return F.when(is_string, F.try_variant_get(v, "$", "string")).when(_present(v), F.to_json(v))
+
+
 def _message(v: Column, dtype: T.DataType, path: str) -> Column:
     return F.concat(
         F.lit("cannot convert '"),
@@ -148,29 +237,21 @@ def _message(v: Column, dtype: T.DataType, path: str) -> Column:
     )
 
 
-def _field(v: Column, field: T.StructField, prefix: str = "") -> tuple[Column, Column | None]:
-    """Value and first error of one struct field; an explicit null always passes."""
-    path = prefix + field.name
-    value, error = _value(v, field.dataType, path)
-    if not field.nullable:
-        missing = F.when(v.isNull(), F.lit(f"required field {path} is absent"))
-        error = missing if error is None else F.coalesce(missing, error)
-    return value, error
+def _leaf(v: Column, dtype: T.DataType) -> Column:
+    return _scalar(_text(v), F.schema_of_variant(v), dtype)
 
 
-def _value(v: Column, dtype: T.DataType, path: str) -> tuple[Column, Column | None]:
+def _check_supported(dtype: T.DataType, path: str) -> None:
     if isinstance(dtype, T.StructType):
-        return _struct(v, dtype, path)
-    if isinstance(dtype, T.ArrayType):
-        return _array(v, dtype, path)
-    if isinstance(dtype, T.MapType):
-        return _map(v, dtype, path)
-    if not isinstance(dtype, _SUPPORTED):
+        for f in dtype.fields:
+            _check_supported(f.dataType, f"{path}.{f.name}")
+    elif isinstance(dtype, T.ArrayType):
+        _check_supported(dtype.elementType, path)
+    elif isinstance(dtype, T.MapType):
+        _check_supported(dtype.keyType, path)
+        _check_supported(dtype.valueType, path)
+    elif not isinstance(dtype, _SUPPORTED):
         raise TypeError(f"unsupported type {dtype.simpleString()} at {path}")
-    value = _scalar(F.try_variant_get(v, "$", "string"), F.schema_of_variant(v), dtype)
-    if isinstance(dtype, T.StringType):
-        return value, None
-    return value, F.when(value.isNull() & _present(v), _message(v, dtype, path))
 
 
 def _scalar(text: Column, kind: Column | None, dtype: T.DataType) -> Column:
@@ -189,56 +270,94 @@ def _scalar(text: Column, kind: Column | None, dtype: T.DataType) -> Column:
     return convert.to_timestamp_lenient(text, kind)
 
 
-def _struct(v: Column, dtype: T.StructType, path: str) -> tuple[Column, Column]:
-    kind = F.schema_of_variant(v)
-    filled = kind.startswith("OBJECT") & (kind != "OBJECT<>")
-    parts, errors = [], []
-    for f in dtype.fields:
-        inner = F.try_variant_get(v, json_path(f.name), "variant")
-        value, error = _field(inner, f, path + ".")
-        parts.append(value.cast(relaxed(f.dataType)).alias(f.name))
-        if error is not None:
-            errors.append(error)
-    wrong = F.when(_present(v) & ~filled, _message(v, dtype, path))
-    inner_error = F.when(filled, F.coalesce(*errors)) if errors else F.lit(None).cast("string")
-    return F.when(filled, F.struct(*parts)), F.coalesce(wrong, inner_error)
+# Nested values are converted to a pair of value and first error, so that each part is
+# worked out once.
+
+
+def _of(value: Column, error: Column) -> Column:
+    return F.struct(value.alias("value"), error.cast("string").alias("error"))
 
 
-def _first(errors: Column) -> Column:
-    return F.get(F.array_compact(errors), F.lit(0))
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, as the item of a one-item array."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _array(v: Column, dtype: T.ArrayType, path: str) -> tuple[Column, Column]:
+def _pair(v: Column, dtype: T.DataType, path: str) -> Column:
+    none = F.lit(None)
+    wrong = _of(none.cast(relaxed(dtype)), _message(v, dtype, path))
+    if isinstance(dtype, T.StructType):
+        done = _struct(v, dtype, path, wrong)
+    elif isinstance(dtype, T.ArrayType):
+        done = _array(v, dtype, path, wrong)
+    elif isinstance(dtype, T.MapType):
+        done = _map(v, dtype, path, wrong)
+    elif isinstance(dtype, T.StringType):
+        done = _of(_text(v), none)
+    else:
+        done = _bind(_leaf(v, dtype), lambda x: F.when(x.isNull(), wrong).otherwise(_of(x, none)))
+    return F.when(_present(v), done).otherwise(_of(none.cast(relaxed(dtype)), none))
+
+
+def _struct(v: Column, dtype: T.StructType, path: str, wrong: Column) -> Column:
+    def member_pair(m: Column, f: T.StructField) -> Column:
+        inner, where = m.getField(f.name), f"{path}.{f.name}"
+        pair = _pair(inner, f.dataType, where)
+        if f.nullable:
+            return pair
+        absent = _of(F.lit(None).cast(relaxed(f.dataType)), F.lit(f"required field {where} is absent"))
+        return F.when(inner.isNull(), absent).otherwise(pair)
+
+    def build(m: Column) -> Column:
+        pairs = F.struct(*[member_pair(m, f).alias(f.name) for f in dtype.fields])
+        return _bind(
+            pairs,
+            lambda p: _of(
+                F.struct(*[p[f.name]["value"].alias(f.name) for f in dtype.fields]),
+                F.coalesce(*[p[f.name]["error"] for f in dtype.fields]),
+            ),
+        )
+
+    def nothing(m: Column) -> Column:
+        return reduce(lambda a, b: a & b, [m.getField(f.name).isNull() for f in dtype.fields])
+
+    # Not an object: the cast gives NULL. An empty object has no member at all.
+    return _bind(
+        F.try_variant_get(v, "$", _ddl(dtype)),
+        lambda m: F.when(m.isNull() | (nothing(m) & (F.to_json(v) == "{}")), wrong).otherwise(build(m)),
+    )
+
+
+def _first_error(pairs: Column) -> Column:
+    return F.get(F.array_compact(F.transform(pairs, lambda p: p["error"])), F.lit(0))
+
+
+def _array(v: Column, dtype: T.ArrayType, path: str, wrong: Column) -> Column:
     items = F.try_variant_get(v, "$", "array<variant>")
     if dtype.containsNull:  # a single value stands for a list of one
-        items = F.coalesce(items, F.when(_present(v), F.array(v)))
-    each = f"{path}[]"
-    values = F.transform(items, lambda x: _value(x, dtype.elementType, each)[0].cast(relaxed(dtype.elementType)))
-    wrong = F.when(items.isNull() & _present(v), _message(v, dtype, path))
-    if isinstance(dtype.elementType, T.StringType):
-        return values, wrong
-    inner = _first(F.transform(items, lambda x: _value(x, dtype.elementType, each)[1]))
-    return values, F.coalesce(wrong, inner)
+        items = F.coalesce(items, F.array(v))
+    pairs = F.transform(items, lambda x: _pair(x, dtype.elementType, f"{path}[]"))
+    values_of = lambda ps: F.transform(ps, lambda p: p["value"])
+    return _bind(
+        pairs, lambda ps: F.when(ps.isNull(), wrong).otherwise(_of(values_of(ps), _first_error(ps)))
+    )
 
 
-def _map(v: Column, dtype: T.MapType, path: str) -> tuple[Column, Column]:
+def _map(v: Column, dtype: T.MapType, path: str, wrong: Column) -> Column:
     entries = F.try_variant_get(v, "$", "map<string,variant>")
-    each = f"{path}{{}}"
-    values = F.transform_values(
-        entries, lambda _, x: _value(x, dtype.valueType, each)[0].cast(relaxed(dtype.valueType))
-    )
-    wrong = F.when(entries.isNull() & _present(v), _message(v, dtype, path))
-    errors = [wrong]
-    if not isinstance(dtype.keyType, T.StringType):
+    pairs = F.transform_values(entries, lambda _, x: _pair(x, dtype.valueType, f"{path}{{}}"))
+
+    def build(ps: Column) -> Column:
+        values = F.transform_values(ps, lambda _, p: p["value"])
+        done = _of(values, _first_error(F.map_values(ps)))
+        if isinstance(dtype.keyType, T.StringType):
+            return done
         key_of = lambda k: _scalar(k, None, dtype.keyType)
-        bad_key = F.exists(F.map_keys(entries), lambda k: key_of(k).isNull())
-        values = F.when(~bad_key, F.transform_keys(values, lambda k, _: key_of(k)))
-        errors.append(F.when(bad_key, _message(v, dtype, path)))
-    if not isinstance(dtype.valueType, T.StringType):
-        errors.append(
-            _first(F.transform(F.map_values(entries), lambda x: _value(x, dtype.valueType, each)[1]))
-        )
-    return values, F.coalesce(*errors)
+        bad_key = F.exists(F.map_keys(ps), lambda k: key_of(k).isNull())
+        keyed = F.transform_keys(values, lambda k, _: key_of(k))
+        return F.when(bad_key, wrong).otherwise(_of(keyed, _first_error(F.map_values(ps))))
+
+    return _bind(pairs, lambda ps: F.when(ps.isNull(), wrong).otherwise(build(ps)))
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -8,6 +8,8 @@ cannot be converted gives NULL; the caller decides whether that is an error.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,26 +46,34 @@ def _bit(text: Column, kind: Column | None) -> Column:
     return F.when(kind == "BOOLEAN", F.when(text == "true", 1).otherwise(0))
 
 
+# A cast that fails is paid for with a Java exception, far dearer than a pattern, so a
+# text is only cast when it looks right.
+_WHOLE = r"^\s*[+-]?\d{1,19}\s*$"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_NOT_FINITE = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
+
+
 def to_long(text: Column | str, kind: Column | None = None, type_name: str = "bigint") -> Column:
     """Whole number; fractions are cut towards zero, booleans become 1 and 0."""
     text = _text(text)
     cut = text.try_cast("decimal(38,18)").try_cast(type_name)
-    return F.coalesce(
-        text.try_cast(type_name),
-        F.when(~_is_string(kind) | text.contains("."), cut),
-        _bit(text, kind).cast(type_name),
+    return (
+        F.when(text.rlike(_WHOLE), text.try_cast(type_name))
+        .when(text.rlike(_NUMBER) & (text.contains(".") | ~_is_string(kind)), cut)
+        .otherwise(_bit(text, kind).cast(type_name))
     )
 
 
 def to_double(text: Column | str, kind: Column | None = None, type_name: str = "double") -> Column:
     """Floating number. Java's `1.5d` / `1.5f` spelling is not accepted."""
     text = _text(text)
-    plain = F.when(~text.rlike("[0-9.][dDfF]\\s*$"), text.try_cast(type_name))
-    return F.coalesce(plain, _bit(text, kind).cast(type_name))
+    number = text.rlike(_NUMBER) | text.rlike(_NOT_FINITE)
+    return F.when(number, text.try_cast(type_name)).otherwise(_bit(text, kind).cast(type_name))
 
 
 def to_decimal(text: Column | str, type_name: str) -> Column:
-    return _text(text).try_cast(type_name)
+    text = _text(text)
+    return F.when(text.rlike(_NUMBER), text.try_cast(type_name))
 
 
 def to_boolean(text: Column | str, kind: Column | None = None) -> Column:
@@ -87,9 +97,11 @@ def to_boolean(text: Column | str, kind: Column | None = None) -> Column:
 def to_date_lenient(text: Column | str, kind: Column | None = None) -> Column:
     """Four patterns in order, then ISO (a timestamp gives its own calendar date)."""
     text = _text(text)
-    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}[T ]"), F.substring(text, 1, 10).try_cast("date"))
-    compact = F.when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd"))
-    parsed = F.coalesce(*[F.try_to_date(text, p) for p in DATE_PATTERNS], iso, compact)
+    parsed = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}[T ]"), F.substring(text, 1, 10).try_cast("date"))
+    for pattern in DATE_PATTERNS:
+        looks = "^" + re.sub("M|d", r"\\d{1,2}", pattern.replace("yyyy", r"\Y{4}")).replace(r"\Y", r"\d") + "$"
+        parsed = parsed.when(text.rlike(looks), F.try_to_date(text, pattern))
+    parsed = parsed.when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd"))
     return F.when(_is_string(kind), parsed)
 
 
@@ -109,10 +121,8 @@ def to_timestamp_lenient(text: Column | str, kind: Column | None = None) -> Colu
         .when(no_seconds, F.concat(text, F.lit(":00Z")))
         .when(text.contains(":"), F.concat(text, F.lit("Z")))
     )
-    parsed = F.coalesce(
-        full.try_cast("timestamp"),
-        F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit(SLASH_TIMESTAMP)),
-    )
+    slash = F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit(SLASH_TIMESTAMP))
+    parsed = F.when(text.rlike(r"^\d{4}/\d{1,2}/\d{1,2} "), slash).otherwise(full.try_cast("timestamp"))
     from_number = F.timestamp_seconds(text.try_cast("double"))
     return F.when(_is_string(kind), parsed).when(_is_number(kind), from_number)
 

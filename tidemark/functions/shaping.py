@@ -63,15 +63,15 @@ def id_array(value: Column | str) -> Column:
     """
     v = _col(value)
     items = F.coalesce(
-        F.try_variant_get(v, "$.results", "array<variant>"),
+        F.try_variant_get(F.try_variant_get(v, "$", "struct<results:variant>").getField("results"), "$", "array<variant>"),
         F.try_variant_get(v, "$", "array<variant>"),
     )
 
     def one(x: Column) -> Column:
-        is_object = F.try_variant_get(x, "$", "map<string,variant>").isNotNull()
-        inner = F.try_variant_get(x, "$.id", "variant")
-        from_object = F.when(inner.isNull(), F.lit("")).otherwise(F.try_variant_get(x, "$.id", "string"))
-        return F.when(is_object, from_object).otherwise(F.try_variant_get(x, "$", "string"))
+        as_object = F.try_variant_get(x, "$", "struct<id:variant>")
+        inner = as_object.getField("id")
+        from_object = F.when(inner.isNull(), F.lit("")).otherwise(F.try_variant_get(inner, "$", "string"))
+        return F.when(as_object.isNotNull(), from_object).otherwise(F.try_variant_get(x, "$", "string"))
 
     return F.coalesce(F.transform(items, one), F.array().cast("array<string>"))
 

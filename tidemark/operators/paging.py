@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.conform import json_path
+from tidemark.functions.conform import member
 from tidemark.operators.ordered import HOT_ROWS, positions
 
 # Rows per page and pages per batch of the paged services.
@@ -24,8 +24,10 @@ def unnest_envelope(
     `key` names the array inside the envelope; None when the body is the array. A
     missing array gives no rows.
     """
-    path = "$" if key is None else json_path(*key.split("."))
-    items = F.try_variant_get(F.try_parse_json(F.col(body)), path, "array<variant>")
+    envelope = F.try_parse_json(F.col(body))
+    for step in key.split(".") if key else ():
+        envelope = member(envelope, step)
+    items = F.try_variant_get(envelope, "$", "array<variant>")
     return pages.select(*keep, F.explode(items).alias("__item")).select(
         *keep, F.to_json("__item").alias(name)
     )

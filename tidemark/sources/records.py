@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.conform import conform, json_path
+from tidemark.functions.conform import conform, member
 from tidemark.functions.shaping import falsy_to_null, id_array, json_text, merge_records
 from tidemark.model import TableDef
 
@@ -20,7 +20,7 @@ def table_rows(
         return lambda _: F.col(column)
 
     def ids(path: str):
-        return lambda record: id_array(F.try_variant_get(record, json_path(*path.split(".")), "variant"))
+        return lambda field: id_array(field(*path.split(".")))
 
     computed = {c: ids(path) for c, path in table.id_arrays.items()}
     # Scope columns are landed beside the record; without them the record must have them.
@@ -40,22 +40,16 @@ def comment_records(
     The fields of the child win over those of the event; the event's own id stays as
     `event_id`. Works on streams.
     """
-    event = F.col("__event")
-    children = F.try_variant_get(event, "$.child_events", "array<variant>")
-    wanted = F.filter(children, lambda c: F.try_variant_get(c, "$.event_type", "string") == event_type)
-    parsed = df.select(*keep, F.try_parse_json(F.col(payload)).alias("__event"))
+    carried = ("id", "ticket_id", "created_at", "updated_at")
+    event_schema = T.StructType()
+    for name in (*carried, "child_events"):
+        event_schema = event_schema.add(name, T.VariantType())
+    event, child = F.col("__event"), F.col("__child")
+    children = F.try_variant_get(event.getField("child_events"), "$", "array<variant>")
+    wanted = F.filter(children, lambda c: F.try_variant_get(member(c, "event_type"), "$", "string") == event_type)
+    parsed = df.select(*keep, F.from_json(F.col(payload), event_schema).alias("__event"))
     exploded = parsed.select(*keep, "__event", F.explode(wanted).alias("__child"))
-    carried = {"id": "id", "event_id": "id"} | {n: n for n in ("ticket_id", "created_at", "updated_at")}
-    parent = F.create_map(
-        *[x for n, f in carried.items() for x in (F.lit(n), F.try_variant_get(event, json_path(f), "variant"))]
-    )
-    child = F.try_variant_get(F.col("__child"), "$", "map<string,variant>")
-    return exploded.select(*keep, F.to_variant_object(merge_records(parent, child)).alias(payload))
-
-
-def schema_columns(table: TableDef) -> list[tuple[str, str, bool]]:
-    return [(f.name, f.dataType.simpleString(), f.nullable) for f in table.schema.fields]
-
-
-def is_string_cursor(table: TableDef) -> bool:
-    return table.cursor is not None and isinstance(table.schema[table.cursor].dataType, T.StringType)
+    pairs = [("event_id", "id"), *[(name, name) for name in carried]]
+    parent = F.create_map(*[x for name, source in pairs for x in (F.lit(name), event.getField(source))])
+    record = merge_records(parent, F.try_variant_get(child, "$", "map<string,variant>"))
+    return exploded.select(*keep, F.to_variant_object(record).alias(payload))

@@ -15,6 +15,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.scheduler.mode": "FAIR",
+    # Above this size the JVM does not compile a method; Spark then splits the code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
