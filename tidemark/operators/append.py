@@ -17,18 +17,30 @@ def dedupe_append(
     stored: DataFrame | None = None,
     event_time: str | None = None,
     delay: str = "300 seconds",
+    salts: int = 8,
 ) -> DataFrame:
     """Rows to append, each key once.
 
     Batch: repeats inside `rows` and keys already in `stored` are left out. On a
     stream the repeats are dropped inside the watermark of `event_time`, which
-    bounds the state; without an event time the state keeps every key.
+    bounds the state but also drops rows that come later than `delay`; without an
+    event time the state keeps every key and nothing else is dropped.
+
+    salts  a stream cannot combine before its shuffle, so a key with very many copies is
+           first reduced in `salts` places. 1 saves that step where copies are rare.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if rows.isStreaming:
-        if event_time is None:
-            return rows.dropDuplicates(keys)
-        return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+        if event_time is not None:
+            rows = rows.withWatermark(event_time, delay)
+
+        def once(df: DataFrame, by: list[str]) -> DataFrame:
+            return df.dropDuplicates(by) if event_time is None else df.dropDuplicatesWithinWatermark(by)
+
+        if salts > 1:
+            salted = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+            rows = once(salted, [*keys, "__salt"]).drop("__salt")
+        return once(rows, keys)
     fresh = rows.dropDuplicates(keys)
     if stored is None:
         return fresh

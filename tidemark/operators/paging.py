@@ -41,7 +41,9 @@ def bounded_batch(df: DataFrame, order: Sequence[str], rows: int, *, after: dict
     """
     if after:
         last = F.struct(*[F.lit(after[c]).cast(df.schema[c].dataType).alias(c) for c in order])
-        df = df.where(F.struct(*order) > last)
+        # The first column alone is a weaker bound, but one that reaches the file scan.
+        first = F.lit(after[order[0]]).cast(df.schema[order[0]].dataType)
+        df = df.where((F.col(order[0]) >= first) & (F.struct(*order) > last))
     return df.orderBy(*order).limit(rows)
 
 
