@@ -38,7 +38,7 @@ def dedupe_append(
             return df.dropDuplicates(by) if event_time is None else df.dropDuplicatesWithinWatermark(by)
 
         if salts > 1:
-            salted = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+            salted = rows.withColumn("__salt", F.floor(F.rand(7) * salts))
             rows = once(salted, [*keys, "__salt"]).drop("__salt")
         return once(rows, keys)
     fresh = rows.dropDuplicates(keys)
