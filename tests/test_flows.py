@@ -207,7 +207,7 @@ def test_stream_equals_batch_and_resumes(spark):
 
 def test_append_inside_a_watermark(spark):
     root = shared_folder(spark, "a")
-    rows = spark.range(10).select("id", F.timestamp_seconds(F.col("id")).alias("at"))
+    rows = spark.range(10).select("id", F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("at"))
     rows.union(rows).write.parquet(f"{root}/landed")
     stream = stream_table(spark, f"{root}/landed", rows.schema)
     append_flow(stream, f"{root}/data", f"{root}/cp", keys=["id"], event_time="at").awaitTermination()
