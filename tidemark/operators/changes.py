@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.ordered import HOT_ROWS, neighbours, null_safe, split_hot
+from tidemark.operators.ordered import CHUNK, HOT_ROWS, neighbours, null_safe, split_hot
 
 START, END, DELETED = "__start_at", "__end_at", "__deleted"
 
@@ -83,12 +83,11 @@ def _history(
     compared = list(tracked) if tracked else [c for c in columns if c not in keys and c not in sequence]
     compared.append(DELETED)
 
-    # Several rows of one key at one sequence value are one change. Copies are
-    # dropped before the shuffle, so a large group of copies costs no more than others.
-    single = latest_per_key(changes, [*keys, *sequence], DELETED)
-
     def spans(part: DataFrame, stitch: bool) -> DataFrame:
-        seen = neighbours(part, keys, sequence, previous=compared, stitch=stitch)
+        # Several rows of one key at one sequence value are one change. Copies are dropped
+        # before the shuffle, so a large group of copies costs no more than others.
+        single = latest_per_key(part, [*keys, CHUNK, *sequence], DELETED)
+        seen = neighbours(single, keys, sequence, previous=compared, stitch=stitch)
         same = F.col("__prev").isNotNull()
         for c in compared:
             same = same & F.col(f"__prev.`{c}`").eqNullSafe(F.col(f"`{c}`"))
@@ -100,7 +99,8 @@ def _history(
             F.col(f"__next.`{sequence[0]}`").alias(END),
         )
 
-    cold, hot = split_hot(single, keys, sequence, hot_rows, source=changes)
+    # Hot keys are split off at the scan: without any, that side reads nothing.
+    cold, hot = split_hot(changes, keys, sequence, hot_rows)
     history = spans(cold, False)
     return history if hot is None else history.unionByName(spans(hot, True))
 

@@ -76,18 +76,15 @@ def split_hot(
     keys: Sequence[str],
     order: Sequence[str],
     hot_rows: int | None = HOT_ROWS,
-    source: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Ordinary groups and hot groups, both with a `__chunk` column (0 for ordinary ones).
 
-    Rows that are equal in `order` stay in one chunk. Sizes and cut points are
-    taken from `source`, by default `df` itself: a cheaper frame with the same keys and
-    order columns will do, as any cut points give the same result. `hot_rows=None`
-    turns the cutting off.
+    Rows that are equal in `order` stay in one chunk. `hot_rows=None` turns the cutting
+    off.
     """
     if hot_rows is None:
         return df.withColumn(CHUNK, F.lit(0)), None
-    cuts = _cut_points(df if source is None else source, keys, order, hot_rows)
+    cuts = _cut_points(df, keys, order, hot_rows)
     match = null_safe(df, cuts, keys, "__h_")
     cold = df.join(F.broadcast(cuts), match, "left_anti").withColumn(CHUNK, F.lit(0))
     here = _order_struct(order)
