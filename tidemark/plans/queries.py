@@ -1361,6 +1361,103 @@ def zendesk_ticket_comments(spark, sf):
     return rows.select("id", "event_id", "ticket_id", "body", "created_at")
 
 
+@query(
+    "github_reviews",
+    """
+select l_orderkey * 100000000 + l_partkey * 100 + l_linenumber as id, l_orderkey as pull_number,
+       case when l_returnflag = 'A' then 'APPROVED' else 'COMMENTED' end as state, 'acme' as repository_owner,
+       l_suppkey as user_id
+from lineitem join orders on l_orderkey = o_orderkey""",
+)
+def github_reviews(spark, sf):
+    """Children of every parent in one join; the parent number is landed beside the record."""
+    lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
+    children = joins.expand_children(orders, lines, {"o_orderkey": "l_orderkey"}, carry={"pull_number": "o_orderkey"})
+    reviews = children.select(
+        (F.col("l_orderkey") * 100000000 + F.col("l_partkey") * 100 + F.col("l_linenumber")).alias("id"),
+        F.when(F.col("l_returnflag") == "A", "APPROVED").otherwise("COMMENTED").alias("state"),
+        F.struct(F.col("l_suppkey").alias("id")).alias("user"),
+        "pull_number",
+    )
+    record = F.to_json(F.struct("id", "state", "user"))
+    scoped = shape.with_scope(reviews, {"owner": "acme", "repo": "shop"})
+    landed = scoped.select("owner", "repo", "pull_number", record.alias("payload"))
+    rows = table_rows(landed, CATALOG["github"]["reviews"])
+    return rows.select("id", "pull_number", "state", "repository_owner", F.col("user.id").alias("user_id"))
+
+
+@query(
+    "github_teams",
+    """
+select s_suppkey as id, n_name as organization_login, s_name as slug, r_name as name
+from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
+)
+def github_teams(spark, sf):
+    """A list whose entries are expanded to their detail; the organisation comes from the list."""
+    nation = table(spark, sf, "nation")
+    listed = joins.expand_detail(
+        table(spark, sf, "supplier"), nation, {"s_nationkey": "n_nationkey"},
+        carry={"login": "n_name", "region": "n_regionkey"},
+    )
+    detailed = joins.expand_detail(listed, table(spark, sf, "region"), {"region": "r_regionkey"}, carry={"name": "r_name"})
+    teams = detailed.select(
+        F.col("s_suppkey").alias("id"),
+        F.col("s_name").alias("slug"),
+        "name",
+        F.struct("login").alias("organization"),
+    )
+    rows = table_rows(as_payload(teams), CATALOG["github"]["teams"])
+    return rows.select("id", "organization_login", "slug", "name")
+
+
+@query(
+    "issue_kinds",
+    """select o_orderstatus = 'P' as is_pull_request, count(*)::bigint as n from orders group by 1""",
+)
+def issue_kinds(spark, sf):
+    """Pull requests inside an issue list are the rows with a `pull_request` object."""
+    link = F.create_map(F.lit("url"), F.lit("https://h/pulls/1"))
+    issues = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_orderkey").alias("number"),
+        F.when(F.col("o_orderstatus") == "P", link).alias("pull_request"),
+    )
+    landed = as_payload(issues).withColumns({"owner": F.lit("acme"), "repo": F.lit("shop")})
+    rows = table_rows(landed, CATALOG["github"]["issues"])
+    return rows.groupBy(F.col("pull_request").isNotNull().alias("is_pull_request")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "zendesk_tickets",
+    """
+select o_orderkey as id, o_orderpriority as priority, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') as updated_at,
+       o_custkey as requester_id, o_orderstatus as first_tag, 'web' as channel, 'v' || o_orderstatus as field_value
+from orders""",
+)
+def zendesk_tickets(spark, sf):
+    """Landed response pages of a hundred tickets: pages to records to typed rows to the upsert."""
+    tickets = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_orderpriority").alias("priority"),
+        iso("o_orderdate").alias("updated_at"),
+        F.col("o_custkey").cast("string").alias("requester_id"),
+        F.array("o_orderstatus").alias("tags"),
+        F.create_map(F.lit("channel"), F.lit("web")).alias("via"),
+        F.array(F.struct(F.lit(9).alias("id"), F.concat(F.lit("v"), "o_orderstatus").alias("value"))).alias("custom_fields"),
+        F.col("o_orderkey").alias("key"),
+    )
+    record = as_payload(tickets.drop("key").withColumn("key", F.col("id")), "key", name="record")
+    bodies = paging.assign_pages(record, "key").groupBy("page").agg(F.collect_list("record").alias("records"))
+    body = F.concat(F.lit('{"tickets":['), F.array_join("records", ","), F.lit('],"end_of_stream":false}'))
+    definition = CATALOG["zendesk"]["tickets"]
+    payloads = paging.unnest_envelope(bodies.select(body.alias("body")), "body", definition.envelope)
+    current = apply_changes(table_rows(payloads, definition), definition.keys, definition.cursor)
+    return current.select(
+        "id", "priority", "updated_at", "requester_id", F.col("tags")[0].alias("first_tag"),
+        F.col("via")["channel"].alias("channel"), F.col("custom_fields")[0]["value"].alias("field_value"),
+    )
+
+
 # -- many tables in one call ------------------------------------------------------------
 
 
