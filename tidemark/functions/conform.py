@@ -9,7 +9,6 @@ the kind of a value is known, so a string that looks like a list stays a string.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,7 +85,7 @@ def conform(
     for i, f in enumerate(taken):
         value, field, error = F.col(f"__v{i}"), F.col(f"__f{i}"), None
         if _is_nested(f.dataType):
-            value, error = F.col(f"__v{i}.value"), F.col(f"__v{i}.error")
+            value, error = F.col(f"__v{i}.value").cast(relaxed(f.dataType)), F.col(f"__v{i}.error")
         elif not isinstance(f.dataType, T.StringType):
             error = F.when(value.isNull() & _present(field), _message(field, f.dataType, f.name))
         if not f.nullable:
@@ -283,48 +282,50 @@ def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def _wrong(v: Column, dtype: T.DataType, path: str) -> Column:
+    return _of(F.lit(None), _message(v, dtype, path))
+
+
 def _pair(v: Column, dtype: T.DataType, path: str) -> Column:
-    none = F.lit(None)
-    wrong = _of(none.cast(relaxed(dtype)), _message(v, dtype, path))
+    """Pair for a nested value; NULL stands for a NULL value without an error."""
+    if isinstance(dtype, T.StringType):
+        return _of(_text(v), F.lit(None))
     if isinstance(dtype, T.StructType):
-        done = _struct(v, dtype, path, wrong)
+        done = _struct(v, dtype, path)
     elif isinstance(dtype, T.ArrayType):
-        done = _array(v, dtype, path, wrong)
+        done = _array(v, dtype, path)
     elif isinstance(dtype, T.MapType):
-        done = _map(v, dtype, path, wrong)
-    elif isinstance(dtype, T.StringType):
-        done = _of(_text(v), none)
+        done = _map(v, dtype, path)
     else:
-        done = _bind(_leaf(v, dtype), lambda x: F.when(x.isNull(), wrong).otherwise(_of(x, none)))
-    return F.when(_present(v), done).otherwise(_of(none.cast(relaxed(dtype)), none))
+        kept = lambda x: F.when(x.isNotNull(), _of(x, F.lit(None))).otherwise(_wrong(v, dtype, path))
+        done = _bind(_leaf(v, dtype), kept)
+    return F.when(_present(v), done)
 
 
-def _struct(v: Column, dtype: T.StructType, path: str, wrong: Column) -> Column:
+def _struct(v: Column, dtype: T.StructType, path: str) -> Column:
     def member_pair(m: Column, f: T.StructField) -> Column:
         inner, where = m.getField(f.name), f"{path}.{f.name}"
         pair = _pair(inner, f.dataType, where)
         if f.nullable:
             return pair
-        absent = _of(F.lit(None).cast(relaxed(f.dataType)), F.lit(f"required field {where} is absent"))
-        return F.when(inner.isNull(), absent).otherwise(pair)
+        absent = _of(F.lit(None), F.lit(f"required field {where} is absent"))
+        return F.when(inner.isNotNull(), pair).otherwise(absent)
 
     def build(m: Column) -> Column:
         pairs = F.struct(*[member_pair(m, f).alias(f.name) for f in dtype.fields])
-        return _bind(
-            pairs,
-            lambda p: _of(
-                F.struct(*[p[f.name]["value"].alias(f.name) for f in dtype.fields]),
-                F.coalesce(*[p[f.name]["error"] for f in dtype.fields]),
-            ),
-        )
+        failing = [f for f in dtype.fields if not (f.nullable and isinstance(f.dataType, T.StringType))]
+
+        def collect(p: Column) -> Column:
+            values = F.struct(*[p[f.name]["value"].alias(f.name) for f in dtype.fields])
+            return _of(values, F.coalesce(*[p[f.name]["error"] for f in failing]) if failing else F.lit(None))
 
-    def nothing(m: Column) -> Column:
-        return reduce(lambda a, b: a & b, [m.getField(f.name).isNull() for f in dtype.fields])
+        return _bind(pairs, collect)
 
     # Not an object: the cast gives NULL. An empty object has no member at all.
+    nothing = F.to_json(v) == "{}"
     return _bind(
         F.try_variant_get(v, "$", _ddl(dtype)),
-        lambda m: F.when(m.isNull() | (nothing(m) & (F.to_json(v) == "{}")), wrong).otherwise(build(m)),
+        lambda m: F.when(m.isNotNull() & ~nothing, build(m)).otherwise(_wrong(v, dtype, path)),
     )
 
 
@@ -332,32 +333,38 @@ def _first_error(pairs: Column) -> Column:
     return F.get(F.array_compact(F.transform(pairs, lambda p: p["error"])), F.lit(0))
 
 
-def _array(v: Column, dtype: T.ArrayType, path: str, wrong: Column) -> Column:
+def _array(v: Column, dtype: T.ArrayType, path: str) -> Column:
     items = F.try_variant_get(v, "$", "array<variant>")
     if dtype.containsNull:  # a single value stands for a list of one
         items = F.coalesce(items, F.array(v))
+    if isinstance(dtype.elementType, T.StringType):
+        done = F.when(items.isNotNull(), _of(F.transform(items, _text), F.lit(None)))
+        return done if dtype.containsNull else done.otherwise(_wrong(v, dtype, path))
     pairs = F.transform(items, lambda x: _pair(x, dtype.elementType, f"{path}[]"))
-    values_of = lambda ps: F.transform(ps, lambda p: p["value"])
-    return _bind(
-        pairs, lambda ps: F.when(ps.isNull(), wrong).otherwise(_of(values_of(ps), _first_error(ps)))
-    )
+
+    def collect(ps: Column) -> Column:
+        done = F.when(ps.isNotNull(), _of(F.transform(ps, lambda p: p["value"]), _first_error(ps)))
+        return done if dtype.containsNull else done.otherwise(_wrong(v, dtype, path))
+
+    return _bind(pairs, collect)
 
 
-def _map(v: Column, dtype: T.MapType, path: str, wrong: Column) -> Column:
+def _map(v: Column, dtype: T.MapType, path: str) -> Column:
     entries = F.try_variant_get(v, "$", "map<string,variant>")
+    if isinstance(dtype.keyType, T.StringType) and isinstance(dtype.valueType, T.StringType):
+        values = F.transform_values(entries, lambda _, x: _text(x))
+        return F.when(entries.isNotNull(), _of(values, F.lit(None))).otherwise(_wrong(v, dtype, path))
     pairs = F.transform_values(entries, lambda _, x: _pair(x, dtype.valueType, f"{path}{{}}"))
 
     def build(ps: Column) -> Column:
         values = F.transform_values(ps, lambda _, p: p["value"])
-        done = _of(values, _first_error(F.map_values(ps)))
         if isinstance(dtype.keyType, T.StringType):
-            return done
+            return F.when(ps.isNotNull(), _of(values, _first_error(F.map_values(ps))))
         key_of = lambda k: _scalar(k, None, dtype.keyType)
-        bad_key = F.exists(F.map_keys(ps), lambda k: key_of(k).isNull())
-        keyed = F.transform_keys(values, lambda k, _: key_of(k))
-        return F.when(bad_key, wrong).otherwise(_of(keyed, _first_error(F.map_values(ps))))
+        good = ~F.exists(F.map_keys(ps), lambda k: key_of(k).isNull())
+        return F.when(good, _of(F.transform_keys(values, lambda k, _: key_of(k)), _first_error(F.map_values(ps))))
 
-    return _bind(pairs, lambda ps: F.when(ps.isNull(), wrong).otherwise(build(ps)))
+    return _bind(pairs, lambda ps: F.coalesce(build(ps), _wrong(v, dtype, path)))
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -17,6 +17,8 @@ SESSION_DEFAULTS = {
     "spark.scheduler.mode": "FAIR",
     # Above this size the JVM does not compile a method; Spark then splits the code.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Without the call site of every expression, wide definitions are built twice as fast.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
