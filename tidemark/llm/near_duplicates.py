@@ -104,9 +104,7 @@ def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union, compared as words."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    needed = cut(texts.join(ids, "id", "left_semi").dropDuplicates(["id", "text"]))
-    side = lambda c: needed.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
+    side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
 
     def work(batch: pa.RecordBatch):
         keep, last, held = [], None, set()
@@ -139,8 +137,7 @@ def _shared_elsewhere(placed: DataFrame, texts: DataFrame) -> DataFrame:
                     ["id", "component", "shingle", "size"],
                 )
 
-    distinct_texts = texts.join(pool, "id").dropDuplicates(["id", "text"])
-    rows = arrow_map(distinct_texts, work, "id long, component long, shingle long, size long")
+    rows = arrow_map(texts.join(pool, "id"), work, "id long, component long, shingle long, size long")
     holders = rows.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     owned = rows.groupBy("id", "component", "shingle").agg(F.min("size").alias("size"))
     return owned.join(holders, "shingle").groupBy("id", "component").agg(
@@ -186,20 +183,26 @@ def near_duplicates(
         raise ValueError("the bands find links of 80 percent or more")
     drawn = cut(sketch_documents(docs, id_column, text_column))
     named = drawn.filter("id is not null")
-    firsts = named.filter("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("first"))
-    members = cut(named.join(firsts, "digest", "left").select("id", F.coalesce("first", "id").alias("first")).distinct())
+    classes = cut(
+        named.filter("n_shingles > 0").groupBy("digest").agg(F.min(F.struct("id", "sketch")).alias("first"))
+        .select("digest", "first.id", "first.sketch")
+    )
+    firsts = classes.select("digest", F.col("id").alias("first"))
+    members = cut(
+        named.select("id", "digest").join(firsts, "digest", "left").select("id", F.coalesce("first", "id").alias("first"))
+        .distinct()
+    )
     repeated = members.groupBy("id").agg(F.min("first").alias("least"), F.max("first").alias("most"))
     links = members.join(repeated.filter("least < most"), "id").filter("first > least").select(
         F.col("first").alias("a"), F.col("least").alias("b")
     )
-    classes = (
-        named.filter("n_shingles > 0").join(firsts.select(F.col("first").alias("id"), "digest"), ["id", "digest"], "left_semi")
-        .dropDuplicates(["id", "digest"]).select("id", "sketch")
-    )
-    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     bands = _band_rows(classes)
     sizes = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     shared = cut(bands.join(sizes, "band"))
+    busy = cut(shared.select("id").distinct())
+    classes = cut(classes.select("id", "sketch").join(busy, "id", "left_semi"))
+    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
+    texts = cut(texts.join(busy, "id", "left_semi"))
     central = shared.groupBy("id").agg(F.sum("n").alias("rank"))
     hubs = shared.join(central, "id").groupBy("band").agg(F.max_by("id", F.struct("rank", -F.col("id"))).alias("hub"))
     spokes = shared.join(hubs, "band").filter("id <> hub").select(

@@ -9,6 +9,30 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.helpers import table
 from tidemark.llm.near_duplicates import near_duplicates
+from tidemark.llm.packing import pack_documents
+from tidemark.llm.quality import score_quality, train_quality
+from tidemark.llm.sharding import shuffle_into_shards
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """The file of a public tokenizer, at the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def held_out():
+    """A third of the documents, by a checksum of their ids, whose labels the classifier does not see."""
+    return F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")) % 3 == 1
+
+
+def op2_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    scored = score_quality(docs, train_quality(docs, labels.filter(~held_out())))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,14 +40,29 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op9_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = shuffle_into_shards(table(spark, sf_dir, "documents"))
+    return shards.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_nbsvm": op2_quality_nbsvm,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op9_hypergeometric_shards": op9_hypergeometric_shards,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 #: Word pattern and lower case as in the operator: of A-Z alone.
 _WORDS = r"""
     list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '')"""
+        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
 
 ORACLES: dict[str, str] = {
     "op4_minhash_near_dedup": f"""
@@ -31,7 +70,7 @@ ORACLES: dict[str, str] = {
         sets as (
             select distinct doc_id, unnest(case
                 when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
-                else list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) end) s
+                else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) s
             from words),
         sizes as (select doc_id, count(*) n from sets group by doc_id),
         common as (
