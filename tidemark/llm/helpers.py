@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.workspace import CHECKPOINT_DIR, shared_folder
+from tidemark.workspace import shared_folder
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -22,12 +22,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """`work` for every Arrow batch of every partition. Workers look for this package where the driver found it."""
-    environment = df.sparkSession.sparkContext.environment
+def workers_find_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver found it."""
+    environment = spark.sparkContext.environment
     if _ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), _ROOT]))
 
+
+def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """`work` for every Arrow batch of every partition."""
+    workers_find_package(df.sparkSession)
+
     def run(batches):
         for batch in batches:
             if batch.num_rows:
@@ -40,13 +45,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def cores(spark: SparkSession) -> int:
-    """A number of partitions for work that costs far more time than its bytes suggest."""
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
 def text_of(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
-
-
-__all__ = ["CHECKPOINT_DIR", "arrow_map", "cores", "cut", "shared_folder", "table", "text_of"]

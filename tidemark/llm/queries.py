@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.helpers import table
+from tidemark.llm.helpers import shared_folder, table
 from tidemark.llm.near_duplicates import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import score_quality, train_quality
 from tidemark.llm.sharding import shuffle_into_shards
+from tidemark.llm.topk import top_products
+from tidemark.llm.warc import archive_pages
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -40,6 +42,16 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op6_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_products(vectors, vectors.filter("vec_id % 100 = 0"), 10)
+
+
+def op8_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = archive_pages(table(spark, sf_dir, "pages"), shared_folder(spark, "archives"))
+    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = shuffle_into_shards(table(spark, sf_dir, "documents"))
     return shards.select(
@@ -55,6 +67,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_nbsvm": op2_quality_nbsvm,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op6_norm_bucket_topk": op6_norm_bucket_topk,
+    "op8_warc_zstd": op8_warc_zstd,
     "op9_hypergeometric_shards": op9_hypergeometric_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
@@ -84,4 +98,25 @@ ORACLES: dict[str, str] = {
         select d.doc_id, coalesce(n, 0)::bigint n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) component_id,
             d.doc_id = least(d.doc_id, coalesce(m, d.doc_id)) kept
         from documents d left join sizes using (doc_id) left join least using (doc_id)""",
+    "op6_norm_bucket_topk": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::hugeint) x from embeddings
+            where vec_id is not null and embedding is not null and len(embedding) > 0
+                and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+        s as (
+            select q.vec_id query_id, c.vec_id vec_id,
+                list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::bigint score
+            from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0),
+        r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int rank from s)
+        select query_id, rank, vec_id, score from r where rank <= 10""",
+    "op8_warc_zstd": """
+        with p as (
+            select page_id, octet_length(encode(coalesce(html, '')))::bigint payload_bytes,
+                sha1(coalesce(html, '')) payload_digest from pages),
+        l as (
+            select payload_digest, payload_bytes, max(page_id) last from p where payload_bytes >= 1000 group by all)
+        select page_id, p.payload_bytes, p.payload_digest,
+            case when page_id < last then 'revisit' else 'response' end record_type,
+            case when page_id < last then last end refers_to
+        from p left join l using (payload_digest, payload_bytes)""",
 }
