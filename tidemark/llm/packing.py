@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,8 @@ from tidemark.llm.helpers import arrow_map, cut
 
 CAPACITY = 1024
 END_ID = 2
-#: Words whose ids a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 300_000
+#: Words whose ids a worker remembers, and parts of words; then a new memory begins and takes over what still occurs.
+REMEMBERED = 250_000
 #: Pieces of one length that one task ranks, about.
 RANKED_TOGETHER = 8192
 #: Exchanges that the local search applies at most; it only matters for how close the plan comes to the bound.
@@ -30,10 +31,18 @@ MOST_EXCHANGES = 20_000
 
 #: A space between two characters that are no white space always begins a token.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_UNEVEN = re.compile(r" \s|\s ")
+#: Letters and then punctuation, which byte-level splitting cuts there alone. An apostrophe may begin a part of its own.
+_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]*)")
 _encoders: dict[str, WordEncoder] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it prints, else one from U+0100 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(256 + n) for n, b in enumerate(others)}
+
+
 class WordEncoder:
     """Token ids of texts as little-endian 32-bit numbers, worked out once for each different word."""
 
@@ -41,23 +50,58 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.first: dict[str, bytes] = {"": b""}
+        self.model = self.tokenizer.model
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters = _byte_letters()
+        self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.older_later: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [_CUT.split(t) if _UNEVEN.search(t) else t.split(" ") for t in texts]
-        if len(self.later) + len(self.first) > REMEMBERED:
-            self.first, self.later = {"": b""}, {}
-        words = {w for p in parts for w in p[1:]} - self.later.keys()
-        self._learn(self.later, list(words), " ")
-        self._learn(self.first, list({p[0] for p in parts} - self.first.keys()), "")
+        if len(self.later) > REMEMBERED:
+            self.first, self.later, self.older_later = {}, {}, self.later
+        if len(self.pieces) > REMEMBERED:
+            self.pieces, self.older_pieces = {}, self.pieces
+        parts = [t.split(" ") for t in texts]
+        new = {w for p in parts for w in p} - self.later.keys()
+        uneven = {w for w in new if not w or w[0].isspace() or w[-1].isspace()}
+        if uneven:  # white space beside a space: only the other spaces can be cut at
+            parts = [_CUT.split(t) if not uneven.isdisjoint(p) else p for t, p in zip(texts, parts, strict=True)]
         first, later = self.first, self.later
-        return [first[p[0]] + b"".join([later[w] for w in p[1:]]) for p in parts]
-
-    def _learn(self, known: dict[str, bytes], words: list[str], before: str) -> None:
-        found = self.tokenizer.encode_batch_fast([before + w for w in words], add_special_tokens=False)
-        for word, encoding in zip(words, found, strict=True):
-            known[word] = np.array(encoding.ids, dtype="<u4").tobytes()
+        for p in parts:
+            if p[0] not in first:
+                first[p[0]] = self._ids(p[0])
+        for w in {w for p in parts for w in p[1:]} - later.keys():
+            later[w] = self.older_later.get(w) or self._ids(" " + w)
+        return [first[p[0]] + b"".join(map(later.__getitem__, p[1:])) for p in parts]
+
+    def _ids(self, word: str) -> bytes:
+        start = word[:1] == " "
+        plain = _PLAIN.fullmatch(word, start)
+        if plain:
+            found = self._piece(" " * start + plain[1])
+            return found + self._piece(plain[2]) if plain[2] else found
+        if any(t in word for t in self.special):
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        lines = word.split("\n")
+        if len(lines) > 1 and not any(not x.strip(" ") or x[0].isspace() or x[-1].isspace() for x in [lines[0].strip(" "), *lines[1:]]):
+            # A line feed between other characters is a token by itself.
+            return self._known("\u010a").join(self._ids(x) for x in lines)
+        return b"".join(self._known(p) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(word))
+
+    def _piece(self, text: str) -> bytes:
+        return self._known(text.encode().decode("latin-1").translate(self.letters))
+
+    def _known(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            found = self.older_pieces.get(piece)
+            if found is None:
+                found = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+            self.pieces[piece] = found
+        return found
 
 
 def _encoder(path: str) -> WordEncoder:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.decontaminate import report
 from tidemark.llm.helpers import shared_folder, table
 from tidemark.llm.near_duplicates import near_duplicates
 from tidemark.llm.packing import pack_documents
@@ -42,6 +43,10 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op5_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return top_products(vectors, vectors.filter("vec_id % 100 = 0"), 10)
@@ -67,12 +72,17 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_nbsvm": op2_quality_nbsvm,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_benchmark_containment": op5_benchmark_containment,
     "op6_norm_bucket_topk": op6_norm_bucket_topk,
     "op8_warc_zstd": op8_warc_zstd,
     "op9_hypergeometric_shards": op9_hypergeometric_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
+_SHINGLES = """
+    unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end)"""
+
 #: Word pattern and lower case as in the operator: of A-Z alone.
 _WORDS = r"""
     list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -82,10 +92,7 @@ ORACLES: dict[str, str] = {
     "op4_minhash_near_dedup": f"""
         with recursive words as (select doc_id, {_WORDS} w from documents),
         sets as (
-            select distinct doc_id, unnest(case
-                when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
-                else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) s
-            from words),
+            select distinct doc_id, {_SHINGLES} s from words),
         sizes as (select doc_id, count(*) n from sets group by doc_id),
         common as (
             select a.doc_id a, b.doc_id b, count(*) c from sets a join sets b on a.s = b.s and a.doc_id <> b.doc_id
@@ -98,6 +105,18 @@ ORACLES: dict[str, str] = {
         select d.doc_id, coalesce(n, 0)::bigint n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) component_id,
             d.doc_id = least(d.doc_id, coalesce(m, d.doc_id)) kept
         from documents d left join sizes using (doc_id) left join least using (doc_id)""",
+    "op5_benchmark_containment": f"""
+        with i as (
+            select distinct item_id, {_SHINGLES} s from (select item_id, {_WORDS} w from benchmark)),
+        d as (select distinct doc_id, {_SHINGLES} s from (select doc_id, {_WORDS} w from documents)),
+        n as (select item_id, count(*) n from i group by 1),
+        c as (select doc_id, item_id, count(*) c from d join i using (s) group by 1, 2),
+        f as (
+            select doc_id, item_id, c / n containment, count(*) over (partition by doc_id) n_items,
+                row_number() over (partition by doc_id order by c / n desc, item_id) nth
+            from c join n using (item_id) where c / n >= 0.8)
+        select d.doc_id, coalesce(n_items, 0)::bigint n_items, item_id, containment
+        from documents d left join f on f.doc_id = d.doc_id and nth = 1""",
     "op6_norm_bucket_topk": """
         with v as (
             select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::hugeint) x from embeddings
