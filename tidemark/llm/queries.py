@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import report
 from tidemark.llm.helpers import shared_folder, table
+from tidemark.llm.licenses import license_notices
 from tidemark.llm.near_duplicates import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import score_quality, train_quality
+from tidemark.llm.secrets import constructed_findings, findings, train_secrets
 from tidemark.llm.sharding import shuffle_into_shards
 from tidemark.llm.topk import top_products
 from tidemark.llm.warc import archive_pages
@@ -29,6 +31,10 @@ def held_out():
     return F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")) % 3 == 1
 
 
+def op1_license_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_notices(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
@@ -52,6 +58,14 @@ def op6_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(vectors, vectors.filter("vec_id % 100 = 0"), 10)
 
 
+def op7_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = train_secrets(constructed_findings(docs)).judge(findings(docs))
+    return judged.select(
+        "doc_id", "start", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), "probability", "secret"
+    )
+
+
 def op8_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = archive_pages(table(spark, sf_dir, "pages"), shared_folder(spark, "archives"))
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -70,10 +84,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_compression": op1_license_compression,
     "op2_quality_nbsvm": op2_quality_nbsvm,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_benchmark_containment": op5_benchmark_containment,
     "op6_norm_bucket_topk": op6_norm_bucket_topk,
+    "op7_secret_forest": op7_secret_forest,
     "op8_warc_zstd": op8_warc_zstd,
     "op9_hypergeometric_shards": op9_hypergeometric_shards,
     "op10_best_fit_packing": op10_best_fit_packing,

@@ -3,12 +3,15 @@
 A candidate is a run of 16 or more characters of the usual alphabets of keys with a digit in it. The forest sees its
 length, the classes of its characters and how often they change, how usual its character pairs are among secrets, how
 much of it dictionary words cover, words of the document's path, and the words beside it. It learns from labelled
-findings (value, before, after, path, label); character pairs and the dictionary come from them as well, and hold
-PAIRS and WORDS entries at most.
+findings (value, before, after, path, label); the weights of character pairs (a number for each two of 128 characters)
+and the dictionary (WORDS words at most) come from them as well.
 """
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -21,10 +24,10 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}+={0,2}"
 CONTEXT = 48
 MARK = "\x01"
 REDACTED = "[REDACTED]"
-TREES, DEPTH = 20, 6
-PAIRS, WORDS = 4096, 2000
+TREES, DEPTH = 15, 5
+WORDS = 1000
 #: Documents whose words surround the constructed findings, at most.
-TRAINING_DOCUMENTS = 1500
+TRAINING_DOCUMENTS = 400
 
 _SECRET_NAMES = r"(?i)(secret|token|passw|api.?key|access.?key|private.?key|auth|bearer|credential)"
 _HARMLESS_NAMES = r"(?i)(commit|revision|checksum|digest|sha-?\d|md5|uuid|guid|etag|example|sample|dummy|placeholder|build|isbn|order)"
@@ -77,7 +80,7 @@ def _share(value: Column, pattern: str) -> Column:
 class SecretModel:
     """The forest, with the pair weights and the dictionary that its features need."""
 
-    def __init__(self, forest: RandomForestClassificationModel, pairs: dict[str, float], words: list[str]):
+    def __init__(self, forest: RandomForestClassificationModel, pairs: list[float], words: list[str]):
         self.forest, self.pairs, self.words = forest, pairs, words
 
     def judge(self, found: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -91,22 +94,23 @@ class SecretModel:
 
 
 def _pairs_of(value: Column) -> Column:
-    """Pairs of neighbouring characters, with digits as 0 and capitals marked by their class."""
+    """Pairs of neighbouring characters as numbers; all digits count as 0."""
     flat = F.regexp_replace(value, "[0-9]", "0")
-    return F.transform(F.sequence(F.lit(1), F.length(flat) - 1), lambda k: F.substring(flat, k, 2))
+    code = lambda k: F.ascii(F.substring(flat, k, 1)) % 128
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(flat) - 1, F.lit(1))), lambda k: code(k) * 128 + code(k + 1))
 
 
-def _with_features(found: DataFrame, pairs: dict[str, float], words: list[str]) -> DataFrame:
+def _with_features(found: DataFrame, pairs: list[float], words: list[str]) -> DataFrame:
     value, before = F.col("value"), F.coalesce(F.col("before"), F.lit(""))
     after, path = F.coalesce(F.col("after"), F.lit("")), F.coalesce(F.col("path"), F.lit(""))
-    weights = F.from_json(F.lit(_json(pairs)), "map<string,double>")
-    known = F.from_json(F.lit(_json(words)), "array<string>")
+    weights = F.from_json(F.lit(json.dumps(pairs)), "array<double>")
+    known = F.from_json(F.lit(json.dumps(words)), "array<string>")
     runs = F.regexp_extract_all(F.lower(value), F.lit("([a-z]{3,})"), 1)
     covered = F.aggregate(
         F.filter(runs, lambda r: F.array_contains(known, r)), F.lit(0), lambda n, r: n + F.length(r)
     )
     usual = F.aggregate(
-        _pairs_of(value), F.lit(0.0), lambda n, p: n + F.coalesce(F.element_at(weights, p), F.lit(0.0))
+        _pairs_of(value), F.lit(0.0), lambda n, p: n + F.get(weights, p)
     )
     changes = F.regexp_count(value, F.lit("(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])"))
     made = {
@@ -129,12 +133,6 @@ def _with_features(found: DataFrame, pairs: dict[str, float], words: list[str])
     return found.withColumns({f"forest_{k}": F.coalesce(c.cast("double"), F.lit(0.0)) for k, c in made.items()})
 
 
-def _json(value) -> str:
-    import json
-
-    return json.dumps(value)
-
-
 def _assembled(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=[f"forest_{c}" for c in _FEATURES], outputCol="forest_features").transform(df)
 
@@ -145,11 +143,11 @@ def train_secrets(labelled: DataFrame, seed: int = 5) -> SecretModel:
     counted = labelled.select("label", F.explode(_pairs_of(F.col("value"))).alias("pair")).groupBy("pair").agg(
         F.sum("label").alias("high"), F.sum(1 - F.col("label")).alias("low")
     )
-    rows = counted.orderBy(F.desc(F.col("high") + F.col("low")), "pair").limit(PAIRS).collect()
+    rows = counted.collect()  # a row for each pair at most
     high, low = sum(r["high"] for r in rows) + len(rows), sum(r["low"] for r in rows) + len(rows)
-    import math
-
-    pairs = {r["pair"]: math.log((r["high"] + 1) / high) - math.log((r["low"] + 1) / low) for r in rows}
+    pairs = [0.0] * (128 * 128)
+    for r in rows:
+        pairs[r["pair"]] = math.log((r["high"] + 1) / high) - math.log((r["low"] + 1) / low)
     beside = F.explode(F.regexp_extract_all(F.lower(F.concat_ws(" ", "before", "after")), F.lit("([a-z]{4,})"), 1))
     counts = labelled.select(beside.alias("word")).groupBy("word").count().filter("count > 1")
     words = [r["word"] for r in counts.orderBy(F.desc("count"), "word").limit(WORDS).collect()]
