@@ -11,8 +11,10 @@ Sets above the threshold meet in at least one of 25 bands of 5 places but for a
 compared with the most central class there, the one whose bands hold the most classes (of a group of edited copies,
 that is a text close to the original). When the links found so far have been joined into components, only classes of
 different components that share a band are still compared, so that groups of copies never make all their pairs. Of
-those, a pair is left out if the shingles that each has in common with any other component are too few for the threshold:
-in a group of copies with edits of their own, that bound drops the pairs that differ in their edits.
+those, a pair is left out if its intersection can't be large enough: it holds no more than what each class shares with any other
+component, and, for two classes A and B of the same centre C, no more than min(|A & C|, |B & C|) plus the shingles outside C
+that the one with fewer of them shares with other components. In a group of copies with edits of their own, these
+bounds, which are exact, drop nearly all pairs that no link joins.
 """
 
 from __future__ import annotations
@@ -120,11 +122,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def _shared_elsewhere(placed: DataFrame, texts: DataFrame) -> DataFrame:
-    """(id, component, n, common): the shingles of each id and how many of them another component has too.
+    """(id, component, center, n, common, inside, outside) of each id: its shingles, those that another component has too,
+    those that its centre has, and those that another component has and its centre has not.
 
-    Of an id with several texts, n is that of the smallest and common that of all, which keeps the bound a bound.
+    Of an id with several texts, n is that of the smallest and the others are those of all, which keeps bounds bounds.
     """
-    pool = placed.select("id", "component").distinct()
+    pool = placed.groupBy("id", "component").agg(F.max_by("hub", F.struct("size", F.negative("hub"))).alias("center"))
 
     def work(batch: pa.RecordBatch):
         for part in slices(batch, "text"):
@@ -132,31 +135,37 @@ def _shared_elsewhere(placed: DataFrame, texts: DataFrame) -> DataFrame:
             for i in range(part.num_rows):
                 own = np.unique(shingles[bounds[i] : bounds[i + 1]]).view(np.int64)
                 take = pa.array(np.full(len(own), i))
+                held = [part.column(c).take(take) for c in ("id", "component", "center")]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id").take(take), part.column("component").take(take), pa.array(own), pa.array(np.full(len(own), len(own)))],
-                    ["id", "component", "shingle", "size"],
+                    [*held, pa.array(own), pa.array(np.full(len(own), len(own)))],
+                    ["id", "component", "center", "shingle", "size"],
                 )
 
-    rows = arrow_map(texts.join(pool, "id"), work, "id long, component long, shingle long, size long")
-    holders = rows.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    owned = rows.groupBy("id", "component", "shingle").agg(F.min("size").alias("size"))
-    return owned.join(holders, "shingle").groupBy("id", "component").agg(
-        F.min("size").alias("n"), F.sum((F.col("least") < F.col("most")).cast("long")).alias("common")
-    )
+    rows = cut(arrow_map(texts.join(pool, "id"), work, "id long, component long, center long, shingle long, size long"))
+    holders = rows.groupBy("shingle").agg((F.min("component") < F.max("component")).cast("long").alias("common"))
+    owned = rows.groupBy("id", "component", "center", "shingle").agg(F.min("size").alias("size"))
+    centers = pool.select("center").distinct()
+    of_centers = rows.select(F.col("id").alias("center"), "shingle").join(centers, "center", "left_semi").distinct()
+    told = owned.join(holders, "shingle").join(of_centers.withColumn("in_center", F.lit(1)), ["center", "shingle"], "left")
+    inside = F.coalesce("in_center", F.lit(0))
+    return told.groupBy("id", "component", "center").agg(
+        F.min("size").alias("n"), F.sum("common").alias("common"), F.sum(inside).alias("inside"),
+        F.sum(F.col("common") * (1 - inside)).alias("outside"),
+    )
 
 
 def _across(placed: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes of different components that meet in a band and may reach the threshold.
 
-    The intersection of two classes of different components holds no more than what each shares with other
-    components. A pair comes from the first of the bands that it meets in.
+    A pair comes from the first of the bands that it meets in.
     """
     bands = placed.groupBy("id").agg(F.array_sort(F.collect_list("band")).alias("bands"))
     rows = placed.select("band", "id").join(bands, "id").join(shared, "id").filter(
         F.col("common") * 100 >= F.col("n") * percent
     )
-    side = lambda c: rows.select("band", *(F.col(x).alias(f"{x}_{c}") for x in ("id", "component", "bands", "n", "common")))
-    most = F.least("common_a", "common_b")
+    side = lambda c: rows.select("band", *(F.col(x).alias(f"{x}_{c}") for x in ("id", "component", "center", "bands", "n", "common", "inside", "outside")))
+    together = F.least("inside_a", "inside_b") + F.least("outside_a", "outside_b")
+    most = F.least("common_a", "common_b", F.when(F.col("center_a") == F.col("center_b"), together))
     first = F.element_at(F.array_intersect("bands_a", "bands_b"), 1)
     pairs = side("a").alias("x").join(
         side("b").alias("y"),
@@ -204,16 +213,16 @@ def near_duplicates(
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     texts = cut(texts.join(busy, "id", "left_semi"))
     central = shared.groupBy("id").agg(F.sum("n").alias("rank"))
-    hubs = shared.join(central, "id").groupBy("band").agg(F.max_by("id", F.struct("rank", -F.col("id"))).alias("hub"))
+    hubs = cut(shared.join(central, "id").groupBy("band").agg(F.max_by("id", F.struct("rank", -F.col("id"))).alias("hub")))
     spokes = shared.join(hubs, "band").filter("id <> hub").select(
         F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")
     )
     first_pairs = cut(_alike(spokes.distinct(), classes))
     links = cut(links.union(_verified(first_pairs, texts, percent)))
     found = connected_components(links)
-    placed = shared.select("band", "id").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = shared.select("band", "id", F.col("n").alias("size")).join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    placed = cut(placed.join(mixed.filter("least < most").select("band"), "band"))
+    placed = cut(placed.join(mixed.filter("least < most").select("band"), "band").join(hubs, "band"))
     across = _across(placed, _shared_elsewhere(placed, texts), percent)
     more = cut(_alike(across, classes).join(first_pairs, ["a", "b"], "left_anti"))
     if not more.isEmpty():
