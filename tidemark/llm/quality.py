@@ -171,7 +171,8 @@ def train_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
         .filter("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.min("label").alias("label"))
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    low, high = _class_counts(texts.join(labels, "doc_id"))
+    # Joined in the same way whatever the size of the labels, so that the cost follows the input.
+    low, high = _class_counts(texts.join(labels.hint("merge"), "doc_id"))
     scale = log_ratios(low, high)
     chosen = [
         labels.filter(F.col("label") == c).orderBy(F.xxhash64(F.lit(11), "doc_id"), "doc_id").limit(per_class)

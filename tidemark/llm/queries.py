@@ -38,7 +38,7 @@ def op1_license_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    scored = score_quality(docs, train_quality(docs, labels.filter(~held_out())))
+    scored = score_quality(docs, train_quality(docs.filter(~held_out()), labels.filter(~held_out())))
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
