@@ -13,6 +13,7 @@ from tidemark.llm.licenses import license_notices
 from tidemark.llm.near_duplicates import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import score_quality, train_quality
+from tidemark.llm.repeats import remove_repeats
 from tidemark.llm.secrets import constructed_findings, findings, train_secrets
 from tidemark.llm.sharding import shuffle_into_shards
 from tidemark.llm.topk import top_products
@@ -44,6 +45,10 @@ def op2_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), percent=85)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
@@ -86,6 +91,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_compression": op1_license_compression,
     "op2_quality_nbsvm": op2_quality_nbsvm,
+    "op3_repeated_strings": op3_repeated_strings,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_benchmark_containment": op5_benchmark_containment,
     "op6_norm_bucket_topk": op6_norm_bucket_topk,
