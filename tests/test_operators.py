@@ -62,20 +62,20 @@ def test_latest_is_the_same_in_any_order(spark, ranked):
         assert {tuple(r) for r in latest_per_key(df, "k", "seq", ranked=ranked).collect()} == want
 
 
-@pytest.mark.parametrize("hot_rows", [None, 10, 1_000_000])
+@pytest.mark.parametrize("pieces", [None, 1, 40])
 @pytest.mark.parametrize("deletes", [False, True])
-def test_history_matches_brute_force(spark, hot_rows, deletes):
+def test_history_matches_brute_force(spark, pieces, deletes):
     rows = _changes(3)
     df = spark.createDataFrame(rows, CHANGES)
     spans = apply_changes(
-        df, "k", "seq", scd_type=2, hot_rows=hot_rows, apply_as_deletes="gone" if deletes else None
+        df, "k", "seq", scd_type=2, pieces=pieces, apply_as_deletes="gone" if deletes else None
     )
     got = [(r["k"], r["v"], r[START], r[END]) for r in spans.collect()]
     assert len(got) == len(set(got)) and set(got) == _history(rows, deletes)
 
 
-@pytest.mark.parametrize("hot_rows", [None, 7, 1_000_000])
-def test_positions_match_brute_force(spark, hot_rows):
+@pytest.mark.parametrize("pieces", [None, 1, 60])
+def test_positions_match_brute_force(spark, pieces):
     rnd = random.Random(5)
     rows = [("hot" if i % 3 else rnd.choice("abcdef"), i) for i in rnd.sample(range(5000), 600)]
     df = spark.createDataFrame(rows, "g string, i int").repartition(5)
@@ -83,21 +83,35 @@ def test_positions_match_brute_force(spark, hot_rows):
     for g, i in sorted(rows, key=lambda r: r[1]):
         by_group.setdefault(g, []).append(i)
     want = {(g, i, n + 1) for g, items in by_group.items() for n, i in enumerate(items)}
-    assert {tuple(r) for r in positions(df, ["g"], ["i"], hot_rows=hot_rows).collect()} == want
+    assert {tuple(r) for r in positions(df, ["g"], ["i"], pieces=pieces).collect()} == want
     everything = {i: n + 1 for n, i in enumerate(sorted(i for _, i in rows))}
-    got = positions(df, [], ["i"], hot_rows=hot_rows).collect()
+    got = positions(df, [], ["i"], pieces=pieces).collect()
     assert {r["i"]: r["position"] for r in got} == everything and len(got) == len(rows)
 
 
 def test_hot_groups_are_spread_over_tasks(spark):
-    """With a third of all rows in one group, no window task gets that group whole."""
-    from tidemark.operators.ordered import split_hot
-
-    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("g"), "id")
-    cold, hot = split_hot(df, ["g"], ["id"], hot_rows=1_000)
-    sizes = [r["count"] for r in hot.groupBy("g", "__chunk").count().collect()]
-    assert sum(sizes) == 10_000 and len(sizes) > 20 and max(sizes) < 2_000
-    assert cold.count() == 20_000
+    """With half of all rows in one group, no window task gets that group whole."""
+    from tidemark.operators.ordered import in_chunks
+
+    df = spark.range(30_000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("g"), "id")
+    chunks = in_chunks(df, ["g"], ["id"], pieces=40)
+    sizes = [r["count"] for r in chunks.groupBy("g", "__chunk").count().collect() if r["g"] == 0]
+    assert sum(sizes) == 15_000 and len(sizes) > 15 and max(sizes) < 1_500
+    got = positions(df, ["g"], ["id"], pieces=40).agg(F.max("position"), F.count_distinct("g", "position")).first()
+    assert tuple(got) == (15_000, 30_000)
+
+
+def test_positions_of_ties_and_odd_values(spark):
+    """Rows that are equal in order, nulls, NaN and values that JSON rounds are numbered once each."""
+    rows = [(None if i % 3 else "a", [None, float("nan"), 0.1, 1e300][i % 4], i % 5) for i in range(400)] + [("a", 0.1, 1)] * 50
+    df = spark.createDataFrame(rows, "g string, x double, y int").withColumn("m", F.create_map(F.lit("k"), "y"))
+    for pieces in (1, 32):
+        got = positions(df, ["g"], ["x"], pieces=pieces)
+        assert got.columns == [*df.columns, "position"]
+        for g in (None, "a"):
+            group = sorted(r["position"] for r in got.collect() if r["g"] == g)
+            assert group == list(range(1, len(group) + 1))
+    assert positions(df.limit(0), ["g"], ["x"]).count() == 0
 
 
 def test_apply_changes_rejects_bad_arguments(spark):
@@ -249,7 +263,7 @@ def test_detail_must_be_there(spark):
 
 def test_nested_parts_hold_every_child(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 700, 0).otherwise(F.col("id") % 7).alias("p"), "id")
-    nested = shape.nest_children(df, ["p"], ["id"], ["id"], max_children=50, hot_rows=100)
+    nested = shape.nest_children(df, ["p"], ["id"], ["id"], max_children=50, pieces=30)
     sizes = nested.select(F.size("children").alias("n")).agg(F.max("n"), F.sum("n")).first()
     assert tuple(sizes) == (50, 1000)
     back = shape.explode_children(nested, "children", {"p": "p"}).select("p", "child.id")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.ordered import CHUNK, HOT_ROWS, neighbours, null_safe, split_hot
+from tidemark.operators.ordered import CHUNK, in_chunks, neighbours, null_safe
 
 START, END, DELETED = "__start_at", "__end_at", "__deleted"
 
@@ -27,7 +27,7 @@ def apply_changes(
     apply_as_deletes: Column | str | None = None,
     tracked: Sequence[str] | None = None,
     keep_tombstones: bool = False,
-    hot_rows: int | None = HOT_ROWS,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Rows of the target after a set of changes.
 
@@ -59,7 +59,7 @@ def apply_changes(
     if stored is not None:
         changes = stored.unionByName(changes, allowMissingColumns=True)
     if scd == "2":
-        return _history(changes, keys, sequence, tracked, hot_rows)
+        return _history(changes, keys, sequence, tracked, pieces)
 
     current = latest_per_key(changes, keys, sequence)
     if DELETED in current.columns:
@@ -74,7 +74,7 @@ def _history(
     keys: list[str],
     sequence: list[str],
     tracked: Sequence[str] | None,
-    hot_rows: int | None,
+    pieces: int | None,
 ) -> DataFrame:
     columns = [c for c in changes.columns if c != DELETED]
     if DELETED not in changes.columns:
@@ -83,26 +83,22 @@ def _history(
     compared = list(tracked) if tracked else [c for c in columns if c not in keys and c not in sequence]
     compared.append(DELETED)
 
-    def spans(part: DataFrame, stitch: bool) -> DataFrame:
-        # Several rows of one key at one sequence value are one change. Copies are dropped
-        # before the shuffle, so a large group of copies costs no more than others.
-        single = latest_per_key(part, [*keys, CHUNK, *sequence], DELETED)
-        seen = neighbours(single, keys, sequence, previous=compared, stitch=stitch)
-        same = F.col("__prev").isNotNull()
-        for c in compared:
-            same = same & F.col(f"__prev.`{c}`").eqNullSafe(F.col(f"`{c}`"))
-        changed = seen.where(~same).drop("__prev")
-        out = neighbours(changed, keys, sequence, following=[sequence[0]], stitch=stitch)
-        return out.where(~F.col(DELETED)).select(
-            *columns,
-            F.col(f"`{sequence[0]}`").alias(START),
-            F.col(f"__next.`{sequence[0]}`").alias(END),
-        )
-
-    # Hot keys are split off at the scan: without any, that side reads nothing.
-    cold, hot = split_hot(changes, keys, sequence, hot_rows)
-    history = spans(cold, False)
-    return history if hot is None else history.unionByName(spans(hot, True))
+    # Several rows of one key at one sequence value are one change. Copies are dropped
+    # before the shuffle, so a large group of copies costs no more than others.
+    chunks = in_chunks(changes, keys, sequence, pieces)
+    cut = [c for c in chunks.columns if c not in changes.columns and c != CHUNK]
+    single = latest_per_key(chunks, [*keys, CHUNK, *cut, *sequence], DELETED)
+    seen = neighbours(single, keys, sequence, previous=compared)
+    same = F.col("__prev").isNotNull()
+    for c in compared:
+        same = same & F.col(f"__prev.`{c}`").eqNullSafe(F.col(f"`{c}`"))
+    changed = seen.where(~same).drop("__prev")
+    out = neighbours(changed, keys, sequence, following=[sequence[0]])
+    return out.where(~F.col(DELETED)).select(
+        *columns,
+        F.col(f"`{sequence[0]}`").alias(START),
+        F.col(f"__next.`{sequence[0]}`").alias(END),
+    )
 
 
 def refresh_history(

@@ -1,17 +1,14 @@
-"""Ordered work inside groups (lag, lead, row number) that survives hot groups.
-
-A plain window puts a whole group into one task. Here the groups with more than
-`hot_rows` rows take their own way: they are cut into ordered chunks, the window
-runs per chunk, and the chunk edges are stitched from a small summary. All other
-groups keep the plain window. Everything is exact: the hash-picked cut points
-only decide where a chunk ends. Without a hot group the second way is an empty
-relation, which adaptive execution removes before it reads anything.
-
-Sizes. At most `MAX_HOT` groups are cut, the largest ones; a group below them
-has fewer than 1/MAX_HOT of all rows and stays whole. A group gets
-4 * rows / hot_rows cut points, so all cut points together are at most
-4 * total / hot_rows and never more than MAX_HOT * MAX_CUTS. That is why the cut
-points and the chunk summaries may be broadcast.
+"""Ordered work inside groups (lag, lead, row number) with one plan for groups of any size.
+
+A plain window puts a whole group into one task. Here the rows of all groups are cut into `pieces` chunks along
+(keys, order), like a range partitioning: a chunk holds many small groups or a part of a large one. The window runs per
+group and chunk. Only groups that a cut point falls into go over several chunks; for each further chunk of such a group one
+row with the edge of the chunks before it is added, and is the first (or last) row that its window sees. There are fewer
+such rows than chunks.
+
+The cut points come from the rows with the smallest hashes, SAMPLED for each chunk, and are literals of the plan; so their
+number does not grow with the data, and two readings of the rows cut them alike. They decide where chunks end and
+nothing else.
 """
 
 from __future__ import annotations
@@ -21,14 +18,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-HOT_ROWS = 8_000_000
-MAX_HOT = 1_000
-MAX_CUTS = 16_383
+SAMPLED = 20
 CHUNK = "__chunk"
-_CUTS = "__cuts"
-_ALL = "__all"
-_STEPS = [1 << b for b in range(13, -1, -1)]  # sums to MAX_CUTS
+_HASH = "__cut"
+_EDGE = "__edge"
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
@@ -38,75 +34,51 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: st
     )
 
 
-def _renamed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
-    return df.withColumnsRenamed({k: prefix + k for k in keys})
-
-
-def _order_struct(order: Sequence[str]) -> Column:
-    return F.struct(*[F.col(f"`{c}`") for c in order])
-
-
-def _cut_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
-    """One row per hot group: its keys as `__h_<key>` and a sorted array of cut points."""
-    counted = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") > hot_rows)
-        .orderBy(F.desc("__rows"))
-        .limit(MAX_HOT)
-    )
-    hot = _renamed(counted, keys, "__h_")
-    slots = F.least(F.lit(MAX_CUTS), F.ceil(4 * F.col("__rows") / F.lit(hot_rows))).cast("int")
-    place = F.struct(*[F.col(c) for c in order])
-    thin = df.select(*keys, *[c for c in order if c not in keys])
-    picked = (
-        thin.join(F.broadcast(hot), null_safe(thin, hot, keys, "__h_"))
-        .withColumn("__slot", F.pmod(F.hash(*order), slots))
-        .groupBy(*[f"__h_{k}" for k in keys], "__slot")
-        .agg(F.min_by(place, F.xxhash64(*order)).alias("__cut"))
-    )
-    # At most MAX_CUTS values per group, by the slot number.
-    return picked.groupBy(*[f"__h_{k}" for k in keys]).agg(
-        F.array_sort(F.collect_list("__cut")).alias(_CUTS)
-    )
+def _columns(names: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{c}`") for c in names]
 
 
-def split_hot(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    hot_rows: int | None = HOT_ROWS,
-) -> tuple[DataFrame, DataFrame | None]:
-    """Ordinary groups and hot groups, both with a `__chunk` column (0 for ordinary ones).
+def in_chunks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int | None = None
+) -> DataFrame:
+    """`df` with `__chunk`, and `__cut`: whether the row's group may lie in several chunks.
 
-    Rows that are equal in `order` stay in one chunk. `hot_rows=None` turns the cutting
-    off.
+    Rows that are equal in keys and order are in one chunk. `pieces` is the number of chunks, by default that of the
+    session's shuffle partitions.
     """
-    if hot_rows is None:
-        return df.withColumn(CHUNK, F.lit(0)), None
-    cuts = _cut_points(df, keys, order, hot_rows)
-    match = null_safe(df, cuts, keys, "__h_")
-    cold = df.join(F.broadcast(cuts), match, "left_anti").withColumn(CHUNK, F.lit(0))
-    here = _order_struct(order)
-    # Binary search: how many cut points are not after this row.
-    found = F.aggregate(
-        F.array(*[F.lit(s) for s in _STEPS]),
+    session = df.sparkSession
+    pieces = pieces or int(session.conf.get("spark.sql.shuffle.partitions"))
+    place = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(_columns([*keys, *order]))])
+    kind = df.select(place.alias("p")).schema["p"].dataType
+    parsed = F.from_json(F.to_json("p", _JSON), kind, _JSON)
+    own_keys = [F.col(f"q.c{i}") for i in range(len(keys))]
+    sampled = (
+        df.select(place.alias("p"), F.xxhash64(*_columns([*keys, *order])).alias("h"))
+        .orderBy("h")
+        .limit(SAMPLED * pieces)
+        .select(parsed.alias("q"))
+        .orderBy("q")
+        .select(F.to_json("q", _JSON).alias("cut"), (F.xxhash64(*own_keys) if keys else F.lit(0)).alias("key"))
+        .collect()
+    )
+    step = max(1, len(sampled) // pieces)
+    chosen = sampled[step::step]
+    if not chosen:
+        return df.withColumns({CHUNK: F.lit(0), _HASH: F.lit(False)})
+    cuts = F.from_json(F.lit("[" + ",".join(r["cut"] for r in chosen) + "]"), ArrayType(kind), _JSON)
+    steps = [1 << b for b in range(len(chosen).bit_length() - 1, -1, -1)]
+    chunk = F.aggregate(  # binary search: how many cut points are not after the row
+        F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
-        lambda lo, step: F.when(
-            (lo + step <= F.size(_CUTS)) & (F.get(F.col(_CUTS), lo + step - 1) <= here), lo + step
-        ).otherwise(lo),
+        lambda low, s: F.when((low + s <= len(chosen)) & (F.get(cuts, low + s - 1) <= place), low + s).otherwise(low),
     )
-    hot = df.join(F.broadcast(cuts), match).withColumn(CHUNK, found)
-    return cold, hot.select(*df.columns, CHUNK)
+    key = F.xxhash64(*_columns(keys)) if keys else F.lit(0).cast("bigint")
+    return df.withColumns({CHUNK: chunk, _HASH: key.isin([int(r["key"]) for r in chosen])})
 
 
-def _attach(rows: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Edge values to the rows of their chunk; one edge row per chunk, so a bounded broadcast."""
-    on = [*keys, CHUNK]
-    edges = _renamed(edges, on, "__e_")
-    return rows.join(F.broadcast(edges), null_safe(rows, edges, on, "__e_"), "left").drop(
-        *[f"__e_{k}" for k in on]
-    )
+def _with_edges(part: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rows of `edges`, with `__edge` -1 or 1, beside those of `part`, with 0."""
+    return part.withColumn(_EDGE, F.lit(0)).unionByName(edges, allowMissingColumns=True)
 
 
 def neighbours(
@@ -116,37 +88,28 @@ def neighbours(
     *,
     previous: Sequence[str] = (),
     following: Sequence[str] = (),
-    stitch: bool = False,
 ) -> DataFrame:
-    """Add `__prev` / `__next`: a struct of the named columns of the neighbour row.
+    """Add `__prev` / `__next`: a struct of the named columns of the neighbour row in the group.
 
-    Takes one of the frames of `split_hot` (`stitch` for the hot one) and keeps
-    `__chunk`, so a second call reuses the partitioning. Filters may run between.
+    Takes the rows of `in_chunks` and keeps its columns, so that a second call needs no other shuffle. Filters may run
+    between, and rows must be unique in keys and order.
     """
-    w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    prev_cols = F.struct(*[F.col(c) for c in previous])
-    next_cols = F.struct(*[F.col(c) for c in following])
+    place = F.struct(*_columns(order))
+    chunks = Window.partitionBy(*_columns(keys)).orderBy(CHUNK)
+    cut = part.where(_HASH)
     out = part
-    if previous:
-        out = out.withColumn("__prev", F.lag(prev_cols).over(w))
-    if following:
-        out = out.withColumn("__next", F.lead(next_cols).over(w))
-    if not stitch:
-        return out
-    place, aggregates, wanted = _order_struct(order), [], []
-    chunks = Window.partitionBy(*keys).orderBy(CHUNK)
-    if previous:
-        aggregates.append(F.max_by(prev_cols, place).alias("__last"))
-        wanted.append(F.lag("__last").over(chunks).alias("__before"))
-    if following:
-        aggregates.append(F.min_by(next_cols, place).alias("__first"))
-        wanted.append(F.lead("__first").over(chunks).alias("__after"))
-    edges = part.groupBy(*keys, CHUNK).agg(*aggregates).select(*keys, CHUNK, *wanted)
-    out = _attach(out, edges, keys)
-    if previous:
-        out = out.withColumn("__prev", F.coalesce("__prev", "__before")).drop("__before")
-    if following:
-        out = out.withColumn("__next", F.coalesce("__next", "__after")).drop("__after")
+    for name, columns, edge in (("__prev", previous, -1), ("__next", following, 1)):
+        if not columns:
+            continue
+        values = F.struct(*_columns(columns))
+        last = (F.max_by if edge < 0 else F.min_by)(values, place).alias("__value")
+        moved = (F.lag if edge < 0 else F.lead)("__value").over(chunks).alias("__value")
+        edges = cut.groupBy(*_columns(keys), CHUNK).agg(last).select(*_columns(keys), CHUNK, moved)
+        edges = edges.where("__value is not null").withColumn(_EDGE, F.lit(edge))
+        marked = _with_edges(out.withColumn("__value", values), edges)
+        window = Window.partitionBy(*_columns(keys), CHUNK).orderBy(_EDGE, *_columns(order))
+        beside = (F.lag if edge < 0 else F.lead)("__value").over(window)
+        out = marked.withColumn(name, beside).where(F.col(_EDGE) == 0).drop("__value", _EDGE)
     return out
 
 
@@ -155,26 +118,23 @@ def positions(
     keys: Sequence[str],
     order: Sequence[str],
     name: str = "position",
-    hot_rows: int | None = HOT_ROWS,
+    pieces: int | None = None,
 ) -> DataFrame:
-    """Add the 1-based row number in its group (in the whole table for no keys)."""
+    """Add the 1-based row number in its group (in the whole table for no keys).
+
+    Rows that are equal in `order` are numbered by a hash of their other columns.
+    """
     columns = df.columns
-    if not keys:
-        # One group for the whole table, kept as an attribute so that it stays an
-        # ordinary hash-partitioned group.
-        df, keys = df.withColumn(_ALL, F.pmod(F.hash(F.col(order[0])), F.lit(1))), [_ALL]
-    cold, hot = split_hot(df, keys, order, hot_rows)
-    w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    number = F.row_number().over(w).cast("bigint")
-    numbered = cold.withColumn(name, number).select(*columns, name)
-    if hot is None:
-        return numbered
-    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        hot.groupBy(*keys, CHUNK)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select(*keys, CHUNK, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    )
-    shifted = _attach(hot.withColumn(name, number), offsets, keys)
-    shifted = shifted.withColumn(name, F.col(name) + F.col("__offset")).select(*columns, name)
-    return numbered.unionByName(shifted)
+    tie = F.xxhash64(*[F.to_json(F.struct(c)) if df.schema[n].dataType.simpleString().startswith(("map", "variant")) else c
+                       for n, c in zip(columns, _columns(columns), strict=True)])
+    rows = in_chunks(df.withColumn("__tie", tie), keys, [*order, "__tie"], pieces)
+    before = Window.partitionBy(*_columns(keys)).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    counted = rows.where(_HASH).groupBy(*_columns(keys), CHUNK).agg(F.count(F.lit(1)).alias("__n"))
+    edges = counted.select(*_columns(keys), CHUNK, F.sum("__n").over(before).alias("__before"))
+    edges = edges.where("__before is not null").withColumn(_EDGE, F.lit(-1))
+    marked = _with_edges(rows.withColumn("__before", F.lit(None).cast("bigint")), edges)
+    window = Window.partitionBy(*_columns(keys), CHUNK).orderBy(_EDGE, *_columns(order), "__tie")
+    earlier = F.first("__before").over(window)  # of the edge row, if there is one
+    number = F.row_number().over(window) + F.when(earlier.isNull(), 0).otherwise(earlier - 1)
+    numbered = marked.withColumn(name, number.cast("bigint"))
+    return numbered.where(F.col(_EDGE) == 0).select(*_columns(columns), name)

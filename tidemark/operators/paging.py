@@ -8,12 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.conform import member
-from tidemark.operators.ordered import HOT_ROWS, positions
+from tidemark.operators.ordered import positions
 
 # Rows per page and pages per batch of the paged services.
 PAGE_SIZE = 100
 MAX_PAGES_PER_BATCH = 50
-MAX_PAGE = 1_000
 
 
 def unnest_envelope(
@@ -74,20 +73,22 @@ def assign_pages(
     *,
     by: Sequence[str] = (),
     first: int = 1,
-    hot_rows: int | None = HOT_ROWS,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Page number of every row in key order, for all pages at once."""
     order = [key] if isinstance(key, str) else list(key)
-    numbered = positions(df, list(by), order, "__at", hot_rows)
+    numbered = positions(df, list(by), order, "__at", pieces)
     page = F.floor((F.col("__at") - 1) / F.lit(size)).cast("bigint") + first
     return numbered.withColumn("page", page).drop("__at")
 
 
 def page_range(
-    pages: DataFrame, page: str, start: int = 1, *, rows: str | None = None, last: int = MAX_PAGE
+    pages: DataFrame, page: str, start: int = 1, *, rows: str | None = None, last: int | None = None
 ) -> DataFrame:
-    """Pages from the offset page up to the page ceiling, without empty ones."""
-    kept = pages.where((F.col(page) >= start) & (F.col(page) <= last))
+    """Pages from the offset page on, without empty ones; up to page `last` if the caller sets one."""
+    kept = pages.where(F.col(page) >= start)
+    if last is not None:
+        kept = kept.where(F.col(page) <= last)
     return kept if rows is None else kept.where(F.coalesce(F.size(rows), F.lit(0)) > 0)
 
 

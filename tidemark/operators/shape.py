@@ -8,9 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import HOT_ROWS, positions
-
-MAX_CHILDREN = 10_000
+from tidemark.operators.ordered import positions
 
 _SHAPES: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
@@ -67,17 +65,20 @@ def nest_children(
     columns: Sequence[str],
     *,
     name: str = "children",
-    max_children: int = MAX_CHILDREN,
-    hot_rows: int | None = HOT_ROWS,
+    max_children: int | None = None,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Child rows back to one array per parent, in order.
 
-    An array holds at most `max_children` children. A parent with more gets further
+    One row per parent with `part` 0. With `max_children`, a parent with more gets further
     rows with `part` 1, 2, ..: no child is dropped, and no task holds more than one
     part, however large the parent.
     """
-    numbered = positions(df, keys, order, "__at", hot_rows)
-    part = F.floor((F.col("__at") - 1) / F.lit(max_children)).cast("bigint")
+    if max_children is None:
+        numbered, part = df.withColumn("__at", F.struct(*order)), F.lit(0).cast("bigint")
+    else:
+        numbered = positions(df, keys, order, "__at", pieces)
+        part = F.floor((F.col("__at") - 1) / F.lit(max_children)).cast("bigint")
     child = F.struct(F.col("__at"), *[F.col(c) for c in columns])
     nested = numbered.groupBy(*keys, part.alias("part")).agg(
         F.array_sort(F.collect_list(child)).alias("__items")

@@ -144,7 +144,7 @@ def cdc_scd2(spark, sf):
 def cdc_scd2_hot_keys(spark, sf):
     """Same history with every larger group cut into chunks."""
     changes = _event_changes(spark, sf)
-    spans = apply_changes(changes, "user_id", ["ts", "event_id"], scd_type="SCD_TYPE_2", hot_rows=60)
+    spans = apply_changes(changes, "user_id", ["ts", "event_id"], scd_type="SCD_TYPE_2", pieces=64)
     return _event_spans(spans)
 
 
@@ -396,7 +396,7 @@ def assign_pages(spark, sf):
 def assign_pages_hot(spark, sf):
     """The same with the whole table cut into ordered chunks."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    return paging.assign_pages(orders, "o_orderkey", hot_rows=400)
+    return paging.assign_pages(orders, "o_orderkey", pieces=64)
 
 
 # -- conform ----------------------------------------------------------------------------
@@ -754,7 +754,7 @@ from numbered group by conv_id, part""",
 def nest_children_parts(spark, sf):
     """Large parents come in parts of three, and are numbered in ordered chunks."""
     turns = table(spark, sf, "conversations")
-    nested = shape.nest_children(turns, ["conv_id"], ["turn"], ["role", "text"], max_children=3, hot_rows=4)
+    nested = shape.nest_children(turns, ["conv_id"], ["turn"], ["role", "text"], max_children=3, pieces=64)
     return nested.select("conv_id", "part", _turn_texts("children").alias("turns"))
 
 
@@ -881,7 +881,7 @@ def next_token(spark, sf):
 
 @query(
     "page_range",
-    _USER_PAGES + "select user_id, page, n_rows from pages where page between 3 and 1000",
+    _USER_PAGES + "select user_id, page, n_rows from pages where page >= 3",
 )
 def page_range(spark, sf):
     return paging.page_range(_page_log(spark, sf), "page", 3).select("user_id", "page", "n_rows")
