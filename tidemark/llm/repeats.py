@@ -20,7 +20,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.helpers import arrow_map, cut, text_of, workers_find_package
@@ -28,12 +28,12 @@ from tidemark.llm.suffixes import suffix_arrays
 from tidemark.llm.words import mix, slices, text_buffers
 
 LENGTH = 200
-CORE, WINDOW = 104, 97
+CORE, WINDOW = 136, 65
 NEED = LENGTH - CORE
 #: Different contexts that one suffix array takes; a core with more of them is split.
-TOGETHER = 48
+TOGETHER = 24
 #: Symbols of the texts that a task sorts at the same time.
-SYMBOLS = 400_000
+SYMBOLS = 1_500_000
 
 _U = np.uint64
 #: Bytes of a text that are hashed at once.
@@ -94,9 +94,9 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """(doc, hash, text): what tells rows apart, and the text with null as empty."""
+    """(doc, hash, text): what tells rows apart, and the text with null as empty. The hash only parts rows of one id."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    return docs.select(doc.alias("doc"), F.xxhash64(text_of()).alias("hash"), text_of().alias("text"))
+    return docs.select(doc.alias("doc"), F.hash(text_of()).alias("hash"), text_of().alias("text"))
 
 
 def _anchor_rows(rows: DataFrame) -> DataFrame:
@@ -119,38 +119,37 @@ def _anchor_rows(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(core.view(np.int64)), pa.array(context.view(np.int64)), part.column("doc").take(take),
-                        part.column("hash").take(take), pa.array(place.astype(np.int64)),
+                        part.column("hash").take(take), pa.array(place.astype(np.int32)),
                     ],
                     ["core", "context", "doc", "hash", "place"],
                 )
 
-    return arrow_map(rows, work, "core long, context long, doc long, hash long, place long")
+    return arrow_map(rows, work, "core long, context long, doc long, hash int, place int")
 
 
-def _contexts(rows: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(key, left, right, doc, hash, first, many) of the anchors of `chosen` (doc, hash, place, core, many)."""
-    lists = chosen.groupBy("doc", "hash").agg(F.collect_list(F.struct("place", "core", "many")).alias("of"))
+def _contexts(rows: DataFrame, lists: DataFrame) -> DataFrame:
+    """(key, left, right, doc, hash, first, many) of the anchors in the column open of `lists`, once each."""
 
     def work(batch: pa.RecordBatch):
         out = []
-        for doc, key, text, of in zip(*(batch.column(c) for c in ("doc", "hash", "text", "of")), strict=True):
+        for doc, key, text, of in zip(*(batch.column(c) for c in ("doc", "hash", "text", "open")), strict=True):
             data = text.as_py().encode()
             for x in of.as_py():
                 p = x["place"]
                 left = data[max(0, p - NEED) : p].rjust(NEED, b"\xff")
                 right = data[p + CORE : p + CORE + NEED].ljust(NEED, b"\xff")
                 out.append((x["core"], left, right, doc.as_py(), key.as_py(), p - NEED, x["many"]))
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.bool_())
         names = ["key", "left", "right", "doc", "hash", "first", "many"]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names
         )
 
-    found = arrow_map(
-        rows.join(lists, ["doc", "hash"]), work,
-        "key long, left binary, right binary, doc long, hash long, first long, many boolean",
+    some = lists.filter(F.size("open") > 0).select("doc", "hash", "open")
+    return arrow_map(
+        rows.join(some, ["doc", "hash"]), work,
+        "key long, left binary, right binary, doc long, hash int, first long, many boolean",
     )
-    return found.dropDuplicates(["key", "left", "right"])
 
 
 def repeated_runs(groups: list[list[tuple[bytes, bytes]]], need: int) -> list[list[np.ndarray]]:
@@ -202,7 +201,10 @@ def _sorted_out(contexts: DataFrame, need: int) -> DataFrame:
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
                 rows += [(doc, key, first + a, first + b - 1) for a, b in edges.reshape(-1, 2).tolist()]
         columns = list(zip(*rows, strict=True)) or [()] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "hash", "low", "high"])
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "hash", "low", "high"]
+        )
 
     def run(batches):
         groups, symbols = [], 0
@@ -220,7 +222,7 @@ def _sorted_out(contexts: DataFrame, need: int) -> DataFrame:
 
     workers_find_package(contexts.sparkSession)
     dealt = contexts.select("key", "left", "right", "doc", "hash", "first", "many").repartition("key")
-    return dealt.sortWithinPartitions("key").mapInArrow(run, "doc long, hash long, low long, high long")
+    return dealt.sortWithinPartitions("key").mapInArrow(run, "doc long, hash int, low long, high long")
 
 
 def _halves(contexts: DataFrame, need: int) -> DataFrame:
@@ -243,24 +245,42 @@ def _halves(contexts: DataFrame, need: int) -> DataFrame:
     )
 
 
-def repeated_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of `docs` (doc, hash, text), and (doc, hash, low, high): where in them repeated strings start."""
-    rows = _rows(docs)
-    found = _anchor_rows(rows)
-    twice = found.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
-    found = cut(found.join(twice, "core"))
-    same = found.groupBy("core", "context").agg(
-        (F.count("*") > 1).alias("many"), F.min(F.struct("doc", "hash", "place")).alias("one")
+def _anchor_lists(rows: DataFrame) -> DataFrame:
+    """(doc, hash, places, open) of rows with repeated cores: the anchors whose context occurs elsewhere too, and
+    (place, core, many) of those that stand for their context where a core has contexts that occur once."""
+    core, context = Window.partitionBy("core"), Window.partitionBy("core", "context")
+    found = (
+        _anchor_rows(rows)
+        .withColumn("n", F.count("*").over(core)).filter("n > 1")
+        .withColumn("many", F.count("*").over(context) > 1)
+        .withColumn("nth", F.row_number().over(context.orderBy("doc", "hash", "place")))
+        .withColumn("single", F.max(~F.col("many")).over(core))
+    )
+    stands = F.col("single") & (F.col("nth") == 1)
+    return found.filter(F.col("many") | stands).groupBy("doc", "hash").agg(
+        F.collect_list(F.when(F.col("many"), F.col("place"))).alias("places"),
+        F.collect_list(F.when(stands, F.struct("place", "core", "many"))).alias("open"),
+    )
+
+
+def _sized(contexts: DataFrame) -> DataFrame:
+    """Different contexts of the keys that have several, one of them at least occurring once, with their number n."""
+    key, whole = Window.partitionBy("key"), Window.partitionBy("key", "left", "right")
+    return (
+        contexts.withColumn("nth", F.row_number().over(whole.orderBy("doc", "hash", "first"))).filter("nth = 1")
+        .withColumn("n", F.count("*").over(key)).withColumn("single", F.max(~F.col("many")).over(key))
+        .filter("n > 1 and single").drop("nth", "single")
     )
-    same = cut(same)
-    alike = found.join(same.filter("many").select("core", "context"), ["core", "context"])
-    ranges = [alike.select("doc", "hash", (F.col("place") - NEED).alias("low"), F.col("place").alias("high"))]
-    open_cores = same.groupBy("core").agg(F.count("*").alias("n"), F.min("many").alias("all")).filter("n > 1 and not all")
-    chosen = same.join(open_cores.select("core"), "core").select("one.*", "core", "many")
-    work, need = cut(_contexts(rows, chosen)), NEED
+
+
+def repeated_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of `docs` (doc, hash, text); (doc, hash, places), anchors all of whose strings are repeated; and (doc, hash,
+    low, high), other runs of starts of repeated strings."""
+    rows = _rows(docs)
+    lists = cut(_anchor_lists(rows))
+    work, need, ranges = _contexts(rows, lists), NEED, []
     while True:
-        sizes = work.groupBy("key").agg(F.count("*").alias("n"), F.min("many").alias("all")).filter("n > 1 and not all")
-        sized = cut(work.join(sizes.select("key", "n"), "key"))
+        sized = cut(_sized(work))
         ranges.append(cut(_sorted_out(sized.filter(F.col("n") <= TOGETHER), need)))
         large = sized.filter(F.col("n") > TOGETHER)
         if need == 0 or large.isEmpty():
@@ -268,16 +288,16 @@ def repeated_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         halves = cut(_halves(large, need))
         need //= 2
         whole = ["key", "left", "right"]
-        merged = cut(halves.groupBy(*whole).agg(
+        merged = halves.groupBy(*whole).agg(
             (F.max("many") | (F.count("*") > 1)).alias("many"), F.min(F.struct("doc", "hash", "first")).alias("one")
-        ))
+        )
         alike = halves.filter("not many").join(merged.filter("many").select(*whole), whole)
         ranges.append(alike.select("doc", "hash", F.col("first").alias("low"), (F.col("first") + need).alias("high")))
         work = merged.select(*whole, "one.*", "many")
     marks = ranges[0]
     for r in ranges[1:]:
         marks = marks.union(r)
-    return rows, marks
+    return rows, lists.select("doc", "hash", "places"), marks
 
 
 def remove_repeats(docs: DataFrame, kept_text: bool = False) -> DataFrame:
@@ -286,15 +306,17 @@ def remove_repeats(docs: DataFrame, kept_text: bool = False) -> DataFrame:
     Each byte that lies in a string of LENGTH bytes which also starts elsewhere, in the same text or another, is removed. A null
     text is empty; doc_id may be null or repeated, and rows that repeat a long text lose it all. Spans are maximal runs.
     """
-    rows, marks = repeated_ranges(docs)
-    lists = marks.groupBy("doc", "hash").agg(F.collect_set(F.struct("low", "high")).alias("of"))
+    rows, lists, marks = repeated_ranges(docs)
+    marks = marks.groupBy("doc", "hash").agg(F.collect_set(F.struct("low", "high")).alias("of"))
+    lists = lists.join(marks, ["doc", "hash"], "full")
 
     def work(batch: pa.RecordBatch):
         out = []
-        for doc, text, of in zip(*(batch.column(c) for c in ("doc_id", "text", "of")), strict=True):
+        for doc, text, places, of in zip(*(batch.column(c) for c in ("doc_id", "text", "places", "of")), strict=True):
             data = text.as_py().encode()
             removed, spans, kept, at = 0, 0, [], 0
-            for low, high in sorted((x["low"], x["high"]) for x in of.as_py() or ()):
+            starts = [(p - NEED, p) for p in places.as_py() or ()] + [(x["low"], x["high"]) for x in of.as_py() or ()]
+            for low, high in sorted(starts):
                 low, high = max(low, 0), min(high, len(data) - LENGTH)
                 if low > high:
                     continue
@@ -314,7 +336,7 @@ def remove_repeats(docs: DataFrame, kept_text: bool = False) -> DataFrame:
         )
 
     joined = rows.join(lists, ["doc", "hash"], "left").select(
-        F.when(F.col("doc") > -(1 << 63), F.col("doc")).alias("doc_id"), "text", "of"
+        F.when(F.col("doc") > -(1 << 63), F.col("doc")).alias("doc_id"), "text", "places", "of"
     )
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return arrow_map(joined, work, schema + ", kept binary" * kept_text)
