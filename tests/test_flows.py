@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.model import APPEND, CDC, SNAPSHOT, TableDef, TableSource, requested_tables, text_options
-from tidemark.operators import contract
+from tidemark.operators import contract, joins
 from tidemark.plans.ingest import ingest
 from tidemark.plans.target import TargetTable
-from tidemark.sources import generate, metadata
+from tidemark.sources import metadata
 from tidemark.sources.catalog import CATALOG
 from tidemark.sources.catalog.crm import object_table
 from tidemark.sources.catalog.fields import fields
 from tidemark.sources.landed import LandedSource, staging_view, stream_table
-from tidemark.sources.ranges import RangeSource, _slices
 from tidemark.sources.records import comment_records, table_rows
 from tidemark.streaming.flows import append_flow, observe_mark, upsert_stream
 from tidemark.workspace import shared_folder
@@ -142,17 +141,6 @@ def test_unknown_names_fail(spark):
         metadata.table_metadata(asked, "names", frame).collect()
     with pytest.raises(ValueError):
         LandedSource("/x", {}).table("nope")
-    with pytest.raises(ValueError):
-        generate.generate_rows(spark, "nope", 1)
-
-
-def test_generated_rows(spark):
-    rows, offset = generate.generate_rows(spark, "your_table", 3)
-    assert [r["key"] for r in rows.collect()] == ["1000", "1001", "1002"] and offset == {"offset": 1003}
-    assert rows.collect() == rows.collect()
-    assert generate.sample_objects(spark, "contacts", 0) is None
-    assert generate.sample_objects(spark, "deals", 5) is None
-    assert generate.sample_objects(spark, "companies", 5).count() == 5
 
 
 # -- targets ----------------------------------------------------------------------------
@@ -220,20 +208,6 @@ def test_observed_mark(spark):
     assert mark.get == {"high_water_mark": 4, "rows": 5}
 
 
-def test_slices_cover_the_range():
-    for start, end, parts in [(-1, 9, 4), (0, 1, 8), (5, 5, 3), (0, 100, 7)]:
-        covered = [i for p in _slices(start, end, parts) for i in range(p.low + 1, p.high + 1)]
-        assert covered == list(range(start + 1, end + 1)) and len(_slices(start, end, parts)) <= parts
-
-
-def test_range_source_runs_in_slices(spark):
-    path = shared_folder(spark, "r")
-    spark.range(100).write.parquet(path)
-    spark.dataSource.register(RangeSource)
-    df = spark.read.format("offset_range").options(path=path, cursor="id", slices="4").load()
-    assert df.rdd.getNumPartitions() == 4 and df.select(F.sum("id")).first()[0] == 4950
-
-
 # -- many tables ------------------------------------------------------------------------
 
 
@@ -275,14 +249,14 @@ def test_ingest_runs_again(spark):
 def test_ingest_checks_before_it_starts(spark):
     source = LandedSource("/nowhere", {"t": TableDef("t", fields("id"), ("id",))})
     with pytest.raises(ValueError, match="needs a cursor"):
-        ingest(spark, source, {"t": {}}, "/nowhere")
+        ingest(spark, source, {"t": {}}, "/nowhere", run_id=1)
 
 
 def test_bad_record_stops_its_stream(spark):
     root = shared_folder(spark, "b")
     _landed(spark, root, "issues", {"state": "no id"}, owner="acme")
     with pytest.raises(StreamingQueryException, match="required field id is absent"):
-        ingest(spark, LandedSource(root, TABLES), {"issues": {}}, f"{root}/out")
+        ingest(spark, LandedSource(root, TABLES), {"issues": {}}, f"{root}/out", run_id=1)
 
 
 def test_source_bounds_and_view(spark):
@@ -294,3 +268,90 @@ def test_source_bounds_and_view(spark):
     assert source.read(spark, "issues", None, {"start_date": "2024-01-03T00:00:00Z"}).count() == 1
     name = staging_view(source.read(spark, "issues", None, {"owner": "acme", "state": "closed"}), "issues")
     assert name == "issues_staging" and spark.table(name).count() == 0
+
+
+# -- identity of writes, options ----------------------------------------------------------
+
+
+def test_a_new_checkpoint_is_a_new_flow(spark):
+    """After a checkpoint is lost, its batch numbers start again, and its rows still count."""
+    root = shared_folder(spark, "n")
+    target = TargetTable(spark, f"{root}/data", "id", "s")
+    schema = T.StructType.fromDDL(ROWS)
+    for part in range(2):
+        _frame(spark, (part, 1, f"v{part}", False)).write.mode("append").parquet(f"{root}/landed")
+        rows = stream_table(spark, f"{root}/landed", schema)
+        upsert_stream(rows, target, f"{root}/checkpoint-{part}").awaitTermination()
+    assert {(r["id"], r["v"]) for r in target.read().collect()} == {(0, "v0"), (1, "v1")}
+
+
+def test_a_repeated_snapshot_run_counts_once(spark):
+    target = TargetTable(spark, shared_folder(spark, "r"), "id", scd_type=2)
+    target.replace(_frame(spark, (1, 0, "a", False)), 4)
+    target.replace(_frame(spark, (1, 0, "b", False)), 5)
+    target.replace(_frame(spark, (1, 0, "c", False)), 5)
+    got = {(r["v"], r["__start_at"], r["__end_at"]) for r in target.read().collect()}
+    assert got == {("a", 4, 5), ("b", 5, None)}
+
+
+def test_a_repeated_key_fails_a_snapshot(spark):
+    from tidemark.operators.snapshot import snapshot_diff
+
+    one, two = _frame(spark, (1, 0, "a", False)), _frame(spark, (None, 0, "b", False), (None, 0, "c", False))
+    with pytest.raises(PySparkException, match="not unique"):
+        snapshot_diff(one, two, "id").count()
+    assert snapshot_diff(one, two.limit(1), "id").count() == 2
+
+
+def test_checks_survive_column_pruning(spark):
+    bad = spark.createDataFrame([('{"name":"no id"}',)], "payload string")
+    with pytest.raises(PySparkException, match="required field id is absent"):
+        table_rows(bad, TableDef("t", fields("id:long! name"))).select("name").count()
+    lone = spark.createDataFrame([(1,)], "ref int")
+    with pytest.raises(PySparkException, match="no detail for 1"):
+        joins.expand_detail(lone, spark.createDataFrame([(2, "x")], "id int, n string"), {"ref": "id"}, carry={"n": "n"}).count()
+
+
+def test_append_keeps_late_rows_and_no_repeats(spark):
+    root = shared_folder(spark, "l")
+    at = F.timestamp_seconds(F.col("id") * 3600 + 1_700_000_000)
+    for ids in (range(20, 30), range(0, 25), range(0, 30)):
+        rows = spark.createDataFrame([(i,) for i in ids], "id long").select("id", at.alias("at"))
+        rows.coalesce(1).write.mode("append").parquet(f"{root}/landed")
+        stream = stream_table(spark, f"{root}/landed", rows.schema, max_files=1)
+        append_flow(stream, f"{root}/data", f"{root}/cp", keys=["id"], event_time="at").awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(f"{root}/data").collect()) == list(range(30))
+
+
+def test_options_of_a_landed_source(spark):
+    root = shared_folder(spark, "o")
+    defs = {
+        "t": TableDef("t", fields("id:long! updated_at archived:boolean owner repo"), ("id",), "updated_at", CDC,
+                      scope={"owner": "owner", "repo": "repo"}, required=("owner", "repo"), archived=True),
+    }
+    records = [{"id": i, "updated_at": f"2024-01-01T00:{i:02d}:00Z", "archived": i % 2 == 0} for i in range(10)]
+    _landed(spark, root, "t", *records, owner="a", repo="b")
+    source, scope = LandedSource(root, defs), {"owner": "a", "repo": "b"}
+    read = lambda since=None, **options: sorted(r["id"] for r in source.read(spark, "t", since, scope | options).collect())
+    assert read() == [1, 3, 5, 7, 9] and read(archived="True") == list(range(10)) and read(archived="no") == read()
+    assert read("2024-01-01T00:07:00Z") == [7, 9]
+    assert read("2024-01-01T00:07:00Z", lookback_seconds="120") == [5, 7, 9]
+    assert read(per_page="1", max_pages_per_batch="2") == [1, 3]
+    for wrong in ({"owner": "a"}, scope | {"org": "x"}, scope | {"archived": "maybe"}):
+        with pytest.raises(ValueError):
+            source.read(spark, "t", None, wrong)
+    spec = {"t": scope | {"start_date": "2024-01-01T00:05:00Z"}}
+    done = ingest(spark, source, spec, f"{root}/out", run_id=1)
+    assert sorted(r["id"] for r in done["t"].read(spark).collect()) == [5, 7, 9]
+
+
+def test_an_incomplete_snapshot_keeps_what_it_has_not_seen(spark):
+    for text, left in (("False", [1, 2]), (True, [2])):
+        root = shared_folder(spark, "c")
+        source = LandedSource(f"{root}/landed", TABLES)
+        _landed(spark, f"{root}/landed", "users", {"id": 1, "login": "a"})
+        ingest(spark, source, {"users": {}}, f"{root}/out", run_id=1)
+        source = LandedSource(f"{root}/later", TABLES)
+        _landed(spark, f"{root}/later", "users", {"id": 2, "login": "b"})
+        done = ingest(spark, source, {"users": {"complete": text}}, f"{root}/out", run_id=2)
+        assert sorted(r["id"] for r in done["users"].read(spark).collect()) == left

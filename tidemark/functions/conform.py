@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import convert
+from tidemark.functions.shaping import fail_on
 
 ERRORS = "_errors"
 _RECORD, _BROKEN = "__record", "__broken"
@@ -92,8 +93,7 @@ def conform(
             missing = F.when(field.isNull(), F.lit(f"required field {f.name} is absent"))
             error = missing if error is None else F.coalesce(missing, error)
         if mode == "fail":
-            problem = bad if error is None else F.coalesce(bad, error)
-            value = F.when(problem.isNotNull(), F.raise_error(problem)).otherwise(value)
+            errors += [] if error is None else [error]
         elif error is not None:
             errors.append(F.when(bad.isNull(), error))
             if _is_nested(f.dataType):
@@ -102,6 +102,8 @@ def conform(
     for name in computed:
         values[name] = F.col(f"__c_{name}").cast(relaxed(schema[name].dataType))
     columns = [values[f.name].alias(f.name) for f in schema.fields]
+    if mode == "fail":
+        converted = fail_on(converted, F.coalesce(*errors))
     if mode == "permissive":
         columns.append(F.array_compact(F.array(*errors)).alias(ERRORS))
     return converted.select(*keep, *columns)
@@ -181,11 +183,10 @@ class _Record:
                 .when(size == 0, F.lit("record is an empty object"))
             )
         text, broken = F.trim(F.col(self.payload)), F.col(_RECORD).getField(_BROKEN)
-        shown = F.substring(text, 1, 200)
         return (
             F.when(text.isNull(), F.lit("record is missing"))
-            .when(~text.startswith("{"), F.concat(F.lit("record is not an object: "), shown))
-            .when(broken.isNotNull(), F.concat(F.lit("record does not parse: "), shown))
+            .when(~text.startswith("{"), F.concat(F.lit("record is not an object: "), text))
+            .when(broken.isNotNull(), F.concat(F.lit("record does not parse: "), text))
             .when(text.rlike(r"^\{\s*\}$"), F.lit("record is an empty object"))
         )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,16 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def fail_on(df: DataFrame, problem: Column) -> DataFrame:
+    """The rows as they are; the first one with a problem (a text, else null) fails the job.
+
+    The check is a filter, so that it also runs if no column of the row is used. rand() keeps the optimizer from
+    trying it on a row of nulls or moving it below a join.
+    """
+    checked = F.when(problem.isNotNull() & (F.rand(0) >= 0), F.raise_error(problem).cast("boolean")).otherwise(True)
+    return df.where(checked)
+
+
 def json_text(value: Column | str, dtype: T.DataType | None = None) -> Column:
     """JSON text of a nested value; an empty, zero, false or null one is NULL.
 

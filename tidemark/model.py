@@ -25,6 +25,10 @@ class TableDef:
     scope       column -> column landed beside the payload
     id_arrays   column -> path of an association in the record
     envelope    key of the record array in a response body (None: the body is the array)
+    events      the landed records are events whose comment children are the rows
+    required    scope options that a read needs
+    one_of      scope options of which a read needs exactly one
+    archived    whether archived rows are left out unless the option `archived` is true
     """
 
     name: str
@@ -39,6 +43,10 @@ class TableDef:
     scope: Mapping[str, str] = field(default_factory=dict)
     id_arrays: Mapping[str, str] = field(default_factory=dict)
     envelope: str | None = None
+    events: bool = False
+    required: tuple[str, ...] = ()
+    one_of: tuple[str, ...] = ()
+    archived: bool = False
 
     @property
     def ingestion_mode(self) -> str:
@@ -84,6 +92,14 @@ def text_options(options: Mapping[str, object] | None) -> dict[str, str]:
     }
 
 
+def flag(options: Mapping[str, object], name: str, default: bool) -> bool:
+    """A yes or no option, in any case: true, yes, 1 or false, no, 0."""
+    value = str(options.get(name, default)).strip().lower()
+    if value not in ("true", "yes", "1", "false", "no", "0"):
+        raise ValueError(f"option {name} is neither true nor false: {options[name]!r}")
+    return value in ("true", "yes", "1")
+
+
 def requested_tables(spec: Mapping[str, object]) -> dict[str, dict[str, str]]:
     """Table name -> options out of `{"connection_name", "objects": [{"table": {..}}]}`."""
     if not isinstance(spec, Mapping):

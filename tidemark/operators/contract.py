@@ -149,7 +149,3 @@ def report_summary(report: DataFrame, by: Iterable[str] = ()) -> DataFrame:
 def sample_rows(df: DataFrame, n: int = 3) -> DataFrame:
     """A few rows to look at."""
     return df.limit(n)
-
-
-def needs_cursor(table: TableDef) -> bool:
-    return table.ingestion_mode == CDC

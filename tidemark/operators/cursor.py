@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.convert import iso_minus_seconds
 
-# Rows of a cursor window re-read for late data, and the start of time.
+# Fixed value: seconds of a cursor window that are read again for late data.
 LOOKBACK_SECONDS = 300
-EPOCH_ISO = "1970-01-01T00:00:00.000Z"
 
 
 def scan_since(df: DataFrame, cursor: str, high_water_mark=None, start=None) -> DataFrame:

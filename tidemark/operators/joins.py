@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.shaping import fail_on
+
 
 def expand_children(
     parents: DataFrame,
@@ -66,12 +68,8 @@ def expand_detail(
     if missing == "keep":
         return joined.withColumn("detail_found", F.coalesce("detail_found", F.lit(False)))
     asked = F.concat_ws("/", *[F.col(r).cast("string") for r in on])
-    # The check sits in the carried columns, so it runs whenever a detail is used.
-    fail = F.raise_error(F.concat(F.lit("no detail for "), asked))
-    checked = {
-        n: F.when(F.col("detail_found").isNull(), fail).otherwise(F.col(n)) for n in carry
-    }
-    return joined.withColumns(checked).drop("detail_found")
+    problem = F.when(F.col("detail_found").isNull(), F.concat(F.lit("no detail for "), asked))
+    return fail_on(joined, problem).drop("detail_found")
 
 
 def association_edges(df: DataFrame, key: str, ids: str, *, names: tuple[str, str]) -> DataFrame:

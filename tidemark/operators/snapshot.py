@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.shaping import fail_on
 from tidemark.operators.changes import END, START
 from tidemark.operators.ordered import null_safe
 
@@ -18,13 +19,23 @@ def _names(value: Sequence[str] | str) -> list[str]:
 
 
 def _paired(old: DataFrame, new: DataFrame, keys: list[str], compared: Sequence[str] | None) -> DataFrame:
-    """Full outer join of two snapshots as structs `__old`, `__new`, with the change type."""
+    """Both snapshots by key as structs `__old`, `__new`, with the change type. A key that one of them repeats fails the job.
+
+    The rows are grouped rather than joined: a repeated key never makes pairs.
+    """
     compared = [c for c in (compared or new.columns) if c not in keys]
-    left = old.select(*[F.col(f"`{k}`").alias(f"__o_{k}") for k in keys], F.struct("*").alias("__old"))
-    right = new.select(*[F.col(f"`{k}`").alias(f"__n_{k}") for k in keys], F.struct("*").alias("__new"))
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(f"__o_{k}").eqNullSafe(F.col(f"__n_{k}"))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*[F.col(f"`{k}`").alias(f"__k_{k}") for k in keys], F.struct("*").alias(name))
+
+    both = side(old, "__old").unionByName(side(new, "__new"), allowMissingColumns=True)
+    grouped = both.groupBy(*[f"__k_{k}" for k in keys]).agg(
+        *[F.first(s, ignorenulls=True).alias(s) for s in ("__old", "__new")],
+        *[F.count(s).alias(f"__n{s}") for s in ("__old", "__new")],
+    )
+    shown = F.to_json(F.struct(*[F.col(f"__k_{k}").alias(k) for k in keys]))
+    repeated = F.greatest("__n__old", "__n__new") > 1
+    grouped = fail_on(grouped, F.when(repeated, F.concat(F.lit("key is not unique in a snapshot: "), shown)))
     same = F.lit(True)
     for c in compared:
         # The values themselves are compared: two rows with one hash could differ.
@@ -36,7 +47,7 @@ def _paired(old: DataFrame, new: DataFrame, keys: list[str], compared: Sequence[
         .when(same, "same")
         .otherwise("update")
     )
-    return left.join(right, condition, "full_outer").withColumn(CHANGE, change)
+    return grouped.withColumn(CHANGE, change)
 
 
 def snapshot_diff(

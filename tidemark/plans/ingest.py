@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.model import APPEND, CDC, TableDef, TableSource, requested_tables, text_options
+from tidemark.model import APPEND, CDC, TableDef, TableSource, flag, requested_tables, text_options
 from tidemark.plans.target import TargetTable
 from tidemark.sources.landed import staging_view
-from tidemark.streaming.flows import append_flow, upsert_stream
+from tidemark.streaming.flows import BATCH, append_flow, upsert_stream
 
 
 @dataclass
@@ -22,7 +23,7 @@ class Ingested:
     query: StreamingQuery | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path) if self.target is None else self.target.read()
+        return spark.read.parquet(self.path).drop(BATCH) if self.target is None else self.target.read()
 
 
 def ingest(
@@ -31,7 +32,7 @@ def ingest(
     spec: Mapping[str, object],
     target_root: str,
     *,
-    run_id: int = 0,
+    run_id: int,
     wait: bool = True,
 ) -> dict[str, Ingested]:
     """Bring every table in the spec up to date, each by its mode.
@@ -39,7 +40,8 @@ def ingest(
     `spec` is `{"connection_name", "objects": [{"table": {"source_table",
     "table_configuration"}}]}`, or a mapping table name -> options. All definitions are
     checked before anything runs; then one query per table is started, each in its own
-    scheduler pool. `run_id` numbers a snapshot refresh: repeat it after a failure.
+    scheduler pool, and snapshots are refreshed beside them. `run_id` numbers a snapshot refresh:
+    repeat it after a failure, and take a new one for a new run.
     """
     if "objects" in spec or "connection_name" in spec:
         tables = requested_tables(spec)
@@ -53,10 +55,23 @@ def ingest(
 
     done: dict[str, Ingested] = {}
     pool = "spark.scheduler.pool"
-    for name, (table, options) in plan.items():
+
+    def start(name: str) -> Ingested:
+        table, options = plan[name]
         spark.sparkContext.setLocalProperty(pool, f"ingest-{name}")
-        done[name] = _start(spark, source, table, options, f"{target_root.rstrip('/')}/{name}", run_id)
-    spark.sparkContext.setLocalProperty(pool, None)
+        try:
+            return _start(spark, source, table, options, f"{target_root.rstrip('/')}/{name}", run_id)
+        finally:
+            spark.sparkContext.setLocalProperty(pool, None)
+
+    for name, (table, _) in plan.items():
+        if table.ingestion_mode in (APPEND, CDC):
+            done[name] = start(name)
+    snapshots = [name for name in plan if name not in done]
+    if snapshots:
+        with ThreadPoolExecutor(len(snapshots)) as threads:
+            done |= dict(zip(snapshots, threads.map(start, snapshots), strict=True))
+    done = {name: done[name] for name in plan}
     if wait:
         for result in done.values():
             if result.query is not None:
@@ -85,5 +100,5 @@ def _start(
         return Ingested(table, target, f"{root}/data", upsert_stream(rows, target, checkpoint))
     snapshot = source.read(spark, table.name, None, options)
     staging_view(snapshot, table.name)
-    target.replace(snapshot, run_id, complete=options.get("complete", "true") == "true")
+    target.replace(snapshot, run_id, complete=flag(options, "complete", True))
     return Ingested(table, target, f"{root}/data")

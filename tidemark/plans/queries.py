@@ -22,7 +22,7 @@ from tidemark.operators.latest import latest_per_key
 from tidemark.operators.snapshot import apply_snapshot, open_history, snapshot_diff
 from tidemark.plans.ingest import ingest
 from tidemark.plans.target import TargetTable
-from tidemark.sources import generate, metadata, ranges
+from tidemark.sources import metadata
 from tidemark.sources.catalog import CATALOG
 from tidemark.sources.catalog.fields import fields
 from tidemark.sources.landed import LandedSource, scan_table, stream_table
@@ -204,7 +204,7 @@ select o_custkey, o_orderkey, o_orderstatus, o_totalprice from (
   select * from orders where o_orderdate < timestamp '{day}'
   qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1)
 where o_orderstatus <> 'F'"""
-_SNAPSHOTS = f"with o as ({_OPEN_ORDERS.format(day='1996-01-01')}), n as ({_OPEN_ORDERS.format(day='1998-01-01')})"
+_SNAPSHOTS = f"with o as ({_OPEN_ORDERS.format(day='1996-01-01')}), n as ({_OPEN_ORDERS.format(day='2999-01-01')})"
 
 
 def _open_orders(spark, sf, day: str) -> DataFrame:
@@ -216,7 +216,7 @@ def _open_orders(spark, sf, day: str) -> DataFrame:
 
 
 def _two_snapshots(spark, sf) -> tuple[DataFrame, DataFrame]:
-    return _open_orders(spark, sf, "1996-01-01"), _open_orders(spark, sf, "1998-01-01")
+    return _open_orders(spark, sf, "1996-01-01"), _open_orders(spark, sf, "2999-01-01")
 
 
 @query(
@@ -238,7 +238,7 @@ def q_snapshot_diff(spark, sf):
     return snapshot_diff(old, new, "o_custkey")
 
 
-@query("snapshot_apply", _OPEN_ORDERS.format(day="1998-01-01"))
+@query("snapshot_apply", _OPEN_ORDERS.format(day="2999-01-01"))
 def snapshot_apply(spark, sf):
     old, new = _two_snapshots(spark, sf)
     target = TargetTable(spark, shared_folder(spark, "snapshot"), "o_custkey")
@@ -312,7 +312,7 @@ def append_dedupe_stream(spark, sf):
         events.repartitionByRange(2, "event_id").write.mode("append").parquet(landed)
     rows = stream_table(spark, landed, events.schema, max_files=2)
     append_flow(rows, f"{root}/data", f"{root}/checkpoint", keys=["event_id"]).awaitTermination()
-    return scan_table(spark, f"{root}/data")
+    return scan_table(spark, f"{root}/data").select(*events.columns)
 
 
 # -- cursors and bounded reads ----------------------------------------------------------
@@ -1117,26 +1117,19 @@ def discover_tables(spark, sf):
     return metadata.discover_tables(table(spark, sf, "part").select(kind.alias("objectTypeId"), name.alias("name")))
 
 
-@query(
-    "generate_rows",
-    """select i::bigint as id, true as name_made from range((select min(o_orderkey) from orders), (select min(o_orderkey) + count(*) from orders)) t(i)""",
-)
-def generate_rows(spark, sf):
-    """As many generated rows as there are orders."""
-    size = table(spark, sf, "orders").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("low")).first()
-    rows, _ = generate.generate_rows(spark, "my_table", size["n"], size["low"])
-    return rows.select("id", F.col("name").rlike("^Name_[0-9]{4}$").alias("name_made"))
-
-
 @query(
     "write_and_read_back",
     """select count(*)::bigint as n_rows, count(*)::bigint as n_emails, 0::bigint as n_lost from customer""",
 )
 def write_and_read_back(spark, sf):
-    """One made-up contact per customer, written and compared with what comes back."""
-    contacts = generate.sample_objects(spark, "contacts", table(spark, sf, "customer").count())
+    """Customers written as contacts under the names they come back with, and compared with what comes back."""
+    contacts = table(spark, sf, "customer").select(
+        F.concat(F.lower(F.regexp_replace("c_name", "[^A-Za-z0-9]", ".")), F.lit("@example.com")).alias("email"),
+        F.col("c_name").alias("lastname"), F.col("c_mktsegment").alias("company"),
+    )
+    mapping = {c: f"properties_{c}" for c in contacts.columns}
     path = shared_folder(spark, "contacts")
-    mapping = generate.write_rows(contacts, path)
+    shape.rename_map(contacts, mapping).write.parquet(path)
     returned = scan_table(spark, path)
     lost = joins.rows_present(contacts, returned, mapping).select(F.col("missing_rows").alias("n_lost"))
     sums = returned.agg(
@@ -1149,22 +1142,19 @@ def write_and_read_back(spark, sf):
 _EVENT_VALUES = "select event_id, user_id, event_type, value from events"
 
 
-def _range_options(sf: str) -> dict[str, str]:
-    return {"path": f"{sf}/events.parquet", "cursor": "event_id", "slices": "4"}
-
-
 @query("range_source", _EVENT_VALUES)
 def range_source(spark, sf):
-    spark.dataSource.register(ranges.RangeSource)
-    schema = "event_id bigint, user_id bigint, event_type string, value double"
-    return spark.read.format("offset_range").schema(schema).options(**_range_options(sf)).load()
+    """The events in four ranges of ids, each of which reads the same rows whenever it is read again."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    low, high = events.agg(F.min("event_id") - 1, F.max("event_id")).first()
+    cuts = [low + (high - low) * k // 4 for k in range(5)]
+    return shape.union_tables(*[cursor.read_between(events, "event_id", a, b) for a, b in zip(cuts, cuts[1:])])
 
 
 @query("range_source_stream", _EVENT_VALUES)
 def range_source_stream(spark, sf):
-    spark.dataSource.register(ranges.RangeSource)
-    schema = "event_id bigint, user_id bigint, event_type string, value double"
-    rows = spark.readStream.format("offset_range").schema(schema).options(**_range_options(sf)).load()
+    schema = table(spark, sf, "events").schema
+    rows = stream_table(spark, f"{sf}/events.parquet", schema).select("event_id", "user_id", "event_type", "value")
     root = shared_folder(spark, "range-stream")
     append_flow(rows, f"{root}/data", f"{root}/checkpoint").awaitTermination()
     return scan_table(spark, f"{root}/data")
@@ -1307,20 +1297,21 @@ select c_custkey::varchar as id, c_acctbal < 0 as archived,
        coalesce(string_agg(s_suppkey::varchar, ',' order by s_suppkey), '') as companies,
        c_name as properties_name, cast(trunc(c_acctbal) as bigint) as properties_balance,
        c_mktsegment = 'MACHINERY' as properties_heavy
-from customer left join (select s_nationkey, min(s_suppkey) as s_suppkey from supplier group by s_nationkey) s
-     on c_nationkey = s_nationkey
+from customer left join supplier on c_nationkey = s_nationkey
 group by c_custkey, c_acctbal, c_name, c_mktsegment""",
 )
 def hubspot_contacts(spark, sf):
     from tidemark.sources.catalog.crm import object_table
 
-    first = table(spark, sf, "supplier").groupBy("s_nationkey").agg(F.min("s_suppkey").alias("s_suppkey"))
-    joined = table(spark, sf, "customer").join(first, F.col("c_nationkey") == F.col("s_nationkey"), "left")
-    company = F.struct(F.array(F.struct(F.col("s_suppkey").cast("string").alias("id"))).alias("results"))
+    suppliers = table(spark, sf, "supplier").groupBy("s_nationkey").agg(
+        F.array_sort(F.collect_list("s_suppkey")).alias("suppliers")
+    )
+    joined = table(spark, sf, "customer").join(suppliers, F.col("c_nationkey") == F.col("s_nationkey"), "left")
+    company = F.struct(F.transform("suppliers", lambda s: F.struct(s.cast("string").alias("id"))).alias("results"))
     records = joined.select(
         F.col("c_custkey").cast("string").alias("id"),
         (F.col("c_acctbal") < 0).alias("archived"),
-        F.when(F.col("s_suppkey").isNotNull(), F.struct(company.alias("companies"))).alias("associations"),
+        F.when(F.col("suppliers").isNotNull(), F.struct(company.alias("companies"))).alias("associations"),
         F.struct(
             F.col("c_name").alias("name"),
             F.col("c_acctbal").cast("string").alias("balance"),

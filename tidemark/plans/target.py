@@ -7,7 +7,8 @@ micro-batch does not scale, so a batch is written beside the base and merged whe
     <root>/base/<n>/     the table after a compaction, removed keys kept as tombstones
     <root>/commits/      one small JSON file per finished write
 
-A write counts once its commit file is there; what a lost job left behind is ignored and
+A batch is known by its flow (for a stream, the id of the query that its checkpoint holds) and its number, a snapshot by its
+run. A write counts once its commit file is there; what a lost job left behind is ignored and
 overwritten by the next try. Readers see whole commits only. One writer per table.
 """
 
@@ -65,22 +66,23 @@ class TargetTable:
         base = log.where("kind = 'base'").agg(F.coalesce(F.max("seq"), F.lit(-1)).alias("s")).first()["s"]
         return sorted(log.where(F.col("seq") >= base).collect(), key=lambda r: r["seq"])
 
-    def _is_committed(self, batch_id: int) -> bool:
+    def _is_committed(self, kind: str, batch_id: int, flow: str) -> bool:
         log = self._commits()
-        same = (F.col("kind") == "batch") & (F.col("flow") == self.flow) & (F.col("batch_id") == batch_id)
+        same = (F.col("kind") == kind) & (F.col("flow") == flow) & (F.col("batch_id") == batch_id)
         return log is not None and not log.where(same).isEmpty()
 
-    def _commit(self, seq: int, kind: str, batch_id: int, path: str) -> None:
-        row = self.spark.createDataFrame([(seq, kind, self.flow, batch_id, path)], _COMMIT)
+    def _commit(self, seq: int, kind: str, batch_id: int, path: str, flow: str) -> None:
+        row = self.spark.createDataFrame([(seq, kind, flow, batch_id, path)], _COMMIT)
         row.coalesce(1).write.mode("append").json(f"{self.root}/commits")
 
     # -- writing ---------------------------------------------------------------
 
-    def upsert(self, changes: DataFrame, batch_id: int) -> None:
-        """Apply a batch of changes once, also if it is sent again."""
+    def upsert(self, changes: DataFrame, batch_id: int, flow: str | None = None) -> None:
+        """Apply a batch of changes once, also if it is sent again under the same flow and number."""
+        flow = flow or self.flow
         if not self.keys or not self.sequence:
             raise ValueError("an upsert needs key and sequence columns")
-        if self._is_committed(batch_id):
+        if self._is_committed("batch", batch_id, flow):
             return
         if self.scd == "2":  # the log keeps every change
             rows = self._flagged(changes).distinct() if self._comparable(changes) else self._flagged(changes)
@@ -90,16 +92,16 @@ class TargetTable:
             )
         live = self._live()
         seq = live[-1]["seq"] + 1 if live else 0
-        path = f"{self.root}/batch/{self.flow}-{batch_id}"
+        path = f"{self.root}/batch/{flow}-{batch_id}"
         rows.write.mode("overwrite").parquet(path)
-        self._commit(seq, "batch", batch_id, path)
+        self._commit(seq, "batch", batch_id, path, flow)
         batches = sum(r["kind"] == "batch" for r in live) + 1
         if self.compact_every and batches >= self.compact_every:
             self.compact()
 
     def replace(self, snapshot: DataFrame, run_id: int, *, complete: bool = True) -> None:
-        """Take in a snapshot: current rows (type 1), or history with `run_id` as version (type 2)."""
-        if self._is_committed(run_id):
+        """Take in a snapshot once per run: current rows (type 1), or history with `run_id` as version (type 2)."""
+        if self._is_committed("base", run_id, self.flow):
             return
         live = self._live()
         stored = self.spark.read.parquet(live[0]["path"]) if live else None
@@ -119,7 +121,7 @@ class TargetTable:
         seq = live[-1]["seq"] + 1 if live else 0
         path = f"{self.root}/base/{seq}"
         rows.write.mode("overwrite").parquet(path)
-        self._commit(seq, "base", run_id, path)
+        self._commit(seq, "base", run_id, path, self.flow)
 
     def compact(self) -> None:
         """Write the merged table as a new base."""
@@ -129,7 +131,7 @@ class TargetTable:
         seq = live[-1]["seq"] + 1
         path = f"{self.root}/base/{seq}"
         self._merged(live).write.mode("overwrite").parquet(path)
-        self._commit(seq, "base", -1, path)
+        self._commit(seq, "base", -1, path, "compact")
 
     # -- reading ---------------------------------------------------------------
 

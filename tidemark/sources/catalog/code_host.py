@@ -102,6 +102,8 @@ TABLES = {
         mode=_FLOWS[name][0],
         paths=_PATHS.get(name, {}),
         scope=_scope(name),
+        required=("owner", "repo") if _scope(name) else (),
+        one_of=("owner", "org") if name == "repositories" else (),
     )
     for name, text in _SCHEMAS.items()
 }

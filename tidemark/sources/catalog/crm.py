@@ -58,6 +58,7 @@ def object_table(
         paths=paths,
         id_arrays={other: f"associations.{other}" for other in associations},
         envelope="results",
+        archived=True,
     )
 
 

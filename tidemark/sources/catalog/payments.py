@@ -63,9 +63,6 @@ _PATHS = {
     | {f"shipping_address_{part}": f"shipping.address.{part}" for part in _ADDRESS},
     "invoice_items": {"period_start": "period.start", "period_end": "period.end"},
 }
-# Columns of a subscription item; no service table lists it, it is a spare shape.
-SUBSCRIPTION_ITEM = """created:long subscription price quantity:long billing_thresholds:json
-    tax_rates:json metadata:json"""
 
 
 def _table(name: str, columns: str) -> TableDef:

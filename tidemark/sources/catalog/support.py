@@ -10,7 +10,6 @@ from tidemark.model import TableDef
 from tidemark.sources.catalog.fields import fields
 
 # Table schemas, response keys, and the child event taken as a comment.
-COMMENT_EVENT = "Comment"
 _NAMED = {"maps": T.ArrayType(T.MapType(T.StringType(), T.StringType()))}
 _SCHEMAS = {
     "tickets": """id:long url external_id via:map created_at updated_at type subject raw_subject
@@ -56,6 +55,7 @@ TABLES = {
         keys=("id",),
         cursor="updated_at",
         envelope=_ENVELOPES.get(name, name),
+        events=name == "ticket_comments",
     )
     for name, text in _SCHEMAS.items()
 }

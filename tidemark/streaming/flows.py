@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.append import dedupe_append
 from tidemark.plans.target import TargetTable
 
+BATCH = "append_batch"
+
 
 def upsert_stream(
     rows: DataFrame, target: TargetTable, checkpoint: str, *, name: str | None = None, once: bool = True
@@ -22,7 +25,9 @@ def upsert_stream(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        target.upsert(batch, batch_id)
+        # The id of the query lives in its checkpoint: a new checkpoint starts a new flow at batch 0.
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        target.upsert(batch, batch_id, query_id)
 
     writer = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _start(writer, name, once)
@@ -41,10 +46,13 @@ def append_flow(
 ) -> StreamingQuery:
     """Start a query that appends rows to a parquet folder, exactly once per input row.
 
-    With `keys` a row that the source sends again is dropped, see `dedupe_append`.
+    With `keys` a row that the source sends again is dropped: each micro-batch is compared with the keys that are stored
+    already, so that no state grows with the table and no late row is lost. With `event_time` only stored rows that are
+    no older than `delay` before the batch's oldest row are looked at; a repeat that comes later than that is kept.
+    The folder then has a column `append_batch`, the query and number of the micro-batch that wrote a row.
     """
     if keys:
-        rows = dedupe_append(rows, keys, event_time=event_time, delay=delay)
+        return _start(rows.writeStream.foreachBatch(_append_once(path, list(keys), event_time, delay)).option("checkpointLocation", checkpoint), name, once)
     writer = (
         rows.writeStream.outputMode("append")
         .format("parquet")
@@ -54,6 +62,26 @@ def append_flow(
     return _start(writer, name, once)
 
 
+def _append_once(path: str, keys: list[str], event_time: str | None, delay: str):
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        own = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+        stored = None
+        try:
+            # A batch that is sent again after a failure replaces what it wrote before.
+            stored = spark.read.parquet(path).where(F.col(BATCH) != own)
+        except AnalysisException:
+            pass  # nothing written yet
+        if stored is not None and event_time is not None:
+            oldest = batch.agg(F.min(event_time)).first()[0]
+            if oldest is not None:
+                stored = stored.where(F.col(event_time) >= F.lit(oldest) - F.expr(f"interval {delay}"))
+        fresh = dedupe_append(batch, keys, stored=stored)
+        fresh.write.mode("overwrite").parquet(f"{path}/{BATCH}={own}")
+
+    return apply
+
+
 def _start(writer, name: str | None, once: bool) -> StreamingQuery:
     if name:
         writer = writer.queryName(name)
