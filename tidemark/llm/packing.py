@@ -23,7 +23,7 @@ from tidemark.llm.helpers import arrow_map, cut
 CAPACITY = 1024
 END_ID = 2
 #: Words whose ids a worker remembers, and parts of words; then a new memory begins and takes over what still occurs.
-REMEMBERED = 250_000
+REMEMBERED = 300_000
 #: Pieces of one length that one task ranks, about.
 RANKED_TOGETHER = 8192
 #: Exchanges that the local search applies at most; it only matters for how close the plan comes to the bound.
@@ -65,18 +65,31 @@ class WordEncoder:
         if len(self.pieces) > REMEMBERED:
             self.pieces, self.older_pieces = {}, self.pieces
         parts = [t.split(" ") for t in texts]
-        new = {w for p in parts for w in p} - self.later.keys()
-        uneven = {w for w in new if not w or w[0].isspace() or w[-1].isspace()}
+        first, later, older = self.first, self.later, self.older_later
+        new = set().union(*parts) - later.keys()
+        uneven = {w for w in new if not w or w.strip() != w}
         if uneven:  # white space beside a space: only the other spaces can be cut at
             parts = [_CUT.split(t) if not uneven.isdisjoint(p) else p for t, p in zip(texts, parts, strict=True)]
-        first, later = self.first, self.later
+            new = set().union(*parts) - later.keys()
         for p in parts:
             if p[0] not in first:
                 first[p[0]] = self._ids(p[0])
-        for w in {w for p in parts for w in p[1:]} - later.keys():
-            later[w] = self.older_later.get(w) or self._ids(" " + w)
+        for w in new:
+            later[w] = older.get(w) or self._later_ids(w)
         return [first[p[0]] + b"".join(map(later.__getitem__, p[1:])) for p in parts]
 
+    def _later_ids(self, word: str) -> bytes:
+        """Ids of a space and the word."""
+        plain = _PLAIN.fullmatch(word)
+        if plain is None:
+            return self._ids(" " + word)
+        head, tail = plain.groups()
+        if head.isascii():  # such letters stand for themselves, and U+0120 for the space
+            found = self._known("\u0120" + head)
+        else:
+            found = self._piece(" " + head)
+        return found + self._known(tail) if tail else found
+
     def _ids(self, word: str) -> bytes:
         start = word[:1] == " "
         plain = _PLAIN.fullmatch(word, start)
