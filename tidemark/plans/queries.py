@@ -1485,3 +1485,182 @@ def q_ingest(spark, sf):
         for n, k in kinds.items()
     ]
     return shape.union_tables(*parts)
+
+
+# -- more service tables: one query for each shape of keys and columns ---------------------
+
+
+@query(
+    "github_branches",
+    """
+select 'acme' as repository_owner, p_brand as repository_name, p_name || '#' || p_partkey as name,
+       'c' || p_partkey as commit_sha, p_size % 2 = 0 as protected
+from part""",
+)
+def github_branches(spark, sf):
+    """A composite key of two scope columns and the name; each branch is landed in two states."""
+    part = table(spark, sf, "part")
+    records = part.select(
+        F.concat_ws("#", "p_name", "p_partkey").alias("name"),
+        F.struct(F.concat(F.lit("c"), "p_partkey").alias("sha")).alias("commit"),
+        (F.pmod("p_size", F.lit(2)) == 0).alias("protected"),
+        F.col("p_brand").alias("repo"),
+    )
+    landed = as_payload(records, "repo").withColumn("owner", F.lit("acme"))
+    definition = CATALOG["github"]["branches"]
+    new = table_rows(landed, definition)
+    old = new.where("protected").withColumn("protected", F.lit(False))
+    current = apply_snapshot(old, new, definition.keys)
+    return current.select("repository_owner", "repository_name", "name", F.col("commit.sha").alias("commit_sha"), "protected")
+
+
+@query(
+    "github_repositories",
+    """
+select p_partkey as id, 'o' || p_size as repository_owner, p_name as repository_name, 'o' || p_size as owner_login,
+       p_retailprice > 1000 as private, p_partkey * 3 as size, 2::bigint as n_topics
+from part""",
+)
+def github_repositories(spark, sf):
+    owner = F.concat(F.lit("o"), "p_size")
+    records = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.struct(owner.alias("login")).alias("owner"),
+        (F.col("p_retailprice") > 1000).alias("private"), (F.col("p_partkey") * 3).alias("size"),
+        F.array("p_brand", "p_type").alias("topics"),
+    )
+    rows = table_rows(as_payload(records), CATALOG["github"]["repositories"])
+    return rows.select(
+        "id", "repository_owner", "repository_name", F.col("owner.login").alias("owner_login"), "private", "size",
+        F.size("topics").cast("bigint").alias("n_topics"),
+    )
+
+
+@query(
+    "stripe_charges",
+    """
+select 'ch_' || o_orderkey as id, cast(trunc(o_totalprice * 100) as bigint) as amount, o_orderstatus = 'F' as captured,
+       epoch(o_orderdate)::bigint as created, '{"priority":"' || o_orderpriority || '"}' as metadata
+from orders""",
+)
+def stripe_charges(spark, sf):
+    records = table(spark, sf, "orders").select(
+        F.concat(F.lit("ch_"), "o_orderkey").alias("id"),
+        F.expr("cast(o_totalprice * 100 as bigint)").alias("amount"),
+        F.when(F.col("o_orderstatus") == "F", "yes").otherwise("no").alias("captured"),
+        F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).cast("string").alias("created"),
+        F.struct(F.col("o_orderpriority").alias("priority")).alias("metadata"),
+    )
+    rows = table_rows(as_payload(records), CATALOG["stripe"]["charges"])
+    return rows.select("id", "amount", "captured", "created", "metadata")
+
+
+@query(
+    "zendesk_organizations",
+    """
+select s_suppkey as id, s_name as name, 2::bigint as n_domains, n_name as tag, 'v' as first_field
+from supplier join nation on s_nationkey = n_nationkey""",
+)
+def zendesk_organizations(spark, sf):
+    joined = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    records = joined.select(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.array(F.lit("a.example"), "s_name").alias("domain_names"),
+        F.array("n_name").alias("tags"), F.struct(F.lit("v").alias("k")).alias("organization_fields"),
+    )
+    rows = table_rows(as_payload(records), CATALOG["zendesk"]["organizations"])
+    return rows.select(
+        "id", "name", F.size("domain_names").cast("bigint").alias("n_domains"), F.col("tags")[0].alias("tag"),
+        F.col("organization_fields")["k"].alias("first_field"),
+    )
+
+
+@query(
+    "hubspot_deals",
+    """
+select o_orderkey::varchar as id, cast(trunc(o_totalprice) as bigint) as properties_amount, o_custkey::varchar as contacts,
+       '' as companies, string_agg(l_partkey::varchar, ',' order by l_partkey, l_linenumber) as tickets
+from orders join lineitem on l_orderkey = o_orderkey group by o_orderkey, o_totalprice, o_custkey""",
+)
+def hubspot_deals(spark, sf):
+    """Three associations, one of which is never there."""
+    from tidemark.sources.catalog.crm import object_table
+
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("l_partkey", "l_linenumber"))).alias("lines")
+    )
+    joined = table(spark, sf, "orders").join(lines, F.col("l_orderkey") == F.col("o_orderkey"))
+    ids = lambda a: F.struct(a.alias("results"))
+    one = F.array(F.struct(F.col("o_custkey").cast("string").alias("id")))
+    many = F.transform("lines", lambda x: F.struct(x["l_partkey"].cast("string").alias("id")))
+    records = joined.select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.struct(ids(one).alias("contacts"), ids(many).alias("tickets")).alias("associations"),
+        F.struct(F.col("o_totalprice").cast("string").alias("amount")).alias("properties"),
+    )
+    rows = table_rows(as_payload(records), object_table("deals", [("amount", "number")]))
+    joined_ids = [F.array_join(c, ",").alias(c) for c in ("contacts", "companies", "tickets")]
+    return rows.select("id", "properties_amount", *joined_ids)
+
+
+@query(
+    "snapshot_replay",
+    _SNAPSHOTS
+    + """
+select o.o_custkey, o.o_orderkey, 1::bigint as start_at,
+       case when n.o_custkey is null or o.o_orderkey <> n.o_orderkey
+              or o.o_orderstatus is distinct from n.o_orderstatus
+              or o.o_totalprice is distinct from n.o_totalprice then 2::bigint end as end_at
+from o left join n on o.o_custkey = n.o_custkey
+union all
+select n.o_custkey, n.o_orderkey, 2::bigint, null
+from n left join o on o.o_custkey = n.o_custkey
+where o.o_custkey is null or o.o_orderkey <> n.o_orderkey
+   or o.o_orderstatus is distinct from n.o_orderstatus or o.o_totalprice is distinct from n.o_totalprice""",
+)
+def snapshot_replay(spark, sf):
+    """A snapshot run that is sent again, with other rows even, counts once."""
+    old, new = _two_snapshots(spark, sf)
+    target = TargetTable(spark, shared_folder(spark, "replay"), "o_custkey", scd_type=2)
+    for rows, run in ((old, 1), (new, 2), (old, 2)):
+        target.replace(rows, run)
+    return target.read().select("o_custkey", "o_orderkey", F.col(START).alias("start_at"), F.col(END).alias("end_at"))
+
+
+@query(
+    "conform_rejects",
+    """
+select event_id, event_id % 7 = 0 or event_type is null as bad,
+       case when event_id % 7 <> 0 then event_id end as n
+from events""",
+)
+def conform_rejects(spark, sf):
+    """Records of which every seventh holds no number where one must be; the others pass."""
+    value = F.when(F.pmod("event_id", F.lit(7)) == 0, "x").otherwise(F.col("event_id").cast("string"))
+    records = table(spark, sf, "events").select("event_id", value.alias("n"), F.col("event_type").alias("kind"))
+    rows = table_rows(as_payload(records), TableDef("t", fields("event_id:long! n:long kind!"), ("event_id",), "n"), mode="permissive")
+    return rows.select("event_id", (F.size("_errors") > 0).alias("bad"), "n")
+
+
+@query(
+    "ingest_options",
+    """
+select o_orderkey as id, o_orderstatus as label from orders
+where o_orderdate >= timestamp '1995-01-01' and o_custkey % 2 = 1 and o_orderstatus <> 'P'""",
+)
+def ingest_options(spark, sf):
+    """One table with a start, a scope, an archived flag and a transform hook."""
+    root = shared_folder(spark, "ingest-options")
+    records = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.lower("o_orderstatus").alias("label"), iso("o_orderdate").alias("updated_at"),
+        (F.col("o_orderstatus") == "P").alias("archived"),
+        F.when(F.col("o_custkey") % 2 == 1, "acme").otherwise("other").alias("owner"), F.lit("shop").alias("repo"),
+    )
+    as_payload(records, "owner", "repo").write.parquet(f"{root}/landed/options_of_orders")
+    definition = TableDef(
+        "options_of_orders", fields("id:long! label updated_at archived:boolean"), ("id",), "updated_at",
+        required=("owner", "repo"), archived=True,
+    )
+    shape.register_shape("options_of_orders", lambda df: df.withColumn("label", F.upper("label")))
+    options = {"owner": "acme", "repo": "shop", "start_date": "1995-01-01T00:00:00Z"}
+    source = LandedSource(f"{root}/landed", {definition.name: definition})
+    done = ingest(spark, source, {definition.name: options}, f"{root}/target", run_id=1)
+    return done[definition.name].read(spark).select("id", "label")
