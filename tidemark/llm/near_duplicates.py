@@ -23,7 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
@@ -128,29 +128,35 @@ def _shared_elsewhere(placed: DataFrame, texts: DataFrame) -> DataFrame:
     Of an id with several texts, n is that of the smallest and the others are those of all, which keeps bounds bounds.
     """
     pool = placed.groupBy("id", "component").agg(F.max_by("hub", F.struct("size", F.negative("hub"))).alias("center"))
+    centers = pool.select(F.col("center").alias("id"), F.lit(True).alias("is_center")).distinct()
+    pool = pool.join(centers, "id", "left")
 
     def work(batch: pa.RecordBatch):
         for part in slices(batch, "text"):
             shingles, bounds = shingle_hashes(*word_hashes(*text_buffers(part.column("text"))))
-            for i in range(part.num_rows):
+            columns = [part.column(c).to_pylist() for c in ("id", "component", "center", "is_center")]
+            for i, (key, component, center, is_center) in enumerate(zip(*columns, strict=True)):
                 own = np.unique(shingles[bounds[i] : bounds[i + 1]]).view(np.int64)
-                take = pa.array(np.full(len(own), i))
-                held = [part.column(c).take(take) for c in ("id", "component", "center")]
-                yield pa.RecordBatch.from_arrays(
-                    [*held, pa.array(own), pa.array(np.full(len(own), len(own)))],
-                    ["id", "component", "center", "shingle", "size"],
-                )
-
-    rows = cut(arrow_map(texts.join(pool, "id"), work, "id long, component long, center long, shingle long, size long"))
-    holders = rows.groupBy("shingle").agg((F.min("component") < F.max("component")).cast("long").alias("common"))
-    owned = rows.groupBy("id", "component", "center", "shingle").agg(F.min("size").alias("size"))
-    centers = pool.select("center").distinct()
-    of_centers = rows.select(F.col("id").alias("center"), "shingle").join(centers, "center", "left_semi").distinct()
-    told = owned.join(holders, "shingle").join(of_centers.withColumn("in_center", F.lit(1)), ["center", "shingle"], "left")
-    inside = F.coalesce("in_center", F.lit(0))
+                # A centre that has another centre itself also lies among those that have it as theirs.
+                for of in (center, key) if is_center and center != key else (center,):
+                    values = [np.full(len(own), v, dtype=np.int64) for v in (key, component, of, len(own), center)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own), *map(pa.array, values)], ["shingle", "id", "component", "center", "size", "own_center"]
+                    )
+
+    # One exchange, by shingle: who else has it, and whether the centre has.
+    rows = arrow_map(
+        texts.join(pool, "id"), work, "shingle long, id long, component long, center long, size long, own_center long"
+    )
+    holders, beside = Window.partitionBy("shingle"), Window.partitionBy("shingle", "center")
+    told = rows.select(
+        "id", "component", "center", "size", "own_center",
+        (F.min("component").over(holders) < F.max("component").over(holders)).cast("long").alias("common"),
+        F.max((F.col("id") == F.col("center")).cast("long")).over(beside).alias("inside"),
+    ).filter("center = own_center")
     return told.groupBy("id", "component", "center").agg(
-        F.min("size").alias("n"), F.sum("common").alias("common"), F.sum(inside).alias("inside"),
-        F.sum(F.col("common") * (1 - inside)).alias("outside"),
+        F.min("size").alias("n"), F.sum("common").alias("common"), F.sum("inside").alias("inside"),
+        F.sum(F.col("common") * (1 - F.col("inside"))).alias("outside"),
     )
 
 
