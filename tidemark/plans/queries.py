@@ -1153,9 +1153,11 @@ def range_source(spark, sf):
 
 @query("range_source_stream", _EVENT_VALUES)
 def range_source_stream(spark, sf):
-    schema = table(spark, sf, "events").schema
-    rows = stream_table(spark, f"{sf}/events.parquet", schema).select("event_id", "user_id", "event_type", "value")
+    """The events landed in ranges of ids, and streamed one file after another."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
     root = shared_folder(spark, "range-stream")
+    events.repartitionByRange(4, "event_id").write.parquet(f"{root}/landed")
+    rows = stream_table(spark, f"{root}/landed", events.schema, max_files=1)
     append_flow(rows, f"{root}/data", f"{root}/checkpoint").awaitTermination()
     return scan_table(spark, f"{root}/data")
 
