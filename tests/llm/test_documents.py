@@ -224,6 +224,25 @@ def test_secrets(spark):
     assert redact(docs.limit(0), model).count() == 0 and findings(docs.drop("source").limit(0)).count() == 0
 
 
+def test_secrets_after_an_equals_sign(spark):
+    rnd = random.Random(18)
+    hexa, mixed = hashlib.sha1(b"e").hexdigest(), "wJalrXUtnFEMI/K7MDENG/bPxRfiCY4Zq9TvLs2h"
+    forms = [
+        ("password={}", hexa), ("see https://h.org/p?access_token={}&page=2", hexa), ("export AWS_SECRET_ACCESS_KEY={}", mixed),
+        ("AWS_SECRET_ACCESS_KEY='{}'", mixed), ("api_key={} next", mixed[:-1] + "=="),
+    ]
+    texts = [prose(rnd, 40) for _ in range(60)] + ["some words " + form.format(key) for form, key in forms]
+    docs = table_of(spark, texts)
+    model = train_secrets(constructed_findings(docs))
+    judged = model.judge(findings(docs)).collect()
+    assert {(r.doc_id, r.value) for r in judged} == {(60 + k, key) for k, (_, key) in enumerate(forms)}
+    assert all(texts[r.doc_id][r.start : r.start + len(r.value)] == r.value for r in judged)
+    assert all(texts[r.doc_id][: r.start].endswith(r.before) and len(r.before) == min(r.start, 48) for r in judged)
+    assert all(r.secret for r in judged)
+    rows = {r.doc_id: r.text for r in redact(docs, model).collect()}
+    assert not any(key in rows[60 + k] for k, (_, key) in enumerate(forms))
+
+
 def test_licenses(spark):
     rnd = random.Random(9)
     mit, gpl3 = TEMPLATES["MIT"][1], TEMPLATES["GPL-3.0"][1]

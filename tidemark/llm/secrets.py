@@ -1,6 +1,7 @@
 """Secrets in texts: candidate strings, judged by a random forest that removes false positives. Built-in functions only.
 
-A candidate is a run of 16 or more characters of the usual alphabets of keys with a digit in it. The forest sees its
+A candidate is a run of 16 or more characters of the usual alphabets of keys with a digit in it. It may follow '=' as in
+NAME=value; '=' belongs to it only at the end, as padding that no further value follows. The forest sees its
 length, the classes of its characters and how often they change, how usual its character pairs are among secrets, how
 much of it dictionary words cover, words of the document's path, and the words beside it. It learns from labelled
 findings (value, before, after, path, label); the weights of character pairs (a number for each two of 128 characters)
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.helpers import cut, text_of
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}+={0,2}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
 CONTEXT = 48
 MARK = "\x01"
 REDACTED = "[REDACTED]"
@@ -57,6 +58,7 @@ def findings(docs: DataFrame, path_column: str = "source") -> DataFrame:
         "parts", F.array(F.lit(0)),
         lambda a, p: F.concat(a, F.array(F.element_at(a, -1) + F.length(p))),
     )
+    # What stands before a candidate may be one itself, such as a long name; three with what is between them fill the context.
     places = F.sequence(F.lit(1), F.size("parts") - 2, F.lit(2))
     at = lambda name, k: F.get(name, k)
     found = F.transform(
@@ -64,7 +66,7 @@ def findings(docs: DataFrame, path_column: str = "source") -> DataFrame:
         lambda k: F.struct(
             at("ends", k).alias("start"),
             at("parts", k).alias("value"),
-            F.right(at("parts", k - 1), F.lit(CONTEXT)).alias("before"),
+            F.right(F.array_join(F.slice("parts", F.greatest(k - 5, F.lit(1)), F.least(k, F.lit(6))), ""), F.lit(CONTEXT)).alias("before"),
             F.left(at("parts", k + 1), F.lit(CONTEXT)).alias("after"),
         ),
     )
