@@ -27,8 +27,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; documents without words or without an id stay."""
-    found = near_duplicates(docs).filter("not kept").select(F.col("id").alias("_dropped")).distinct()
+    """The document with the smallest id of each group, linked at a similarity of 80 percent; documents without words or
+    without an id stay."""
+    found = near_duplicates(docs, percent=80).filter("not kept").select(F.col("id").alias("_dropped")).distinct()
     return docs.join(found, F.col("doc_id") == F.col("_dropped"), "left_anti").select(docs.columns)
 
 

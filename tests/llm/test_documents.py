@@ -121,6 +121,22 @@ def test_near_duplicates(spark):
         near_duplicates(table_of(spark, []), percent=50)
 
 
+def test_pipeline_drops_near_duplicates_from_80_percent_on(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(17)
+    texts = []
+    for _ in range(30):
+        own = [f"w{rnd.getrandbits(40)}" for _ in range(104)]
+        texts += [" ".join(own), " ".join([*own[:93], *(f"x{w}" for w in own[93:])])]
+    pairs = [(text_shingles(a), text_shingles(b)) for a, b in zip(texts[::2], texts[1::2], strict=True)]
+    assert {len(a & b) / len(a | b) for a, b in pairs} == {89 / 111}
+    docs = table_of(spark, texts)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 60, 2))
+    assert near_duplicates(docs, percent=81).filter("not kept").count() == 0
+
+
 def repeats_brute(texts, length=200):
     data = [(t or "").encode() for t in texts]
     seen = collections.Counter(b[i : i + length] for b in data for i in range(len(b) - length + 1))

@@ -7,7 +7,8 @@ stays empty. Two sets agree in a place with their Jaccard similarity as probabil
 places is concentrated as if the places were drawn independently.
 
 Sets above the threshold meet in at least one of 25 bands of 5 places but for a chance of 4e-7 at a similarity of
-0.85, and less above it. Documents with equal sets are one class and are compared once. In a band each class is
+0.85, and less above it. For thresholds from 0.80 to under 0.85 there are 32 bands of 4 places, which miss a pair at 0.80
+with a chance of 5e-8. Documents with equal sets are one class and are compared once. In a band each class is
 compared with the most central class there, the one whose bands hold the most classes (of a group of edited copies,
 that is a text close to the original). When the links found so far have been joined into components, only classes of
 different components that share a band are still compared, so that groups of copies never make all their pairs. Of
@@ -31,10 +32,9 @@ from tidemark.llm.helpers import arrow_map, cut
 from tidemark.llm.words import mix, shingle_hashes, slices, text_buffers, text_shingles, word_hashes
 
 COORDINATES = 128
-BANDS, ROWS = 25, 5
-#: A pair is verified if more places than this agree. At a similarity of 0.85, 84 or fewer of 128 agree with a chance
-#: of 1e-8 (binomial tail).
-AGREE = 84
+#: From a threshold in percent on: bands, the places of each, and the number of agreeing places above which a pair is verified.
+#: At a similarity of 0.85, 84 or fewer of 128 agree with a chance of 1e-8, at 0.80 74 or fewer (binomial tails).
+LAYOUTS = {85: (25, 5, 84), 80: (32, 4, 74)}
 _U = np.uint64
 _UNSET = np.iinfo(np.uint64).max
 
@@ -81,16 +81,23 @@ def sketch_documents(docs: DataFrame, id_column: str = "doc_id", text_column: st
     return arrow_map(columns, work, "id long, n_shingles long, digest binary, sketch binary")
 
 
-def _band_rows(classes: DataFrame) -> DataFrame:
+def _layout(percent: int) -> tuple[int, int, int]:
+    """The layout of the largest threshold that is not above `percent`."""
+    return LAYOUTS[max(p for p in LAYOUTS if p <= percent)]
+
+
+def _band_rows(classes: DataFrame, percent: int) -> DataFrame:
     """(band, id) for each class and band; the key holds the number of the band."""
+    bands, places, _ = _layout(percent)
     keys = [
-        F.xxhash64(F.lit(k), F.substring("sketch", 1 + 2 * ROWS * k, 2 * ROWS)) for k in range(BANDS)
+        F.xxhash64(F.lit(k), F.substring("sketch", 1 + 2 * places * k, 2 * places)) for k in range(bands)
     ]
     return classes.select("id", F.explode(F.array(*keys)).alias("band"))
 
 
-def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose sketches agree in more than AGREE places."""
+def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches agree in as many places as the layout asks for."""
+    agree = _layout(percent)[2]
     side = lambda c: classes.select(F.col("id").alias(c), F.col("sketch").alias(f"sketch_{c}"))
 
     def work(batch: pa.RecordBatch):
@@ -98,7 +105,7 @@ def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             np.frombuffer(b"".join(batch.column(f"sketch_{c}").to_pylist()), dtype=np.uint16).reshape(-1, COORDINATES)
             for c in "ab"
         )
-        keep = pa.array((one == two).sum(axis=1) > AGREE)
+        keep = pa.array((one == two).sum(axis=1) > agree)
         yield batch.select(["a", "b"]).filter(keep)
 
     return arrow_map(pairs.join(side("a"), "a").join(side("b"), "b"), work, "a long, b long")
@@ -190,7 +197,7 @@ def near_duplicates(
     """(id, n_shingles, component_id, kept) for every row of `docs`.
 
     Documents are linked if 100 * intersection >= percent * union of their distinct five-word shingles; percent is 80
-    or more (the bands are laid out for 85 and still find a link at 80 with a chance of 1 - 1e-4). component_id is
+    or more. component_id is
     the smallest id that links lead to. Rows without words, with a null text or a null id are linked with nothing;
     a null id has a null component and is kept. Rows that repeat an id are one vertex. Other columns are not read.
     """
@@ -211,7 +218,7 @@ def near_duplicates(
     links = members.join(repeated.filter("least < most"), "id").filter("first > least").select(
         F.col("first").alias("a"), F.col("least").alias("b")
     )
-    bands = _band_rows(classes)
+    bands = _band_rows(classes, percent)
     sizes = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     shared = cut(bands.join(sizes, "band"))
     busy = cut(shared.select("id").distinct())
@@ -223,14 +230,14 @@ def near_duplicates(
     spokes = shared.join(hubs, "band").filter("id <> hub").select(
         F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")
     )
-    first_pairs = cut(_alike(spokes.distinct(), classes))
+    first_pairs = cut(_alike(spokes.distinct(), classes, percent))
     links = cut(links.union(_verified(first_pairs, texts, percent)))
     found = connected_components(links)
     placed = shared.select("band", "id", F.col("n").alias("size")).join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     placed = cut(placed.join(mixed.filter("least < most").select("band"), "band").join(hubs, "band"))
     across = _across(placed, _shared_elsewhere(placed, texts), percent)
-    more = cut(_alike(across, classes).join(first_pairs, ["a", "b"], "left_anti"))
+    more = cut(_alike(across, classes, percent).join(first_pairs, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         found = connected_components(links.union(_verified(more, texts, percent)))
     labels = members.join(found.withColumnRenamed("id", "first"), "first", "left").groupBy("id").agg(
