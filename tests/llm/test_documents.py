@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.decontaminate import contained_items, decontaminate, report
+from tidemark.llm.decontaminate import ItemIndex, contained_items, decontaminate, report
 from tidemark.llm.licenses import TEMPLATES, license_notices
 from tidemark.llm.near_duplicates import near_duplicates, sketches
 from tidemark.llm.packing import WordEncoder, best_fit, local_search, pack_documents
@@ -205,6 +205,20 @@ def test_containment(spark):
     assert contained_items(docs, bench.limit(0)).count() == 0 and report(docs.limit(0), bench).count() == 0
 
 
+def test_short_items_in_long_documents():
+    rnd = random.Random(16)
+    items = [(i, " ".join(f"v{rnd.getrandbits(40)}" for _ in range(5 + i % 8))) for i in range(800)]
+    texts = []
+    for _, item in items:
+        around = [f"u{rnd.getrandbits(40)}" for _ in range(400)]
+        at = rnd.randrange(400)
+        texts.append(" ".join([*around[:at], item, *around[at:]]))
+    index = ItemIndex(items)
+    found = index.candidates(*shingle_hashes(*word_hashes(*text_buffers(pa.array(texts)))))
+    assert {(i, i) for i in range(len(items))} <= found
+    assert index.candidates(*shingle_hashes(*word_hashes(*text_buffers(pa.array([None, "", "a b"]))))) == set()
+
+
 def test_quality(spark):
     rnd = random.Random(7)
     texts = [None, ""] + [prose(rnd, 60) if k % 3 else " ".join(w + "!!" for w in prose(rnd, 60).upper().split()) for k in range(240)]

@@ -1,12 +1,13 @@
 """Benchmark items inside documents: containment search by MinHash over partitions of similar size, verified exactly.
 
 A short item and a long document have a small Jaccard similarity even if the document holds all of the item. So items
-are partitioned by the number of their shingles, in classes up to 16, 32, 64 ..., and a document is seen as windows of twice
+are partitioned by the number of their distinct shingles, in classes up to 16, 32, 64 ..., and a document is seen as windows of twice
 the class's size that overlap by half; an item of the class that a document quotes lies in one of its windows, and
 there the Jaccard similarity is at least 0.19 for a containment of 0.8. MINIMA minimal hashes, any of which may agree, find
 such a window but for a chance of 2e-6. The minima of windows are minima of the minima of small blocks, so that
 each shingle is hashed MINIMA times whatever the classes. Each candidate is then judged by the share of the item's distinct
-shingles that the whole document has, compared as words.
+shingles that the whole document has, compared as words. Items of up to EXACT distinct shingles would be too small a part
+of their windows; every document that has one of their shingles is a candidate.
 
 Items go to the tasks in chunks of bounded size (CHUNK_BYTES of text), one pass over the documents for each chunk.
 """
@@ -23,6 +24,8 @@ from tidemark.llm.words import mix, shingle_hashes, slices, text_buffers, text_s
 
 MINIMA = 64
 BLOCK = 8
+#: Items of so many distinct shingles or fewer are looked up by each of them.
+EXACT = 8
 CONTAINMENT = 0.8
 CHUNK_BYTES = 4 << 20
 
@@ -41,7 +44,7 @@ def _item_class(size: int) -> int:
 
 
 class ItemIndex:
-    """Minimal hashes and exact shingles of one chunk of items."""
+    """Minimal hashes of the longer items of one chunk, hashes of the shingles of short ones, and all exact shingles."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [i for i, _ in items]
@@ -49,9 +52,17 @@ class ItemIndex:
         hashes, bounds = shingle_hashes(*word_hashes(*text_buffers(pa.array([t for _, t in items], pa.string()))))
         self.classes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         members: dict[int, list[int]] = {}
+        short: list[int] = []
         for i in range(len(items)):
-            if self.shingles[i]:
+            if 0 < len(self.shingles[i]) <= EXACT:
+                short.append(i)
+            elif self.shingles[i]:
                 members.setdefault(_item_class(len(self.shingles[i])), []).append(i)
+        self.short: dict[int, list[int]] = {}
+        for i in short:
+            for h in set(hashes[bounds[i] : bounds[i + 1]].tolist()):
+                self.short.setdefault(h, []).append(i)
+        self.short_hashes = np.array(sorted(self.short), dtype=_U)
         for most, of in members.items():
             keys = np.stack([(hashes[bounds[i] : bounds[i + 1], None] * _FACTORS).min(axis=0) for i in of])
             # The number of the hash goes into the key, so that one sorted list serves all hashes.
@@ -60,8 +71,18 @@ class ItemIndex:
             self.classes[most] = keys[order], np.repeat(of, MINIMA)[order]
 
     def candidates(self, hashes: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int]]:
-        """(document, item) pairs, by place, of which a window and the item agree in a minimal hash."""
+        """(document, item) pairs, by place, of which a window and the item agree in a minimal hash, or the document and a
+        short item in a shingle's."""
         counts = np.diff(bounds)
+        found: set[tuple[int, int]] = set()
+        if len(self.short_hashes):
+            at = np.minimum(np.searchsorted(self.short_hashes, hashes), len(self.short_hashes) - 1)
+            places = np.flatnonzero(self.short_hashes[at] == hashes)
+            documents = np.searchsorted(bounds, places, side="right") - 1
+            for d, h in set(zip(documents.tolist(), hashes[places].tolist(), strict=True)):
+                found.update((d, i) for i in self.short[h])
+        if not self.classes:
+            return found
         blocks = -(-counts // BLOCK)
         first = np.concatenate([[0], np.cumsum(blocks)])
         document = np.repeat(np.arange(len(counts)), blocks)
@@ -73,7 +94,6 @@ class ItemIndex:
         for k in range(MINIMA):
             np.min(columns * _FACTORS[k], axis=0, out=minima[k])
         last = first[1:][document] - 1
-        found: set[tuple[int, int]] = set()
         here = np.arange(int(first[-1]))
         offset = (np.arange(MINIMA, dtype=_U) * _U(0x9E3779B97F4A7C15))[:, None]
         for most, (keys, items) in sorted(self.classes.items()):
