@@ -12,7 +12,7 @@ import pytest
 
 from tidemark.llm.components import connected_components
 from tidemark.llm.decontaminate import ItemIndex, contained_items, decontaminate, report
-from tidemark.llm.licenses import TEMPLATES, license_notices
+from tidemark.llm.licenses import TEMPLATES, LicenseScanner, blocks, license_notices
 from tidemark.llm.near_duplicates import near_duplicates, sketches
 from tidemark.llm.packing import WordEncoder, best_fit, local_search, pack_documents
 from tidemark.llm.quality import score_quality, train_quality
@@ -292,6 +292,23 @@ def test_licenses(spark):
     assert license_notices(table_of(spark, [])).count() == 0
 
 
+def test_licenses_in_long_lines_and_together():
+    rnd = random.Random(19)
+    common = "the of and to in a is that this work by software under or be copies license version free".split()
+    around = [" ".join(rnd.choice(common) for _ in range(200)) for _ in range(2)]
+    bsd = TEMPLATES["BSD-3-Clause"][1]
+    scanner = LicenseScanner(TEMPLATES)
+    names = lambda text: [x[0] for _, b in blocks(text) for x in scanner.scan(b)]
+    assert names(f"{around[0]} Released under the MIT License. {around[1]}") == ["MIT"]
+    assert names("Released under the MIT License.\n\nLicensed under CC BY 4.0.") == ["MIT", "CC-BY-4.0"]
+    assert names(f"{TEMPLATES['MIT'][1]}\n{bsd}\nand\n{TEMPLATES['Apache-2.0'][1]}") == ["MIT", "BSD-3-Clause", "Apache-2.0"]
+    assert names("Licensed under CC BY 4.0. Licensed under CC BY 4.0. Licensed under CC BY-NC-SA 4.0.") == ["CC-BY-4.0"] * 2 + ["CC-BY-NC-SA-4.0"]
+    for name, texts in TEMPLATES.items():
+        for text in texts:
+            assert names("Copyright 2020 A. Nobody\n" + text) == [name], text
+    assert names("Released under the MIT License. " * 300) == ["MIT"] * 300
+
+
 def test_shards(spark):
     rng = random.Random(10)
     assert np.mean([hypergeometric(30, 70, 10, rng) for _ in range(4000)]) == pytest.approx(3, abs=0.1)

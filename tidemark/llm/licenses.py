@@ -1,8 +1,10 @@
 """License notices in documents, found by conditional compression.
 
-A block of lines around words that licenses use is compressed alone and with each template as a raw-content dictionary. The
-template that shrinks the block most is the likeliest one; it wins if the words of block and template differ no more than
-in so many places. Template and block are compared as lower-case words without punctuation.
+A block of lines around words that licenses use is searched in windows of each template's size, so that its length and
+other notices in it don't matter. A template may stand where the words of template and text differ no more than in so many
+places. Where several may stand on the same words, these are compressed alone and with each of the templates as a
+raw-content dictionary, and the one that shrinks them most wins. What is left of the block is searched again. Template and
+block are compared as lower-case words without punctuation.
 """
 
 from __future__ import annotations
@@ -21,9 +23,7 @@ from tidemark.llm.helpers import arrow_map
 CUES = ("licens", "licenc", "copyright", "permission", "redistribut", "warrant", "spdx", "public domain")
 #: Lines without a cue between two with one that don't end a block.
 GAP = 6
-#: Templates whose wording is compared, from the largest reduction on.
-COMPARED = 3
-#: Share of a template's words that may be missing, and of a block's words that may be others.
+#: Share of a template's words that may be missing, and that there may be of others between them.
 DIFFERENT = 0.2
 #: Results that a worker remembers; notices repeat.
 REMEMBERED = 20_000
@@ -83,8 +83,30 @@ TEMPLATES: dict[str, list[str]] = {
         "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more "
         "details.",
     ],
-    "LGPL-2.1": ["This work is licensed under the GNU Lesser General Public License, version 2.1."],
-    "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3."],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later "
+        "version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more "
+        "details.",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+        "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more "
+        "details.",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+        "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more "
+        "details.",
+    ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
@@ -93,10 +115,15 @@ TEMPLATES: dict[str, list[str]] = {
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
     "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0."],
+    "CC-BY-NC-SA-4.0": ["Licensed under CC BY-NC-SA 4.0."],
+    "CC-BY-NC-ND-4.0": ["Licensed under CC BY-NC-ND 4.0."],
     "CC0-1.0": ["Dedicated to the public domain under CC0 1.0."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
 
+for _name, _texts in TEMPLATES.items():
+    _texts.append(f"SPDX-License-Identifier: {_name}")
+
 _WORD = re.compile(r"[a-z0-9]+")
 
 
@@ -137,12 +164,20 @@ class LicenseScanner:
             )
             for _, w in self.templates
         ]
+        self.least = [(set(w), int(DIFFERENT * len(w))) for _, w in self.templates]
+        self.own = [
+            [
+                own for _, t in self.templates
+                if t is not w and (own := set(w) - set(t)) and difflib.SequenceMatcher(None, w, t, autojunk=False).ratio() > 1 - 2 * DIFFERENT
+            ]
+            for _, w in self.templates
+        ]
         self.known: dict[str, list] = {}
 
     def scan(self, block: str) -> list[tuple[str, float, int, int]]:
-        """(license, reduction, missing words, other words) of the likeliest template whose wording fits, or nothing.
+        """(license, reduction, missing words, other words) of each notice, in their order.
 
-        Words of the block before and after the part that fits don't count.
+        Words of the block before and after a notice don't count.
         """
         if block not in self.known:
             if len(self.known) >= REMEMBERED:
@@ -151,38 +186,73 @@ class LicenseScanner:
         return self.known[block]
 
     def _scan(self, words: list[str]) -> list[tuple[str, float, int, int]]:
-        data = " ".join(words).encode()
+        notices, rests = [], [(0, len(words))]
+        while rests:
+            start, end = rests.pop()
+            at = start
+            for first, last, *notice in self._notices(words[start:end]):
+                notices.append((start + first, *notice))
+                rests.append((at, start + first))
+                at = start + last
+            if at > start:
+                rests.append((at, end))
+        return [tuple(n[1:]) for n in sorted(notices)]
+
+    def _notices(self, words: list[str]) -> list[tuple[int, int, str, float, int, int]]:
+        """(start, end, license, reduction, missing, others) of the notices of one search; they don't overlap."""
+        fits = sorted(f for i in range(len(self.templates)) for f in self._fits(i, words))
+        groups: list[list] = []
+        for fit in fits:
+            if groups and fit[0] < max(f[1] for f in groups[-1]):
+                groups[-1].append(fit)
+            else:
+                groups.append([fit])
+        return [self._likeliest(group, words) for group in groups]
+
+    def _likeliest(self, group: list, words: list[str]) -> tuple[int, int, str, float, int, int]:
+        data = " ".join(words[min(f[0] for f in group) : max(f[1] for f in group)]).encode()
         size = len(self.alone.compress(data))
-        ranked = sorted(
-            ((1 - len(c.compress(data)) / size, -i) for i, c in enumerate(self.given)), reverse=True
-        )[:COMPARED]
-        for reduction, i in ranked:
-            name, template = self.templates[-i]
-            matcher = difflib.SequenceMatcher(None, template, words, autojunk=False)
-            runs = [m for m in matcher.get_matching_blocks() if m.size]
-            if not runs:
-                continue
-            same = sum(m.size for m in runs)
-            missing = len(template) - same
-            others = runs[-1].b + runs[-1].size - runs[0].b - same
-            if missing <= DIFFERENT * len(template) and others <= DIFFERENT * len(template) and self._own_words(template, words):
-                return [(name, reduction, missing, others)]
-        return []
+        sizes = {i: len(self.given[i].compress(data)) for i in {f[4] for f in group}}
+        start, end, missing, others, i = min(group, key=lambda f: (sizes[f[4]], f[2] + f[3] - (f[1] - f[0]), f))
+        return start, end, self.templates[i][0], 1 - sizes[i] / size, missing, others
 
-    def _own_words(self, template: list[str], words: list[str]) -> bool:
-        """Whether the words that tell the template from those of other licenses, such as versions, are in the block."""
-        have = set(words)
-        near = [
-            set(template) - set(t) for _, t in self.templates
-            if t is not template and difflib.SequenceMatcher(None, template, t, autojunk=False).ratio() > 1 - 2 * DIFFERENT
-        ]
-        return all(not own or own <= have for own in near)
+    def _fits(self, i: int, words: list[str]) -> set[tuple[int, int, int, int, int]]:
+        """(start, end, missing, others, i) where template i may stand.
+
+        Such a place is no longer than the template and the other words allowed, and so lies whole in one of the windows.
+        """
+        template, (kinds, allowed) = self.templates[i][1], self.least[i]
+        if len(kinds.difference(words)) > allowed:
+            return set()
+        step = len(template) + allowed
+        found = set()
+        for at in range(0, max(1, len(words) - step), step):
+            window = words[at : at + 2 * step]
+            if len(kinds.difference(window)) > allowed:
+                continue
+            matcher = difflib.SequenceMatcher(None, template, window, autojunk=False)
+            runs = [m for m in matcher.get_matching_blocks() if m.size]
+            best = None
+            for k, first in enumerate(runs):
+                same = 0
+                for last in runs[k:]:
+                    same += last.size
+                    others = last.b + last.size - first.b - same
+                    missing = len(template) - same
+                    if missing <= allowed and others <= allowed and (best is None or missing + others < best[2] + best[3]):
+                        best = (at + first.b, at + last.b + last.size, missing, others, i)
+            if best is not None:
+                have = set(words[best[0] : best[1]])
+                if all(own <= have for own in self.own[i]):
+                    found.add(best)
+        return found
 
 
 def license_notices(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:
     """(doc_id, start, length, license, reduction, missing, others) of every notice; start and length count characters.
 
-    Null and empty texts have none; doc_id may be null or repeated. A block holds one notice, the likeliest that fits.
+    Null and empty texts have none; doc_id may be null or repeated. start and length are those of the block, which
+    may hold several notices.
     """
     templates = templates or TEMPLATES
     scanners: list[LicenseScanner] = []
