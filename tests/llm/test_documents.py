@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import inspect
 import math
 import random
 import zlib
@@ -346,6 +347,10 @@ def test_best_fit_and_local_search():
     assert sum(local_search({(5, 3): 1, (4, 4): 1, (2, 2): 1}, 10).values()) == 2
 
 
+def test_the_search_has_no_cap_on_exchanges():
+    assert list(inspect.signature(local_search).parameters) == ["plan", "capacity"]
+
+
 def test_packing(spark):
     tokenizer = __import__("tokenizers").Tokenizer.from_file(tokenizer_path())
     rnd = random.Random(12)

@@ -26,8 +26,6 @@ END_ID = 2
 REMEMBERED = 300_000
 #: Pieces of one length that one task ranks, about.
 RANKED_TOGETHER = 8192
-#: Exchanges that the local search applies at most; it only matters for how close the plan comes to the bound.
-MOST_EXCHANGES = 20_000
 
 #: A space between two characters that are no white space always begins a token.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -231,19 +229,17 @@ def _exchange(one: Pattern, two: Pattern, capacity: int) -> tuple[Pattern, Patte
     )
 
 
-def local_search(
-    plan: dict[Pattern, int], capacity: int = CAPACITY, most: int = MOST_EXCHANGES
-) -> dict[Pattern, int]:
+def local_search(plan: dict[Pattern, int], capacity: int = CAPACITY) -> dict[Pattern, int]:
     """Exchange, move, and two-for-one exchanges between underfull sequences until none raises the sum of squared
     fills or the number of sequences has reached the bound that the total length sets.
 
     An exchange is made in as many sequences of the two patterns as both have. The emptiest sequences are worked on
-    first, because they are the next to become empty.
+    first, because they are the next to become empty. Each exchange raises the sum of squares, so the search ends.
     """
     plan = dict(plan)
     bound = math.ceil(sum(sum(p) * n for p, n in plan.items()) / capacity)
     total, tried = sum(plan.values()), set()
-    while most > 0 and total > bound:
+    while total > bound:
         open_ones = sorted((p for p in plan if sum(p) < capacity), key=lambda p: (sum(p), p))
         for two, one in ((b, a) for k, b in enumerate(open_ones) for a in reversed(open_ones[k:])):
             if (one, two) in tried:
@@ -263,7 +259,6 @@ def local_search(
                     plan[p] = plan.get(p, 0) + times
                 else:
                     total -= times
-            most -= 1
             break
         else:
             break
