@@ -138,6 +138,18 @@ def test_pipeline_drops_near_duplicates_from_80_percent_on(spark):
     assert near_duplicates(docs, percent=81).filter("not kept").count() == 0
 
 
+def test_pipeline_keeps_one_row_of_repeated_and_null_ids(spark):
+    import corpus_pipeline
+
+    one, two, three = (" ".join(f"{c}{k}" for k in range(40)) for c in "abc")
+    rows = [(5, one), (5, one), (3, one), (7, two), (7, three), (9, three), (None, two), (None, two), (None, "x y"), (None, "x y"), (4, ""), (6, None), (8, "")]
+    docs = table_of(spark, [t for _, t in rows], [i for i, _ in rows])
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    want = [(3, one), (7, two), (7, three), (None, "x y"), (4, ""), (6, None), (8, "")]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(str, want))
+
+
 def repeats_brute(texts, length=200):
     data = [(t or "").encode() for t in texts]
     seen = collections.Counter(b[i : i + length] for b in data for i in range(len(b) - length + 1))
