@@ -182,9 +182,35 @@ def test_align(spark):
     assert align(df, schema).collect() == [T.Row(id=1, name=None)]
 
 
-def test_payload_is_parsed_once_without_python(spark):
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("mode", ["fail", "permissive"])
+def test_payload_is_parsed_once_without_python(spark, mode):
     schema = T.StructType().add("a", T.LongType()).add("b", T.DoubleType()).add("c", USER)
     df = spark.range(5).select(F.to_json(F.struct("id")).alias("payload"))
-    plan = conform(df, "payload", schema, mode="permissive")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("try_parse_json(") + plan.count("parseJson") <= 2, plan
-    assert "EvalPython" not in plan
+    done = conform(df, "payload", schema, mode=mode)
+    for rows in (done, done.where("a > 1 and c.login = 'x'"), done.groupBy("c").agg(F.sum("a"))):
+        assert _optimized(rows).count("from_json(") == 1, _optimized(rows)
+        assert "EvalPython" not in _optimized(rows)
+
+
+@pytest.mark.parametrize(
+    "name",
+    """conform_events conform_lenient conform_nested conform_permissive unnest_envelope schema_from_catalog github_issues
+    github_commits github_reviews github_teams github_branches github_repositories issue_kinds stripe_customers
+    stripe_coupons stripe_invoice_items stripe_charges hubspot_contacts hubspot_deals zendesk_tickets
+    zendesk_ticket_comments zendesk_organizations""".split(),
+)
+def test_queries_parse_each_record_once(spark, name):
+    from tidemark.plans.queries import QUERIES
+
+    assert _optimized(QUERIES[name](spark, "/root/testdata/sf0.001")).count("from_json(") == 1
+
+
+def test_an_error_fails_the_job_whatever_is_read(spark):
+    df = conform(_records(spark, '{"a":1}', '{"a":"x"}'), "payload", T.StructType().add("a", T.LongType()).add("b", T.StringType()))
+    for rows in (df.select("b"), df.groupBy().count()):
+        with pytest.raises(PySparkException, match="cannot convert 'x'"):
+            rows.collect()

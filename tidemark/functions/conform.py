@@ -4,6 +4,11 @@ The payload is read once, with every field that has a rule as a VARIANT, and the
 values are converted by the rules of their target types. VARIANT keeps what a typed
 JSON read loses: an absent field (SQL NULL) differs from an explicit null, and
 the kind of a value is known, so a string that looks like a list stays a string.
+
+A value whose JSON kind is already that of its column is read as such; only the others go
+through their text and the lenient rules. The finished row and its first error leave as one
+generated row (`inline` of a one-item array), which the optimizer doesn't look through: a filter
+above, the check for errors included, never repeats the reading of the record.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from tidemark.functions import convert
 from tidemark.functions.shaping import fail_on
 
 ERRORS = "_errors"
-_RECORD, _BROKEN = "__record", "__broken"
+_RECORD, _BROKEN, _PROBLEM = "__record", "__broken", "__problem"
 _SUPPORTED = (
     T.StringType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
     T.DecimalType, T.BooleanType, T.DateType, T.TimestampType,
@@ -102,11 +107,9 @@ def conform(
     for name in computed:
         values[name] = F.col(f"__c_{name}").cast(relaxed(schema[name].dataType))
     columns = [values[f.name].alias(f.name) for f in schema.fields]
-    if mode == "fail":
-        converted = fail_on(converted, F.coalesce(*errors))
-    if mode == "permissive":
-        columns.append(F.array_compact(F.array(*errors)).alias(ERRORS))
-    return converted.select(*keep, *columns)
+    wrong = F.coalesce(*errors).alias(_PROBLEM) if mode == "fail" else F.array_compact(F.array(*errors)).alias(ERRORS)
+    finished = converted.select(*keep, F.inline(F.array(F.struct(*columns, wrong))))
+    return fail_on(finished, F.col(_PROBLEM)).drop(_PROBLEM) if mode == "fail" else finished
 
 
 def _steps(paths: Mapping, name: str) -> tuple[str, ...]:
@@ -238,7 +241,17 @@ def _message(v: Column, dtype: T.DataType, path: str) -> Column:
 
 
 def _leaf(v: Column, dtype: T.DataType) -> Column:
-    return _scalar(_text(v), F.schema_of_variant(v), dtype)
+    kind = F.schema_of_variant(v)
+    lenient = _scalar(_text(v), kind, dtype)
+    if isinstance(dtype, (T.IntegerType, T.LongType)):
+        same = kind == "BIGINT"
+    elif isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
+        same = (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
+    elif isinstance(dtype, T.BooleanType):
+        same = kind == "BOOLEAN"
+    else:
+        return lenient
+    return F.when(same, F.try_variant_get(v, "$", dtype.simpleString())).otherwise(lenient)
 
 
 def _check_supported(dtype: T.DataType, path: str) -> None:

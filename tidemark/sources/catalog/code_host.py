@@ -18,20 +18,20 @@ _NESTED = {
     "commit_ref": fields("sha url"),
 }
 
-_REPOSITORY_URLS = """archive assignees blobs branches collaborators comments commits compare contents
-contributors deployments downloads events forks git_commits git_refs git_tags git issue_comment issue_events
-issues keys labels languages merges milestones notifications pulls releases ssh stargazers statuses
-subscribers subscription tags teams trees clone mirror hooks svn"""
-
 _SCHEMAS = {
     "issues": """id:long! node_id number:long! repository_owner! repository_name! title body state
         locked:boolean comments:long created_at updated_at closed_at author_association url html_url
         labels_url comments_url events_url timeline_url state_reason user:user assignee:user
         assignees:[user] labels:[label] milestone:milestone pull_request:map reactions:map""",
     "repositories": """id:long! node_id repository_owner! repository_name! name full_name owner:user
-        private:boolean html_url description fork:boolean url """
-    + " ".join(f"{name}_url" for name in _REPOSITORY_URLS.split())
-    + """ homepage language forks_count:long stargazers_count:long watchers_count:long size:long
+        private:boolean html_url description fork:boolean url
+        archive_url assignees_url blobs_url branches_url collaborators_url comments_url commits_url compare_url
+        contents_url contributors_url deployments_url downloads_url events_url forks_url git_commits_url
+        git_refs_url git_tags_url git_url issue_comment_url issue_events_url issues_url keys_url labels_url
+        languages_url merges_url milestones_url notifications_url pulls_url releases_url ssh_url stargazers_url
+        statuses_url subscribers_url subscription_url tags_url teams_url trees_url clone_url mirror_url
+        hooks_url svn_url
+        homepage language forks_count:long stargazers_count:long watchers_count:long size:long
         default_branch open_issues_count:long is_template:boolean topics:[string] has_issues:boolean
         has_projects:boolean has_wiki:boolean has_pages:boolean has_downloads:boolean archived:boolean
         disabled:boolean visibility pushed_at created_at updated_at permissions:permissions
