@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.decontaminate import report
 from tidemark.llm.helpers import shared_folder, table
 from tidemark.llm.licenses import license_notices
+from tidemark.llm.merkle import verify_tampered
 from tidemark.llm.near_duplicates import near_duplicates
 from tidemark.llm.packing import pack_documents
+from tidemark.llm.prefix_bpe import digests
 from tidemark.llm.quality import score_quality, train_quality
 from tidemark.llm.repeats import remove_repeats
 from tidemark.llm.secrets import constructed_findings, findings, train_secrets
@@ -88,6 +90,16 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify_tampered(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_compression": op1_license_compression,
     "op2_quality_nbsvm": op2_quality_nbsvm,
@@ -99,6 +111,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_zstd": op8_warc_zstd,
     "op9_hypergeometric_shards": op9_hypergeometric_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_prefix_bpe": op13_prefix_bpe,
 }
 
 _SHINGLES = """
@@ -160,4 +174,54 @@ ORACLES: dict[str, str] = {
             case when page_id < last then 'revisit' else 'response' end record_type,
             case when page_id < last then last end refers_to
         from p left join l using (payload_digest, payload_bytes)""",
+    "op12_merkle_manifest": """
+        with recursive c as (
+            select *, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)),
+                lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+                    lambda r, z: xor(r >> 1, (r & 1) * 3988292384::bigint))), 4294967295::bigint) crc
+            from documents),
+        f as (
+            select doc_id, source,
+                concat(coalesce(octet_length(encode(doc_id::varchar)) || ':' || doc_id, '-'),
+                    coalesce(octet_length(encode(source)) || ':' || source, '-'), coalesce(octet_length(encode(lang)) || ':' || lang, '-'),
+                    coalesce(octet_length(encode(n_chars::varchar)) || ':' || n_chars, '-')) head,
+                text, case when crc % 2 = 0 then replace(text, chr(10), '') else text end tampered from c),
+        l as (
+            select doc_id, source, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) leaf,
+                sha256(head || coalesce(octet_length(encode(tampered)) || ':' || tampered, '-')) changed from f),
+        p as (
+            select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 pos,
+                count(*) over (partition by source) n from l),
+        t as (
+            select 0 lvl, source, pos, n, leaf h from p
+            union all
+            select lvl + 1, source, pos // 3, max((n + 2) // 3), sha256(string_agg(h, '' order by pos))
+            from t where n > 1 group by lvl, source, pos // 3),
+        sub as (
+            select source, h, row_number() over (order by source is not null, encode(source)) - 1 pos, count(*) over () n from t where n = 1),
+        u as (
+            select 0 lvl, pos, n, h from sub
+            union all
+            select lvl + 1, pos // 3, max((n + 2) // 3), sha256(string_agg(h, '' order by pos)) from u where n > 1 group by lvl, pos // 3),
+        s as (  -- siblings of every leaf on every level of its source, and of the tree above
+            select p.doc_id, p.leaf, p.source, t.lvl, false upper,
+                coalesce(string_agg(t.h, '' order by t.pos) filter (t.pos < p.pos // (3 ** t.lvl)::bigint), '') lt,
+                coalesce(string_agg(t.h, '' order by t.pos) filter (t.pos > p.pos // (3 ** t.lvl)::bigint), '') rt
+            from p join t on t.source is not distinct from p.source and t.n > 1 and t.pos // 3 = p.pos // (3 ** (t.lvl + 1))::bigint
+            group by all
+            union all
+            select p.doc_id, p.leaf, p.source, u.lvl, true,
+                coalesce(string_agg(u.h, '' order by u.pos) filter (u.pos < b.pos // (3 ** u.lvl)::bigint), ''),
+                coalesce(string_agg(u.h, '' order by u.pos) filter (u.pos > b.pos // (3 ** u.lvl)::bigint), '')
+            from p join sub b on b.source is not distinct from p.source
+                join u on u.n > 1 and u.pos // 3 = b.pos // (3 ** (u.lvl + 1))::bigint group by all),
+        way as (
+            select doc_id, leaf, source, list({'l': lt, 'r': rt} order by upper, lvl) path,
+                sha256(string_agg(lt || rt, '' order by upper, lvl)) proof from s group by all)
+        select p.doc_id, p.leaf, sub.h subroot, top.h root, coalesce(proof, sha256('')) proof_sha256,
+            list_reduce(list_prepend({'l': changed, 'r': ''}, coalesce(path, [])),
+                lambda x, y: {'l': sha256(y.l || x.l || y.r), 'r': ''}).l folded_root,
+            folded_root = top.h verified
+        from p join sub on sub.source is not distinct from p.source join u top on top.n = 1
+            left join way on way.doc_id = p.doc_id and way.leaf = p.leaf and way.source is not distinct from p.source""",
 }
