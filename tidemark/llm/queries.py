@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import report
 from tidemark.llm.helpers import shared_folder, table
+from tidemark.llm.lexical import rank_documents
 from tidemark.llm.licenses import license_notices
 from tidemark.llm.merkle import verify_tampered
 from tidemark.llm.near_duplicates import near_duplicates
@@ -90,6 +91,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_hybrid_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify_tampered(table(spark, sf_dir, "documents"))
 
@@ -111,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_zstd": op8_warc_zstd,
     "op9_hypergeometric_shards": op9_hypergeometric_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_hybrid_ranking": op11_hybrid_ranking,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_prefix_bpe": op13_prefix_bpe,
 }
@@ -174,6 +181,22 @@ ORACLES: dict[str, str] = {
             case when page_id < last then 'revisit' else 'response' end record_type,
             case when page_id < last then last end refers_to
         from p left join l using (payload_digest, payload_bytes)""",
+    "op11_hybrid_ranking": r"""
+        with t as (
+            select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) term from documents),
+        q as (
+            select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) term from benchmark),
+        c as (select count(distinct doc_id) n, count(*) l from t),
+        sizes as (select doc_id, count(*) n from t group by 1),
+        tf as (select doc_id, term, count(*) tf from t group by 1, 2),
+        w as (select term, floor(1000 * ln((2.0::double * any_value(c.n) + 2) / (2.0::double * count(*) + 1)))::bigint w from tf, c group by term),
+        s as (
+            select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * sizes.n * c.n) // c.l))))::bigint score
+            from q join tf using (term) join w using (term) join sizes using (doc_id), c group by 1, 2),
+        r as (select *, row_number() over (partition by item_id order by score desc, doc_id)::int rank from s where score > 0)
+        select item_id, rank, doc_id, score from r where rank <= 20""",
     "op12_merkle_manifest": """
         with recursive c as (
             select *, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)),
