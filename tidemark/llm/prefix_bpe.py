@@ -30,11 +30,15 @@ from pyspark.sql import functions as F
 from tidemark.llm.helpers import arrow_map
 
 #: Pieces whose ids a worker remembers; then a new memory begins and takes over what still occurs. Also of valid neighbours.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 #: Characters of the longest piece that is remembered.
 REMEMBERED_LENGTH = 64
-#: Pieces of one text that are encoded together.
+#: Pieces of one text that are encoded together, and characters of several texts.
 BLOCK = 1 << 16
+TOGETHER = 1 << 21
+#: Bytes of an ending by which the tokens that may end at a place are found, and the sizes of the shorter ones.
+TAIL = 3
+SHORT = (2, 1)
 #: How far a match of the pattern looks beyond its end.
 LOOKS_AHEAD = 2
 
@@ -69,12 +73,20 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.texts = {str(rank): token for token, rank in ranks.items()}
+        self.beyond = max(self.tokens) + 1
         self.lengths = {rank: len(token) for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self.pattern = regex.compile(pattern)
-        self.neighbours = _Memory(lambda pair: self._merged(self.tokens[pair[0]] + self.tokens[pair[1]]) == list(pair))
+        tails: dict[bytes, set[int]] = {}
+        for token in ranks:
+            if len(token) >= TAIL:
+                tails.setdefault(token[-TAIL:], set()).add(len(token))
+        #: How long the tokens with an ending are, the longest first.
+        self.tails = {tail: sorted(sizes, reverse=True) for tail, sizes in tails.items()}
+        self.halves = _Memory(self._halves)
+        self.neighbours = _Memory(self._valid)
         self.whole = _Memory(lambda token: self._merged(self.tokens[token]) == [token])
-        self.pieces = _Memory(self._piece_text)
+        self.pieces = _Memory(self._piece_text)  # as decimal numbers joined by commas
 
     @classmethod
     def of(cls, path: str, pattern: str) -> Vocabulary:
@@ -85,27 +97,58 @@ class Vocabulary:
             _vocabularies[path, pattern] = cls(ranks, pattern)
         return _vocabularies[path, pattern]
 
-    def _merged(self, data: bytes) -> list[int]:
-        """The lowest-ranked pair is merged, the leftmost of equals first, until none is left. For the bytes of two tokens at most."""
-        parts = [data[i : i + 1] for i in range(len(data))]
+    def _merged(self, data: bytes, below: int | None = None) -> list[int]:
+        """The lowest-ranked pair is merged, the leftmost of equals first, until none (of a rank below `below`) is left."""
+        parts, none = [data[i : i + 1] for i in range(len(data))], self.beyond
         while len(parts) > 1:
-            rank, at = min((self.ranks.get(a + b, len(self.ranks) + 256), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
-            if rank >= len(self.ranks) + 256:
+            rank, at = min((self.ranks.get(a + b, none), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+            if rank >= (none if below is None else below):
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
+    def _halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes a token; None for one that no merge makes, a single byte at least."""
+        parts = self._merged(self.tokens[token], below=token)
+        return (parts[0], parts[1]) if len(parts) == 2 and parts[0] < token > parts[1] else None
+
+    def _valid(self, pair: tuple[int, int]) -> bool:
+        """Whether merging the joined bytes of two tokens gives just these two: no merge across their border comes first.
+
+        The merges that make the two are undone from the last to the first. At each moment one token lies on each side of the
+        border, and these two would have merged if their joint rank comes before the merges that took them up.
+        """
+        left, right = pair
+        left_until = right_until = self.beyond
+        while True:
+            across = self.ranks.get(self.tokens[left] + self.tokens[right])
+            if across is not None and across < left_until and across <= right_until:
+                return False
+            left_made, right_made = self.halves[left], self.halves[right]
+            if left_made is not None and (left > right or right_made is None):
+                left_until, left = left, left_made[1]
+            elif right_made is not None:
+                right_until, right = right, right_made[0]
+            else:
+                return True
+
     def extend(self, data: bytes, last: array, until: int | None = None) -> None:
         """Adds to `last`, the last tokens of the first prefixes of `data`, those of the further ones (to the length `until`)."""
-        ranks, valid, whole, longest = self.ranks.get, self.neighbours, self.whole, self.longest
+        ranks, tails, valid, whole = self.ranks.get, self.tails.get, self.neighbours, self.whole
         for end in range(len(last) + 1, (len(data) if until is None else until) + 1):
-            for start in range(max(0, end - longest), end):
-                token = ranks(data[start:end])
-                if token is not None and (valid[last[start - 1], token] if start else whole[token]):
-                    last.append(token)
-                    break
+            for size in (*tails(data[max(0, end - TAIL) : end], ()), *SHORT):
+                start = end - size
+                if start > 0:
+                    token = ranks(data[start:end])
+                    if token is not None and valid[last[start - 1], token]:
+                        break
+                elif start == 0:
+                    token = ranks(data[:end])
+                    if token is not None and whole[token]:
+                        break
             else:
                 raise ValueError("the vocabulary lacks a single byte")
+            last.append(token)
 
     def read_off(self, last: array) -> list[int]:
         """The ids, from the last tokens of all prefixes."""
@@ -124,20 +167,54 @@ class Vocabulary:
     def _piece_text(self, piece: str) -> str:
         return ",".join(map(str, self.piece_ids(piece)))
 
-    def blocks(self, text: str) -> Iterator[str]:
-        """The ids of a text as decimal numbers joined by commas, in blocks."""
+    def _learn(self, pieces: set[str]) -> None:
+        """The ids of new pieces. In order, each shares a prefix with the one before, whose last tokens are there already."""
         self.neighbours, self.pieces = self.neighbours.renewed(), self.pieces.renewed()
-        if len(text) <= BLOCK:
-            pieces = [self.pattern.findall(text)] if text else []
-        else:
-            found = (m.group() for m in self.pattern.finditer(text))
-            pieces = iter(lambda: list(islice(found, BLOCK)), [])
-        known = self.pieces.__getitem__
-        for block in pieces:
-            if max(map(len, block)) > REMEMBERED_LENGTH:
-                yield ",".join(known(p) if len(p) <= REMEMBERED_LENGTH else self._piece_text(p) for p in block)
+        known, older, new = self.pieces, self.pieces.older, []
+        for piece in pieces:
+            if piece in known:
+                continue
+            if (found := older.get(piece)) is not None:
+                known[piece] = found
+            elif len(piece) <= REMEMBERED_LENGTH:
+                new.append((piece.encode(), piece))
+        new.sort()
+        before, last = b"", array("i")
+        for data, piece in new:
+            same = 0
+            for same, (a, b) in enumerate(zip(data, before, strict=False)):  # noqa: B007
+                if a != b:
+                    break
             else:
-                yield ",".join(map(known, block))
+                same = min(len(data), len(before))
+            del last[same:]
+            self.extend(data, last)
+            known[piece] = ",".join(map(str, self.read_off(last)))
+            before = data
+
+    def _joined(self, pieces: list[str]) -> str:
+        """The ids of pieces as decimal numbers joined by commas; those that are too long to be remembered are worked out here."""
+        known = self.pieces
+        return ",".join([known[p] if p in known else self._piece_text(p) for p in pieces])
+
+    def blocks(self, text: str) -> Iterator[str]:
+        """The ids of a text, in blocks of pieces."""
+        found = (m.group() for m in self.pattern.finditer(text))
+        while pieces := list(islice(found, BLOCK)):
+            self._learn(set(pieces))
+            yield self._joined(pieces)
+
+    def texts_ids(self, texts: list[str]) -> Iterator[list[str]]:
+        """The ids of each text, in blocks; short texts are worked on together."""
+        at, held = 0, 0
+        for i, text in enumerate(texts):
+            held += len(text)
+            if held > TOGETHER or i + 1 == len(texts):
+                short = [self.pattern.findall(t) if len(t) <= TOGETHER else None for t in texts[at : i + 1]]
+                self._learn(set().union(*filter(None, short)))
+                for t, pieces in zip(texts[at : i + 1], short, strict=True):
+                    yield self.blocks(t) if pieces is None else [self._joined(pieces)] if pieces else []
+                at, held = i + 1, 0
 
 
 class EncodedText:
@@ -228,9 +305,9 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def work(batch: pa.RecordBatch):
         vocabulary = Vocabulary.of(path, pattern)
         rows = []
-        for text in _text(batch):
+        for blocks in vocabulary.texts_ids(_text(batch)):
             n, joined, decoded = 0, hashlib.sha256(), hashlib.sha256()
-            for block in vocabulary.blocks(text):
+            for block in blocks:
                 ids = block.split(",")
                 joined.update((f",{block}" if n else block).encode())
                 decoded.update(b"".join(map(vocabulary.texts.__getitem__, ids)))
