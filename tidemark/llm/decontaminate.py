@@ -171,9 +171,27 @@ def _search(index: ItemIndex, containment: float):
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
-    """The rows of `docs`, all columns, of ids that hold no item; rows with a null id are judged by nothing and stay."""
-    found = cut(contained_items(docs.filter("doc_id is not null"), items, containment).select("doc_id").distinct())
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    """The rows of `docs`, all columns, whose texts hold no item. Each row is judged by its own text, whatever its id."""
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    for chunk in _chunks(items.filter("item_id is not null and text is not null").distinct().orderBy("item_id", "text")):
+        docs = arrow_map(docs, _clean(ItemIndex(chunk), containment), docs.schema)
+    return docs
+
+
+def _clean(index: ItemIndex, containment: float):
+    def work(batch: pa.RecordBatch):
+        for part in slices(batch, "text"):
+            texts = part.column("text")
+            clean = np.ones(part.num_rows, dtype=bool)
+            held = {}
+            for d, i in sorted(index.candidates(*shingle_hashes(*word_hashes(*text_buffers(texts))))):
+                if clean[d]:
+                    if d not in held:
+                        held = {d: text_shingles(texts[d].as_py())}
+                    clean[d] = len(index.shingles[i] & held[d]) / len(index.shingles[i]) < containment
+            yield part if clean.all() else part.filter(pa.array(clean))
+
+    return work
 
 
 def report(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:

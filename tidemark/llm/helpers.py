@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.workspace import shared_folder
 
@@ -29,7 +32,7 @@ def workers_find_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), _ROOT]))
 
 
-def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """`work` for every Arrow batch of every partition."""
     workers_find_package(df.sparkSession)
 
@@ -41,6 +44,29 @@ def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.Record
     return df.mapInArrow(run, schema)
 
 
+@contextmanager
+def no_cycle_search():
+    """For code that makes very many objects and no cycles among them: Python doesn't look for cycles meanwhile."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
+def free_names(taken: Iterable[str], *names: str) -> list[str]:
+    """Each name, with underscores in front until none of `taken` is like it (Spark doesn't tell upper from lower case)."""
+    taken, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

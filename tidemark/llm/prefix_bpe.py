@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.helpers import arrow_map
+from tidemark.llm.helpers import arrow_map, no_cycle_search
 
 #: Pieces whose ids a worker remembers; then a new memory begins and takes over what still occurs. Also of valid neighbours.
 REMEMBERED = 250_000
@@ -37,8 +37,8 @@ REMEMBERED_LENGTH = 64
 BLOCK = 1 << 16
 TOGETHER = 1 << 21
 #: Bytes of an ending by which the tokens that may end at a place are found, and the sizes of the shorter ones.
-TAIL = 3
-SHORT = (2, 1)
+TAIL = 4
+SHORT = (3, 2, 1)
 #: How far a match of the pattern looks beyond its end.
 LOOKS_AHEAD = 2
 
@@ -195,7 +195,9 @@ class Vocabulary:
     def _joined(self, pieces: list[str]) -> str:
         """The ids of pieces as decimal numbers joined by commas; those that are too long to be remembered are worked out here."""
         known = self.pieces
-        return ",".join([known[p] if p in known else self._piece_text(p) for p in pieces])
+        if max(map(len, pieces)) <= REMEMBERED_LENGTH:
+            return ",".join(map(known.__getitem__, pieces))
+        return ",".join([known[p] if len(p) <= REMEMBERED_LENGTH else self._piece_text(p) for p in pieces])
 
     def blocks(self, text: str) -> Iterator[str]:
         """The ids of a text, in blocks of pieces."""
@@ -210,8 +212,9 @@ class Vocabulary:
         for i, text in enumerate(texts):
             held += len(text)
             if held > TOGETHER or i + 1 == len(texts):
-                short = [self.pattern.findall(t) if len(t) <= TOGETHER else None for t in texts[at : i + 1]]
-                self._learn(set().union(*filter(None, short)))
+                with no_cycle_search():
+                    short = [self.pattern.findall(t) if len(t) <= TOGETHER else None for t in texts[at : i + 1]]
+                    self._learn(set().union(*filter(None, short)))
                 for t, pieces in zip(texts[at : i + 1], short, strict=True):
                     yield self.blocks(t) if pieces is None else [self._joined(pieces)] if pieces else []
                 at, held = i + 1, 0

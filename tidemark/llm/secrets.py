@@ -1,6 +1,7 @@
 """Secrets in texts: candidate strings, judged by a random forest that removes false positives. Built-in functions only.
 
-A candidate is a run of 16 or more characters of the usual alphabets of keys with a digit in it. It may follow '=' as in
+A candidate is a run of characters of the usual alphabets of keys: of 8 or more if a name such as token or password is assigned
+to it, else of 16 or more with a digit, or of 24 or more with small and capital letters. It may follow '=' as in
 NAME=value; '=' belongs to it only at the end, as padding that no further value follows. The forest sees its
 length, the classes of its characters and how often they change, how usual its character pairs are among secrets, how
 much of it dictionary words cover, words of the document's path, and the words beside it. It learns from labelled
@@ -19,10 +20,17 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.helpers import cut, text_of
+from tidemark.llm.helpers import cut, free_names, text_of
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+_NAMED = r"(?i:secret|token|passwd|password|api.?key|access.?key|private.?key|auth|credential)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
+CANDIDATE = (
+    rf"(?:(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{16,}}+|(?<={_NAMED})[A-Za-z0-9+/_-]{{8,}}+)(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?"
+)
+#: A candidate under no name that holds no digit is at least so long, and holds small and capital letters.
+WITHOUT_DIGIT = 24
 CONTEXT = 48
+#: Parts of a text whose lengths are summed together.
+GROUP = 256
 MARK = "\x01"
 REDACTED = "[REDACTED]"
 TREES, DEPTH = 15, 5
@@ -54,24 +62,29 @@ def findings(docs: DataFrame, path_column: str = "source") -> DataFrame:
         "doc_id", "text_hash", "path",
         F.split(F.regexp_replace("text", f"({CANDIDATE})", f"{MARK}$1{MARK}"), MARK, -1).alias("parts"),
     )
-    ends = F.aggregate(
-        "parts", F.array(F.lit(0)),
-        lambda a, p: F.concat(a, F.array(F.element_at(a, -1) + F.length(p))),
-    )
+    # Where a part begins: the lengths of the groups of parts before its own, and of the parts before it in its group. An array
+    # that grows part by part would be copied each time.
+    total = lambda lengths: F.aggregate(lengths, F.lit(0), lambda n, x: n + x)
+    lengths = F.transform("parts", F.length)
+    groups = F.transform(F.sequence(F.lit(0), F.floor(F.size("parts") / GROUP).cast("int")), lambda g: total(F.slice("lengths", g * GROUP + 1, F.lit(GROUP))))
+    bases = F.aggregate("groups", F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+    group = lambda k: F.floor(k / GROUP).cast("int")
+    start = lambda k: F.get("bases", group(k)) + total(F.slice("lengths", group(k) * GROUP + 1, k - group(k) * GROUP))
     # What stands before a candidate may be one itself, such as a long name; three with what is between them fill the context.
     places = F.sequence(F.lit(1), F.size("parts") - 2, F.lit(2))
     at = lambda name, k: F.get(name, k)
     found = F.transform(
         places,
         lambda k: F.struct(
-            at("ends", k).alias("start"),
+            start(k).alias("start"),
             at("parts", k).alias("value"),
             F.right(F.array_join(F.slice("parts", F.greatest(k - 5, F.lit(1)), F.least(k, F.lit(6))), ""), F.lit(CONTEXT)).alias("before"),
             F.left(at("parts", k + 1), F.lit(CONTEXT)).alias("after"),
         ),
     )
-    return parts.withColumn("ends", ends).select("doc_id", "text_hash", "path", F.inline(found)).filter(
-        F.col("value").rlike("[0-9]")
+    placed = parts.withColumn("lengths", lengths).withColumn("groups", groups).withColumn("bases", bases)
+    return placed.select("doc_id", "text_hash", "path", F.inline(found)).filter(
+        F.col("value").rlike("[0-9]") | ((F.length("value") >= WITHOUT_DIGIT) & F.col("value").rlike("[a-z]") & F.col("value").rlike("[A-Z]")) | F.col("before").rlike(f"{_NAMED}$")
     )
 
 
@@ -187,6 +200,9 @@ def constructed_findings(docs: DataFrame, most: int = TRAINING_DOCUMENTS) -> Dat
         (1, "secret", coded, colon), (1, "password", F.substring(mixed, 1, 20), quote),
         (1, "access_token", F.substring(mixed, 1, 36), bare), (1, "Authorization: Bearer ", F.substring(mixed, 20, 48), ("", "", "")),
         (1, "private_key", F.substring(coded, 1, 64), quote), (1, "", F.concat(F.lit("AKIA"), F.upper(F.substring(mixed, 8, 16))), quote),
+        (1, "password", F.substring(mixed, 30, 10), quote), (1, "passwd", F.translate(F.substring(mixed, 44, 12), "0123456789", "gHkZqWxYvB"), bare),
+        (0, "password", F.lit("changeme"), quote), (0, "token", F.lower(F.concat(word(4), word(5), word(6))), bare),
+        (0, "", F.lower(F.concat(word(4), word(5), word(6), word(7), word(8))), ("", "", "")),
         (0, "commit ", F.substring(digest, 1, 40), ("", "", "")), (0, "sha256", digest, colon),
         (0, "checksum", F.substring(digest, 1, 32), quote), (0, "uuid", uuid, quote), (0, "", uuid, ("", "", "")),
         (0, "", joined, ("", "", "")), (0, "token", F.lit("your_token_here_0000000000"), quote),
@@ -212,13 +228,14 @@ def redact(docs: DataFrame, model: SecretModel, path_column: str = "source") ->
     longest_first = F.transform(
         F.array_sort(F.collect_set(F.struct(F.negative(F.length("value")).alias("n"), F.col("value").alias("v")))), lambda x: x["v"]
     )
-    values = judged.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(longest_first.alias("_values"))
-    some = text_of().rlike(CANDIDATE)
     names = docs.columns
-    key = (F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))) & (F.xxhash64(text_of()) == F.col("_hash"))
-    cleaned = F.aggregate("_values", F.col("text").cast("string"), lambda t, v: F.replace(t, v, F.lit(REDACTED)))
-    joined = docs.filter(some).join(values, key, "left").withColumn("text", F.when(F.col("_values").isNull(), F.col("text").cast("string")).otherwise(cleaned))
+    own_id, own_hash, own_values = free_names(names, "_id", "_hash", "_values")
+    values = judged.groupBy(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)).agg(longest_first.alias(own_values))
+    some = text_of().rlike(CANDIDATE)
+    key = (F.col("doc_id").cast("long").eqNullSafe(F.col(own_id))) & (F.xxhash64(text_of()) == F.col(own_hash))
+    cleaned = F.aggregate(own_values, F.col("text").cast("string"), lambda t, v: F.replace(t, v, F.lit(REDACTED)))
+    joined = docs.filter(some).join(values, key, "left").withColumn("text", F.when(F.col(own_values).isNull(), F.col("text").cast("string")).otherwise(cleaned))
     if "n_chars" in names:
         kind = docs.schema["n_chars"].dataType
-        joined = joined.withColumn("n_chars", F.when(F.col("_values").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(kind))
+        joined = joined.withColumn("n_chars", F.when(F.col(own_values).isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(kind))
     return docs.filter(~some).unionByName(joined.select(names))
