@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import decontaminate
-from tidemark.llm.helpers import cut, shared_folder, table
+from tidemark.llm.helpers import cut, free_names, shared_folder, table
 from tidemark.llm.near_duplicates import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import score_quality, train_quality
@@ -27,28 +27,25 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group, linked at a similarity of 80 percent.
+    """One row of each group that is linked at a similarity of 80 percent: that with the smallest id, a null id after all others.
 
-    Rows are told apart by id and text (64 bits of a hash), and of those that are equal in both one stays. A null id comes after
-    all others. Documents without words are linked with nothing.
+    Each row has a number of its own, so that rows of one id, of none, or equal in all columns are judged like any others; of
+    equal rows the one that is read first stays. Rows without words are linked with nothing and stay.
     """
-    names = docs.columns
-    key = F.xxhash64(F.struct(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
-    docs = docs.withColumn("_key", key)
-    found = near_duplicates(docs, id_column="_key", percent=80).select(F.col("id").alias("_key"), "component_id")
-    groups = found.groupBy("_key").agg(F.min("component_id").alias("group"), F.count("*").alias("times"))
-    ids = docs.select("_key", F.struct(F.col("doc_id").isNull(), "doc_id", "_key").alias("place")).distinct()
-    members = cut(groups.join(ids, "_key"))
-    first = members.groupBy("group").agg(F.min("place").alias("place")).select("group", F.col("place._key").alias("first"))
-    dropped = members.join(first, "group").filter("_key <> first").select("_key")
-    again = members.filter("times > 1").select("_key")
-    kept = docs.join(dropped, "_key", "left_anti")
-    repeated = kept.join(again, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*names)).alias("row")).select("row.*")
-    return kept.join(again, "_key", "left_anti").select(names).unionByName(repeated)
+    row, component = free_names(docs.columns, "_row", "_component")
+    folder = shared_folder(spark, "numbered")
+    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(folder)  # read twice below, with the same numbers
+    numbered = spark.read.parquet(folder)
+    found = near_duplicates(numbered, id_column=row, percent=80).select(F.col("id").alias(row), F.col("component_id").alias(component))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", F.col(row).alias("row"))
+    members = cut(found.join(numbered.select(row, place.alias("place")), row))
+    first = members.groupBy(component).agg(F.min("place").alias("first"))
+    dropped = members.join(first, component).filter(F.col(row) != F.col("first.row")).select(row)
+    return numbered.join(dropped, row, "left_anti").select(docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold 80 percent of the five-word shingles of no benchmark item."""
+    """Documents that hold 80 percent of the five-word shingles of no benchmark item; each row by its own text, null ids too."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
