@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.helpers import cut, free_names, text_of
 
 _NAMED = r"(?i:secret|token|passwd|password|api.?key|access.?key|private.?key|auth|credential)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
+#: Dear conditions come last: a run begins, is long enough, something is assigned to it, and that has a telling name.
 CANDIDATE = (
-    rf"(?:(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{16,}}+|(?<={_NAMED})[A-Za-z0-9+/_-]{{8,}}+)(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?"
+    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{8})"
+    rf"(?:[A-Za-z0-9+/_-]{{16,}}+|(?<=[=:]\s{{0,3}}[\"']?)(?<={_NAMED})[A-Za-z0-9+/_-]{{8,}}+)(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?"
 )
 #: A candidate under no name that holds no digit is at least so long, and holds small and capital letters.
 WITHOUT_DIGIT = 24
