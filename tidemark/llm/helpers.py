@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 from collections.abc import Callable, Iterable, Iterator
@@ -32,6 +33,14 @@ def workers_find_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), _ROOT]))
 
 
+def give_back_memory() -> None:
+    """Hands what Arrow and the C library hold free back to the machine, which else stays with the worker for its later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """`work` for every Arrow batch of every partition."""
     workers_find_package(df.sparkSession)
@@ -40,6 +49,7 @@ def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.Record
         for batch in batches:
             if batch.num_rows:
                 yield from work(batch)
+        give_back_memory()
 
     return df.mapInArrow(run, schema)
 

@@ -46,12 +46,18 @@ class TextEncoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self._tokenizer = path, None
         with open(path, encoding="utf-8") as file:
             self.by_rank = self._ranked(json.load(file))
 
+    @property
+    def tokenizer(self):
+        if self._tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self._tokenizer = Tokenizer.from_file(self.path)
+        return self._tokenizer
+
     @staticmethod
     def _ranked(parts: dict):
         import tiktoken
