@@ -153,7 +153,7 @@ def _frame(spark, *rows):
 
 
 def test_target_takes_each_batch_once_and_compacts(spark):
-    target = TargetTable(spark, shared_folder(spark, "t"), "id", "s", apply_as_deletes="gone", compact_every=2)
+    target = TargetTable(spark, shared_folder(spark, "t"), "id", "s", apply_as_deletes="gone", keep_versions=2)
     target.upsert(_frame(spark, (1, 1, "a", False), (2, 1, "b", False)), 0)
     target.upsert(_frame(spark, (1, 3, "c", False), (2, 4, "b", True)), 1)
     target.upsert(_frame(spark, (1, 9, "sent again with other rows", False)), 1)
@@ -168,14 +168,14 @@ def test_a_write_without_commit_is_not_seen(spark):
     root = shared_folder(spark, "t")
     target = TargetTable(spark, root, "id", "s")
     target.upsert(_frame(spark, (1, 1, "a", False)), 0)
-    _frame(spark, (2, 1, "lost", False)).write.parquet(f"{root}/batch/main-1")
+    _frame(spark, (2, 1, "lost", False)).write.parquet(f"{root}/data/lost/__bucket=1")
     assert [r["id"] for r in target.read().collect()] == [1]
     target.upsert(_frame(spark, (3, 1, "c", False)), 1)
     assert sorted(r["id"] for r in target.read().collect()) == [1, 3]
 
 
 def test_history_target_takes_late_rows(spark):
-    target = TargetTable(spark, shared_folder(spark, "t"), "id", "s", scd_type="SCD_TYPE_2", compact_every=2)
+    target = TargetTable(spark, shared_folder(spark, "t"), "id", "s", scd_type="SCD_TYPE_2", keep_versions=2)
     target.upsert(_frame(spark, (1, 1, "a", False), (1, 5, "a", False)), 0)
     target.upsert(_frame(spark, (1, 3, "b", False)), 1)
     got = {(r["v"], r["__start_at"], r["__end_at"]) for r in target.read().collect()}
@@ -355,3 +355,84 @@ def test_an_incomplete_snapshot_keeps_what_it_has_not_seen(spark):
         _landed(spark, f"{root}/later", "users", {"id": 2, "login": "b"})
         done = ingest(spark, source, {"users": {"complete": text}}, f"{root}/out", run_id=2)
         assert sorted(r["id"] for r in done["users"].read(spark).collect()) == left
+
+
+# -- buckets, versions and changes of a target ----------------------------------------------
+
+
+def test_an_upsert_leaves_other_buckets_alone(spark):
+    target = TargetTable(spark, shared_folder(spark, "b"), "id", "s", buckets=8, keep_versions=2)
+    target.upsert(_frame(spark, *[(i, 1, "a", False) for i in range(200)]), 0)
+    before = target._live()[-1]["buckets"]
+    for number in range(1, 6):
+        target.upsert(_frame(spark, (7, 1 + number, f"v{number}", False)), number)
+    live = target._live()
+    after = live[-1]["buckets"]
+    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
+    assert target.versions() == [4, 5] and live[-1]["writes"] == {"main": [[0, 5]]}
+    assert {r["v"] for r in target.read().where("id = 7").collect()} == {"v5"} and target.read().count() == 200
+    assert target.read(4).where("id = 7").first()["v"] == "v4"
+    plan = target.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    import glob
+
+    folders = glob.glob(f"{target.root}/data/*/__bucket=*")
+    assert len(folders) == 9  # those of the first write that are still in use, and the one bucket of the last two versions
+    with pytest.raises(ValueError, match="isn't kept"):
+        target.read(0)
+
+
+def test_changes_between_versions(spark):
+    target = TargetTable(spark, shared_folder(spark, "f"), "id", "s", apply_as_deletes="gone")
+    target.upsert(_frame(spark, *[(i, 1, "a", False) for i in range(50)]), 0)
+    target.upsert(_frame(spark, (3, 2, "b", False), (4, 2, "x", True), (60, 2, "new", False), (5, 0, "late", False)), 1)
+    target.upsert(_frame(spark, (6, 9, "c", False)), 2)
+    feed = lambda *v: {(r["id"], r["v"], r["change_type"]) for r in target.changes(*v).collect()}
+    assert feed(0, 1) == {(3, "b", "update"), (4, "a", "delete"), (60, "new", "insert")} == feed(0, 1)
+    assert feed(1) == {(6, "c", "update")} and feed(2, 2) == set()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_stored_history_equals_one_from_all_changes(spark, seed):
+    import random
+
+    from tidemark.operators.changes import apply_changes
+
+    rnd = random.Random(seed)
+    rows = [(rnd.randrange(12), n, rnd.choice("ab"), rnd.random() < 0.1) for n in range(200)]
+    rnd.shuffle(rows)
+    target = TargetTable(spark, shared_folder(spark, "h"), "id", "s", scd_type=2, apply_as_deletes="gone", buckets=3)
+    for number in range(6):
+        target.upsert(_frame(spark, *rows[number::6]), number)
+    want = apply_changes(_frame(spark, *rows), "id", "s", scd_type=2, apply_as_deletes="gone")
+    shown = lambda df: sorted(map(tuple, df.select("id", "s", "v", "__start_at", "__end_at").collect()))
+    assert shown(target.read()) == shown(want)
+    plan = target.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("scd_type", [1, 2])
+def test_a_snapshot_writes_differing_buckets_alone(spark, scd_type):
+    target = TargetTable(spark, shared_folder(spark, "d"), "id", scd_type=scd_type, buckets=8)
+    rows = [(i, 0, None if i % 5 else "a", False) for i in range(100)]
+    target.replace(_frame(spark, *rows), 1)
+    before = target._live()[-1]["buckets"]
+    target.replace(_frame(spark, *rows).orderBy(F.desc("id")), 2)
+    assert target._live()[-1]["buckets"] == before
+    target.replace(_frame(spark, *[r for r in rows if r[0] != 7], (200, 0, "n", False)), 3)
+    after = target._live()[-1]["buckets"]
+    assert 1 <= sum(before[b] != after[b] for b in before) <= 2
+    current = target.read() if scd_type == 1 else target.read().where("__end_at is null")
+    assert {r["id"] for r in current.collect()} == {*range(100), 200} - {7}
+    target.replace(_frame(spark), 4)
+    assert (target.read() if scd_type == 1 else target.read().where("__end_at is null")).count() == 0
+
+
+def test_columns_of_a_target_may_grow(spark):
+    target = TargetTable(spark, shared_folder(spark, "w"), "id", "s")
+    target.upsert(spark.createDataFrame([(1, 1, 5)], "id int, s int, n int"), 0)
+    target.upsert(spark.createDataFrame([(2, 1, 2**40, "x")], "id int, s int, n long, more string"), 1)
+    target.upsert(spark.createDataFrame([(3, 1)], "id int, s int"), 2)
+    assert {tuple(r) for r in target.read().collect()} == {(1, 1, 5, None), (2, 1, 2**40, "x"), (3, 1, None, None)}
+    with pytest.raises(ValueError, match="can't become"):
+        target.upsert(spark.createDataFrame([(2, 1, "text")], "id int, s int, n string"), 3)

@@ -92,7 +92,7 @@ def _land_parts(spark, sf, name: str, by: str, parts: int) -> str:
 def cdc_scd1_stream(spark, sf):
     landed = _land_parts(spark, sf, "events", "event_id", 5)
     root = shared_folder(spark, "cdc-stream")
-    target = TargetTable(spark, f"{root}/data", "user_id", ["ts", "event_id"], compact_every=3)
+    target = TargetTable(spark, f"{root}/data", "user_id", ["ts", "event_id"], keep_versions=2)
     rows = stream_table(spark, landed, table(spark, sf, "events").schema, max_files=1)
     upsert_stream(rows, target, f"{root}/checkpoint").awaitTermination()
     return target.read()
@@ -100,19 +100,60 @@ def cdc_scd1_stream(spark, sf):
 
 @query("cdc_stale_replay", _LATEST_EVENTS)
 def cdc_stale_replay(spark, sf):
-    events = table(spark, sf, "events")
     target = TargetTable(
-        spark, shared_folder(spark, "cdc-replay"), "user_id", ["ts", "event_id"], compact_every=3
+        spark, shared_folder(spark, "cdc-replay"), "user_id", ["ts", "event_id"], keep_versions=2
     )
-    split = F.lit("2024-01-11").cast("timestamp_ntz"), F.lit("2024-01-21").cast("timestamp_ntz")
-    first = events.where(F.col("ts") < split[0])
-    second = events.where((F.col("ts") >= split[0]) & (F.col("ts") < split[1]))
-    third = events.where(F.col("ts") >= split[1])
+    first, second, third = _event_periods(spark, sf)
     for batch_id, batch in [(0, first), (1, third), (1, third), (2, second), (3, first)]:
         target.upsert(batch, batch_id)
     return target.read()
 
 
+def _event_periods(spark, sf) -> list[DataFrame]:
+    """The events before the 11th, up to the 21st, and from then on."""
+    events = table(spark, sf, "events")
+    first, second = (F.lit(day).cast("timestamp_ntz") for day in ("2024-01-11", "2024-01-21"))
+    ts = F.col("ts")
+    return [events.where(ts < first), events.where((ts >= first) & (ts < second)), events.where(ts >= second)]
+
+
+@query(
+    "target_changes",
+    """
+with before as (
+  select * from events where ts < timestamp '2024-01-11'
+  qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1),
+after as (
+  select * from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1)
+select a.*, case when b.user_id is null then 'insert' else 'update' end as change_type
+from after a left join before b on a.user_id = b.user_id where b.event_id is distinct from a.event_id""",
+)
+def target_changes(spark, sf):
+    """What two batches changed, between two versions of a target, a later version notwithstanding."""
+    target = TargetTable(spark, shared_folder(spark, "feed"), "user_id", ["ts", "event_id"])
+    early, middle, late = _event_periods(spark, sf)
+    for number, batch in enumerate((early, late, middle, early)):
+        target.upsert(batch, number)
+    return target.changes(0, 2)
+
+
+@query(
+    "target_schema_versions",
+    """
+select user_id, event_id, ts, case when ts >= timestamp '2024-01-21' then event_type end as event_type,
+       case when ts >= timestamp '2024-01-11' then user_id * 2 else user_id end::bigint as n
+from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",
+)
+def target_schema_versions(spark, sf):
+    """Batches of one target whose columns differ: one is widened from int to bigint, one is added, none is lost."""
+    target = TargetTable(spark, shared_folder(spark, "schemas"), "user_id", ["ts", "event_id"])
+    early, middle, late = (b.select("user_id", "event_id", "ts", "event_type") for b in _event_periods(spark, sf))
+    target.upsert(early.drop("event_type").withColumn("n", F.col("user_id").cast("int")), 0)
+    target.upsert(late.withColumn("n", F.col("user_id") * 2), 1)
+    target.upsert(middle.drop("event_type").withColumn("n", F.col("user_id") * 2), 2)
+    return target.read()
+
+
 _EVENT_HISTORY = """
 with flagged as (
   select user_id, event_type, ts, event_id,
@@ -140,6 +181,16 @@ def cdc_scd2(spark, sf):
     return _event_spans(apply_changes(changes, "user_id", ["ts", "event_id"], scd_type=2))
 
 
+@query("cdc_scd2_target", _EVENT_HISTORY)
+def cdc_scd2_target(spark, sf):
+    """The stored history after batches out of order: late changes cut the intervals of their keys."""
+    target = TargetTable(spark, shared_folder(spark, "history"), "user_id", ["ts", "event_id"], scd_type=2)
+    early, middle, late = (b.select("user_id", "ts", "event_id", "event_type") for b in _event_periods(spark, sf))
+    for number, batch in enumerate((late, early, middle)):
+        target.upsert(batch, number)
+    return _event_spans(target.read())
+
+
 @query("cdc_scd2_hot_keys", _EVENT_HISTORY)
 def cdc_scd2_hot_keys(spark, sf):
     """Same history with every larger group cut into chunks."""
