@@ -1,6 +1,8 @@
 """Definitions, catalogue, targets, streams and the many-table call."""
 
 import json
+import os
+import shutil
 
 import pytest
 from pyspark.errors import PySparkException, StreamingQueryException
@@ -17,7 +19,7 @@ from tidemark.sources.catalog.crm import object_table
 from tidemark.sources.catalog.fields import fields
 from tidemark.sources.landed import LandedSource, staging_view, stream_table
 from tidemark.sources.records import comment_records, table_rows
-from tidemark.streaming.flows import append_flow, observe_mark, upsert_stream
+from tidemark.streaming.flows import append_flow, observe_mark, stored_with, upsert_stream
 from tidemark.workspace import shared_folder
 
 VALID = {
@@ -193,12 +195,12 @@ def test_stream_equals_batch_and_resumes(spark):
     assert {(r["id"], r["v"]) for r in target.read().collect()} == {(i, f"2-{i}") for i in range(5)}
 
 
-def test_append_inside_a_watermark(spark):
+def test_append_takes_copies_once(spark):
     root = shared_folder(spark, "a")
     rows = spark.range(10).select("id", F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("at"))
     rows.union(rows).write.parquet(f"{root}/landed")
     stream = stream_table(spark, f"{root}/landed", rows.schema)
-    append_flow(stream, f"{root}/data", f"{root}/cp", keys=["id"], event_time="at").awaitTermination()
+    append_flow(stream, f"{root}/data", f"{root}/cp", keys=["id"]).awaitTermination()
     assert spark.read.parquet(f"{root}/data").count() == 10
 
 
@@ -319,7 +321,7 @@ def test_append_keeps_late_rows_and_no_repeats(spark):
         rows = spark.createDataFrame([(i,) for i in ids], "id long").select("id", at.alias("at"))
         rows.coalesce(1).write.mode("append").parquet(f"{root}/landed")
         stream = stream_table(spark, f"{root}/landed", rows.schema, max_files=1)
-        append_flow(stream, f"{root}/data", f"{root}/cp", keys=["id"], event_time="at").awaitTermination()
+        append_flow(stream, f"{root}/data", f"{root}/cp", keys=["id"]).awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(f"{root}/data").collect()) == list(range(30))
 
 
@@ -436,3 +438,23 @@ def test_columns_of_a_target_may_grow(spark):
     assert {tuple(r) for r in target.read().collect()} == {(1, 1, 5, None), (2, 1, 2**40, "x"), (3, 1, None, None)}
     with pytest.raises(ValueError, match="can't become"):
         target.upsert(spark.createDataFrame([(2, 1, "text")], "id int, s int, n string"), 3)
+
+
+def test_an_append_opens_the_files_that_may_hold_its_keys(spark):
+    root = shared_folder(spark, "k")
+    ids = lambda *values: spark.createDataFrame([(i, str(i)) for i in values], "id long, v string")
+    schema = ids(1).schema
+    batches = [range(100), range(100, 200), range(150, 300), [5, 250, 999, None], range(0, 300, 7)]
+    for values in batches:
+        ids(*values).coalesce(1).write.mode("append").parquet(f"{root}/landed")
+        append_flow(stream_table(spark, f"{root}/landed", schema), f"{root}/data", f"{root}/cp", keys=["id"]).awaitTermination()
+    got = [r["id"] for r in spark.read.parquet(f"{root}/data").collect()]
+    assert sorted(i for i in got if i is not None) == [*range(300), 999] and got.count(None) == 1
+    files = lambda rows: {f.rsplit("/", 2)[1] for f in rows.inputFiles()}
+    name = lambda rows: {f[-1] for f in files(rows)}
+    assert name(stored_with(spark, f"{root}/data", ids(3, 90), "id")) == {"0"}
+    assert name(stored_with(spark, f"{root}/data", ids(120, 199), "id")) == {"1"}
+    assert stored_with(spark, f"{root}/data", ids(5000), "id") is None
+    assert "3" in name(stored_with(spark, f"{root}/data", ids(None, 4), "id"))
+    shutil.rmtree(f"{root}/data/_keys/{next(f for f in os.listdir(f'{root}/data/_keys') if f.endswith('-1'))}")
+    assert name(stored_with(spark, f"{root}/data", ids(3), "id")) == {"0", "1"}  # without an index a batch is read as a whole

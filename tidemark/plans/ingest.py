@@ -85,7 +85,7 @@ def _start(
     mode, checkpoint = table.ingestion_mode, f"{root}/checkpoint"
     if mode == APPEND:
         rows = source.read_stream(spark, table.name, options)
-        query = append_flow(rows, f"{root}/data", checkpoint, keys=table.keys or None, event_time=options.get("event_time"))
+        query = append_flow(rows, f"{root}/data", checkpoint, keys=table.keys or None)
         return Ingested(table, None, f"{root}/data", query)
     target = TargetTable(
         spark,
