@@ -2,6 +2,7 @@
 
 import json
 import os
+import pathlib
 import shutil
 
 import pytest
@@ -458,3 +459,45 @@ def test_an_append_opens_the_files_that_may_hold_its_keys(spark):
     assert "3" in name(stored_with(spark, f"{root}/data", ids(None, 4), "id"))
     shutil.rmtree(f"{root}/data/_keys/{next(f for f in os.listdir(f'{root}/data/_keys') if f.endswith('-1'))}")
     assert name(stored_with(spark, f"{root}/data", ids(3), "id")) == {"0", "1"}  # without an index a batch is read as a whole
+
+
+@pytest.mark.parametrize("mode", [CDC, APPEND])
+def test_ingest_in_batches_of_rows(spark, mode):
+    root = shared_folder(spark, "p")
+    source = LandedSource(f"{root}/landed", {"t": TableDef("t", fields("id:long! updated_at v"), ("id",), "updated_at", mode)})
+    record = lambda i, minute, v="a": {"id": i, "updated_at": f"2024-01-01T00:{minute:02d}:00Z", "v": v}
+    # Ten rows share each cursor, so that batches of seven end inside a group.
+    _landed(spark, f"{root}/landed", "t", *[record(i, 10 + i // 10) for i in range(40)])
+    options = {"t": {"per_page": "7", "max_pages_per_batch": "1"}}
+    done = ingest(spark, source, options, f"{root}/out", run_id=1)
+    assert sorted(r["id"] for r in done["t"].read(spark).collect()) == list(range(40))
+    marks = spark.read.json(f"{root}/out/t/marks")
+    assert marks.where("done").agg(F.max("rows"), F.max("n")).first() == (7, 5)
+    # Three and five minutes behind the mark, and six, which is out of sight; and newer ones.
+    _landed(spark, f"{root}/landed", "t", record(50, 10), record(51, 8), record(52, 7), record(53, 13), record(54, 20))
+    done = ingest(spark, source, options, f"{root}/out", run_id=2)
+    assert sorted(r["id"] for r in done["t"].read(spark).collect()) == [*range(40), 50, 51, 53, 54]
+    assert len(list((pathlib.Path(root) / "out/t/marks").glob("batch=*"))) <= 3
+
+
+def test_a_batch_that_was_cut_short_is_finished(spark):
+    from tidemark.streaming.keyset import Marks, drain
+
+    root = shared_folder(spark, "q")
+    rows = spark.createDataFrame([(i, i // 4) for i in range(10)], "id long, c long")
+    read = lambda since: rows if since is None else rows.where(F.col("c") >= since)
+    taken: list[list[int]] = []
+
+    def apply(batch, n):
+        got = sorted(r["id"] for r in batch.collect())
+        if n == 1 and len(taken) == 1:
+            taken.append([])
+            raise RuntimeError("lost")
+        taken.append(got)
+
+    with pytest.raises(RuntimeError):
+        drain(spark, read, "c", ["id"], 3, apply, f"{root}/marks")
+    assert [m["done"] for m in Marks(spark, f"{root}/marks").last()] == [False, True]
+    drain(spark, read, "c", ["id"], 3, apply, f"{root}/marks")
+    assert taken == [[0, 1, 2], [], [3, 4, 5], [6, 7, 8], [9]]
+    assert drain(spark, read, "c", ["id"], 3, apply, f"{root}/marks", lookback=1) == 1 and taken[-1] == list(range(4, 10))

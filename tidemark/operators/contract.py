@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.conform import ERRORS
+from tidemark.functions.convert import epoch_seconds
 from tidemark.model import APPEND, CDC, MODES, SNAPSHOT, TableDef
 
 PASSED, FAILED, ERROR = "passed", "failed", "error"
@@ -108,6 +109,16 @@ def table_checks(df: DataFrame, table: TableDef) -> DataFrame:
     return _long_form(totals, checks)
 
 
+def offset_check(df: DataFrame, table: TableDef) -> DataFrame:
+    """Whether the read ends at an offset: the highest cursor, as a number or in epoch seconds. Tables without a cursor need none."""
+    if table.cursor is None:
+        frame = df.sparkSession.createDataFrame([(table.name,)], "table string")
+        return _long_form(frame, {"has_offset": (F.lit(True), F.lit(None))})
+    top = df.agg(F.max(f"`{table.cursor}`").cast("string").alias("top")).withColumn("table", F.lit(table.name))
+    shown = F.coalesce(F.col("top").try_cast("bigint"), epoch_seconds("top"))
+    return _long_form(top, {"has_offset": (F.col("top").isNotNull(), shown)})
+
+
 def increment_check(table: TableDef, before: DataFrame, after: DataFrame, written: int = 1) -> DataFrame:
     """After a write of `written` rows: a snapshot grew by just that, other modes return some row.
 

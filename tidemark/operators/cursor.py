@@ -17,12 +17,14 @@ def scan_since(df: DataFrame, cursor: str, high_water_mark=None, start=None) ->
     """Rows at or after the bound; the whole table when there is none.
 
     The stored mark wins over the configured start. The cursor is compared as a
-    plain column with a literal, so the bound reaches the file scan.
+    plain column with a literal, so the bound reaches the file scan. A bound that isn't of the
+    cursor's type (a text that is no time, say) reads from the start.
     """
     bound = start if high_water_mark is None or high_water_mark == "" else high_water_mark
     if bound is None or bound == "":
         return df
-    return df.where(F.col(cursor) >= _bound(df, cursor, bound))
+    literal = (bound if isinstance(bound, Column) else F.lit(bound)).try_cast(df.schema[cursor].dataType)
+    return df.where(literal.isNull() | (F.col(cursor) >= literal))  # the first part is folded away
 
 
 def read_between(df: DataFrame, cursor: str, start, end) -> DataFrame:

@@ -380,6 +380,12 @@ def since_start_date(spark, sf):
     return cursor.scan_since(table(spark, sf, "orders"), "o_orderdate", None, "1997-01-01")
 
 
+@query("since_unreadable", "select * from events")
+def since_unreadable(spark, sf):
+    """A mark that is no time reads from the start."""
+    return cursor.scan_since(table(spark, sf, "events"), "ts", "soon", "2024-01-16")
+
+
 @query(
     "read_between",
     "select * from events where ts > timestamp '2024-01-10' and ts <= timestamp '2024-01-20'",
@@ -1347,24 +1353,24 @@ def github_commits(spark, sf):
     "hubspot_contacts",
     """
 select c_custkey::varchar as id, c_acctbal < 0 as archived,
-       coalesce(string_agg(s_suppkey::varchar, ',' order by s_suppkey), '') as companies,
+       coalesce(string_agg(o_orderkey::varchar, ',' order by o_orderkey), '') as companies,
        c_name as properties_name, cast(trunc(c_acctbal) as bigint) as properties_balance,
        c_mktsegment = 'MACHINERY' as properties_heavy
-from customer left join supplier on c_nationkey = s_nationkey
+from customer left join orders on c_custkey = o_custkey and o_orderstatus = 'F'
 group by c_custkey, c_acctbal, c_name, c_mktsegment""",
 )
 def hubspot_contacts(spark, sf):
     from tidemark.sources.catalog.crm import object_table
 
-    suppliers = table(spark, sf, "supplier").groupBy("s_nationkey").agg(
-        F.array_sort(F.collect_list("s_suppkey")).alias("suppliers")
+    orders = table(spark, sf, "orders").where("o_orderstatus = 'F'").groupBy("o_custkey").agg(
+        F.array_sort(F.collect_list("o_orderkey")).alias("orders")
     )
-    joined = table(spark, sf, "customer").join(suppliers, F.col("c_nationkey") == F.col("s_nationkey"), "left")
-    company = F.struct(F.transform("suppliers", lambda s: F.struct(s.cast("string").alias("id"))).alias("results"))
+    joined = table(spark, sf, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+    company = F.struct(F.transform("orders", lambda o: F.struct(o.cast("string").alias("id"))).alias("results"))
     records = joined.select(
         F.col("c_custkey").cast("string").alias("id"),
         (F.col("c_acctbal") < 0).alias("archived"),
-        F.when(F.col("suppliers").isNotNull(), F.struct(company.alias("companies"))).alias("associations"),
+        F.when(F.col("orders").isNotNull(), F.struct(company.alias("companies"))).alias("associations"),
         F.struct(
             F.col("c_name").alias("name"),
             F.col("c_acctbal").cast("string").alias("balance"),
@@ -1693,6 +1699,46 @@ def conform_rejects(spark, sf):
     return rows.select("event_id", (F.size("_errors") > 0).alias("bad"), "n")
 
 
+@query(
+    "contract_conform",
+    """
+with t as (select event_id, event_id % 7 = 0 or event_type is null as bad, ts from events),
+c as (select count(*) n, count(*) filter (bad) bad, epoch(date_trunc('second', max(ts)))::bigint top from t)
+select 't' as "table", 'has_offset' as "check", 'passed' as status, top as value from c
+union all select 't', 'has_rows', 'passed', n from c
+union all select 't', 'rows_conform', case when bad = 0 then 'passed' else 'failed' end, bad from c
+union all select 't', 'key_not_null', 'passed', 0 union all select 't', 'key_unique', 'passed', 0
+union all select 't', 'cursor_not_null', 'passed', 0""",
+)
+def contract_conform(spark, sf):
+    """The checks of a read whose records hold bad values: how many rows don't conform, and the offset that it ends at."""
+    value = F.when(F.pmod("event_id", F.lit(7)) == 0, "x").otherwise(F.col("event_id").cast("string"))
+    records = table(spark, sf, "events").select("event_id", value.alias("n"), F.col("event_type").alias("kind"), iso("ts").alias("at"))
+    definition = TableDef("t", fields("event_id:long! n:long kind! at"), ("event_id",), "at")
+    rows = table_rows(as_payload(records), definition, mode="permissive")
+    checks = shape.union_tables(contract.table_checks(rows, definition), contract.offset_check(rows, definition))
+    return checks.select("table", "check", "status", "value")
+
+
+@query("ingest_batches_of_rows", "select o_orderkey as id, o_orderstatus as label, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') as updated_at from orders")
+def ingest_batches_of_rows(spark, sf):
+    """Two runs under a service's page limits; between them rows come late, by less than the lookback, and newer ones."""
+    root = shared_folder(spark, "ingest-rows")
+    records = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("label"), iso("o_orderdate").alias("updated_at")
+    )
+    late = records.where("id % 2 = 1 and updated_at < '1995-06-01'")
+    early = records.where("not (id % 2 = 1 and updated_at < '1995-06-01')")
+    definition = TableDef("rows_of_orders", fields("id:long! label updated_at"), ("id",), "updated_at")
+    source = LandedSource(f"{root}/landed", {definition.name: definition})
+    days = 20 * 366 * 86400
+    options = {"per_page": "100", "max_pages_per_batch": "50", "lookback_seconds": str(days)}
+    for part in (early, late):
+        as_payload(part, "updated_at").write.mode("append").parquet(f"{root}/landed/rows_of_orders")
+        done = ingest(spark, source, {definition.name: options}, f"{root}/target", run_id=1)
+    return done[definition.name].read(spark)
+
+
 @query(
     "ingest_options",
     """

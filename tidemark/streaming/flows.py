@@ -63,31 +63,36 @@ def append_flow(
 
 def _append_once(path: str, keys: list[str]):
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        own = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
-        # Copies within the batch go first; what is left is kept, since it is needed twice.
-        fresh = dedupe_append(batch, keys).persist(StorageLevel.DISK_ONLY)
-        try:
-            stored = stored_with(spark, path, fresh, keys[0], own)
-            if stored is not None:
-                known = stored.select(*[F.col(f"`{k}`").alias(f"__k_{k}") for k in keys])
-                new = fresh.join(known, null_safe(fresh, known, keys, "__k_"), "left_anti")
-            else:
-                new = fresh
-            # A batch that is sent again after a failure replaces what it wrote before.
-            new.sort(keys[0]).write.mode("overwrite").parquet(f"{path}/{BATCH}={own}")
-        finally:
-            fresh.unpersist()
-        written = spark.read.parquet(f"{path}/{BATCH}={own}")
-        key = F.col(f"`{keys[0]}`")
-        found = written.groupBy(F.col("_metadata.file_name").alias("file")).agg(
-            F.min(key).alias("low"), F.max(key).alias("high"), F.count_if(key.isNull()).alias("nulls")
-        )
-        found.coalesce(1).write.mode("overwrite").parquet(f"{path}/{KEYS}/{BATCH}={own}")
+        append_batch(batch, path, keys, f"{batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}")
 
     return apply
 
 
+def append_batch(batch: DataFrame, path: str, keys: Sequence[str], own: str) -> None:
+    """Append a batch known as `own`: each key once, and none that is stored; without keys, all rows. Sent again, it replaces what it wrote."""
+    spark = batch.sparkSession
+    if not keys:
+        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={own}")
+        return
+    # Copies within the batch go first; what is left is kept, since it is needed twice.
+    fresh = dedupe_append(batch, keys).persist(StorageLevel.DISK_ONLY)
+    try:
+        stored = stored_with(spark, path, fresh, keys[0], own)
+        if stored is not None:
+            known = stored.select(*[F.col(f"`{k}`").alias(f"__k_{k}") for k in keys])
+            new = fresh.join(known, null_safe(fresh, known, keys, "__k_"), "left_anti")
+        else:
+            new = fresh
+        new.sort(keys[0]).write.mode("overwrite").parquet(f"{path}/{BATCH}={own}")
+    finally:
+        fresh.unpersist()
+    key = F.col(f"`{keys[0]}`")
+    found = spark.read.schema(batch.schema).parquet(f"{path}/{BATCH}={own}").groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.min(key).alias("low"), F.max(key).alias("high"), F.count_if(key.isNull()).alias("nulls")
+    )
+    found.coalesce(1).write.mode("overwrite").parquet(f"{path}/{KEYS}/{BATCH}={own}")
+
+
 def stored_with(spark: SparkSession, path: str, batch: DataFrame, key: str, own: str | None = None) -> DataFrame | None:
     """The stored rows that may have a first key of the batch: those of the files whose span of keys meets the batch's.
 
