@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.helpers import cut
+from tidemark.llm.helpers import keep
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -32,11 +32,11 @@ def connected_components(links: DataFrame) -> DataFrame:
     Null ends and loops are no links. Each round's edges are cut from their lineage; the rounds end when no
     vertex has two different smaller neighbours and no neighbour is itself the larger end of a link.
     """
-    edges = cut(
+    edges = keep(
         links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
     while True:
-        after = cut(_stars(edges))
+        after = keep(_stars(edges))
         totals = [
             f.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first() for f in (edges, after)
         ]

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.helpers import arrow_map, cut
+from tidemark.llm.helpers import arrow_map, keep
 from tidemark.llm.words import mix, shingle_hashes, slices, text_buffers, text_shingles, word_hashes
 
 COORDINATES = 128
@@ -203,14 +203,14 @@ def near_duplicates(
     """
     if percent < 80:
         raise ValueError("the bands find links of 80 percent or more")
-    drawn = cut(sketch_documents(docs, id_column, text_column))
+    drawn = keep(sketch_documents(docs, id_column, text_column))
     named = drawn.filter("id is not null")
-    classes = cut(
+    classes = keep(
         named.filter("n_shingles > 0").groupBy("digest").agg(F.min(F.struct("id", "sketch")).alias("first"))
         .select("digest", "first.id", "first.sketch")
     )
     firsts = classes.select("digest", F.col("id").alias("first"))
-    members = cut(
+    members = keep(
         named.select("id", "digest").join(firsts, "digest", "left").select("id", F.coalesce("first", "id").alias("first"))
         .distinct()
     )
@@ -220,24 +220,24 @@ def near_duplicates(
     )
     bands = _band_rows(classes, percent)
     sizes = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = cut(bands.join(sizes, "band"))
-    busy = cut(shared.select("id").distinct())
-    classes = cut(classes.select("id", "sketch").join(busy, "id", "left_semi"))
+    shared = keep(bands.join(sizes, "band"))
+    busy = keep(shared.select("id").distinct())
+    classes = keep(classes.select("id", "sketch").join(busy, "id", "left_semi"))
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    texts = cut(texts.join(busy, "id", "left_semi"))
+    texts = keep(texts.join(busy, "id", "left_semi"))
     central = shared.groupBy("id").agg(F.sum("n").alias("rank"))
-    hubs = cut(shared.join(central, "id").groupBy("band").agg(F.max_by("id", F.struct("rank", -F.col("id"))).alias("hub")))
+    hubs = keep(shared.join(central, "id").groupBy("band").agg(F.max_by("id", F.struct("rank", -F.col("id"))).alias("hub")))
     spokes = shared.join(hubs, "band").filter("id <> hub").select(
         F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")
     )
-    first_pairs = cut(_alike(spokes.distinct(), classes, percent))
-    links = cut(links.union(_verified(first_pairs, texts, percent)))
+    first_pairs = keep(_alike(spokes.distinct(), classes, percent))
+    links = keep(links.union(_verified(first_pairs, texts, percent)))
     found = connected_components(links)
     placed = shared.select("band", "id", F.col("n").alias("size")).join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    placed = cut(placed.join(mixed.filter("least < most").select("band"), "band").join(hubs, "band"))
+    placed = keep(placed.join(mixed.filter("least < most").select("band"), "band").join(hubs, "band"))
     across = _across(placed, _shared_elsewhere(placed, texts), percent)
-    more = cut(_alike(across, classes, percent).join(first_pairs, ["a", "b"], "left_anti"))
+    more = keep(_alike(across, classes, percent).join(first_pairs, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         found = connected_components(links.union(_verified(more, texts, percent)))
     labels = members.join(found.withColumnRenamed("id", "first"), "first", "left").groupBy("id").agg(
