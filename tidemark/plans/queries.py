@@ -20,6 +20,7 @@ from tidemark.operators.append import dedupe_append
 from tidemark.operators.changes import END, START, apply_changes, refresh_history
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.snapshot import apply_snapshot, open_history, snapshot_diff
+from tidemark.plans import service_tables
 from tidemark.plans.ingest import ingest
 from tidemark.plans.target import TargetTable
 from tidemark.sources import metadata
@@ -1763,3 +1764,40 @@ def ingest_options(spark, sf):
     source = LandedSource(f"{root}/landed", {definition.name: definition})
     done = ingest(spark, source, {definition.name: options}, f"{root}/target", run_id=1)
     return done[definition.name].read(spark).select("id", "label")
+
+
+@query(
+    "conform_empty_object",
+    """
+select event_id, event_id % 4 = 0 as bad, case when event_id % 4 > 1 then event_type end as kind from events""",
+)
+def conform_empty_object(spark, sf):
+    """An object without members is an error, null is none."""
+    user = (
+        F.when(F.pmod("event_id", F.lit(4)) == 0, "{}").when(F.pmod("event_id", F.lit(4)) == 1, "null")
+        .otherwise(F.to_json(F.struct(F.col("event_type").alias("kind"))))
+    )
+    records = table(spark, sf, "events").select(F.format_string('{"event_id":%d,"user":%s}', "event_id", user).alias("payload"))
+    schema = fields("event_id:long! user:user", {"user": fields("kind")})
+    rows = conform(records, "payload", schema, mode="permissive")
+    return rows.select("event_id", (F.size("_errors") > 0).alias("bad"), F.col("user.kind").alias("kind"))
+
+
+@query(
+    "table_samples",
+    """
+select 'customer' as "table", least(count(*), 3) as n from customer
+union all select 'events', least(count(*), 3) from events
+union all select 'orders', least(count(*), 3) from orders""",
+)
+def table_samples(spark, sf):
+    """How many rows the sample of each table has, all of them rows of the table."""
+    counts = []
+    for name, key in (("customer", "c_custkey"), ("events", "event_id"), ("orders", "o_orderkey")):
+        rows = table(spark, sf, name)
+        taken = contract.sample_rows(rows.select(key)).join(rows.select(key), key, "left_semi")
+        counts.append(taken.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table"), "n"))
+    return shape.union_tables(*counts)
+
+
+service_tables.register(query)
