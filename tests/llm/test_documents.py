@@ -4,16 +4,18 @@ import collections
 import hashlib
 import math
 import random
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
 from tidemark.llm.decontaminate import ItemIndex, contained_items, decontaminate, report
-from tidemark.llm.licenses import TEMPLATES, LicenseScanner, blocks, license_notices
+from tidemark.llm.licenses import DIFFERENT, TEMPLATES, LicenseScanner, license_notices
 from tidemark.llm.near_duplicates import near_duplicates, sketches
 from tidemark.llm.packing import TextEncoder, best_fit, local_search, pack_documents
 from tidemark.llm.quality import score_quality, train_quality
@@ -340,7 +342,7 @@ def test_licenses_in_long_lines_and_together():
     around = [" ".join(rnd.choice(common) for _ in range(200)) for _ in range(2)]
     bsd = TEMPLATES["BSD-3-Clause"][1]
     scanner = LicenseScanner(TEMPLATES)
-    names = lambda text: [x[0] for _, b in blocks(text) for x in scanner.scan(b)]
+    names = lambda text: [x[2] for x in scanner.scan(text)]
     assert names(f"{around[0]} Released under the MIT License. {around[1]}") == ["MIT"]
     assert names("Released under the MIT License.\n\nLicensed under CC BY 4.0.") == ["MIT", "CC-BY-4.0"]
     assert names(f"{TEMPLATES['MIT'][1]}\n{bsd}\nand\n{TEMPLATES['Apache-2.0'][1]}") == ["MIT", "BSD-3-Clause", "Apache-2.0"]
@@ -349,6 +351,54 @@ def test_licenses_in_long_lines_and_together():
         for text in texts:
             assert names("Copyright 2020 A. Nobody\n" + text) == [name], text
     assert names("Released under the MIT License. " * 300) == ["MIT"] * 300
+    assert names("This project is MIT licensed.") == ["MIT"] and names("Distributed under the zlib license.") == ["Zlib"]
+    assert names("software distributed under the License is distributed, released under the license of its authors") == []
+
+
+def test_the_notice_is_the_confirmed_template_of_the_largest_reduction():
+    """Against every template at every run of words, with differences counted by a table of edits."""
+    rnd = random.Random(29)
+    scanner = LicenseScanner(TEMPLATES)
+    lower = lambda text: re.findall("[a-z0-9]+", text.lower())
+
+    def differs(template: list[str], words: list[str]) -> tuple[int, int]:
+        same = [0] * (len(words) + 1)
+        for t in template:
+            row = [0]
+            for j, w in enumerate(words):
+                row.append(same[j] + 1 if t == w else max(same[j + 1], row[j]))
+            same = row
+        return len(template) - same[-1], len(words) - same[-1]
+
+    confirmed = []
+    for name, texts in TEMPLATES.items():
+        for text in texts:
+            words = lower(text)
+            for _ in range(1 + len(words) // 12):  # some edits, within what is allowed
+                if len(words) > 20:
+                    words[rnd.randrange(len(words))] = rnd.choice(["thing", "other"])
+            before, behind = prose(rnd, rnd.randint(0, 200)), prose(rnd, rnd.randint(0, 200))
+            whole = f"{before}\n{' '.join(words)}\n{behind}"
+            found = list(scanner.scan(whole))
+            alone = len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(" ".join(words).encode()))
+            sizes = {}
+            for license, others in TEMPLATES.items():
+                for t in map(lower, others):
+                    missing, other = differs(t, words)
+                    if max(missing, other) <= int(DIFFERENT * len(t)):
+                        given = zstandard.ZstdCompressionDict(" ".join(t).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                        made = zstandard.ZstdCompressor(level=3, write_content_size=False, dict_data=given)
+                        sizes[license] = min(alone, sizes.get(license, alone), len(made.compress(" ".join(words).encode())))
+            if not sizes:  # the edits took a word that the template must have, or too many
+                continue
+            assert [f[2] for f in found] == [name] or (found == [] and len(words) > 20), text
+            confirmed.append(bool(found))
+            if found:
+                assert sizes[name] == min(sizes.values())
+                start, length = found[0][:2]
+                missing, other = differs(lower(text), lower(whole[start : start + length]))
+                assert (missing, other) <= (found[0][4], found[0][5]) and len(before) < start + 1 <= len(before) + 40 + len(text)
+    assert sum(confirmed) >= 0.9 * len(confirmed)  # an edit may hit a word that tells two licenses apart
 
 
 def test_shards(spark):

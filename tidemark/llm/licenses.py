@@ -1,16 +1,19 @@
 """License notices in documents, found by conditional compression.
 
-A block of lines around words that licenses use is searched in windows of each template's size, so that its length and
-other notices in it don't matter. A template may stand where the words of template and text differ no more than in so many
-places. Where several may stand on the same words, these are compressed alone and with each of the templates as a
-raw-content dictionary, and the one that shrinks them most wins. What is left of the block is searched again. Template and
-block are compared as lower-case words without punctuation.
+A text is read in windows of words, twice as long as the longest template and overlapping by half, so that every notice
+lies whole in the window in whose first half it begins. A window is a candidate block if it has the words of any template, but
+for the share that may be missing. A candidate is compressed alone and with each of the templates as a raw-content
+dictionary. In the order of the reductions the templates are confirmed by their exact wording differences, and the first that is
+confirmed is the notice; no template is left out of that order. What is left of the block before and behind the notice is
+ranked again. Templates and texts are compared as lower-case words without punctuation.
 """
 
 from __future__ import annotations
 
 import difflib
+import itertools
 import re
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import zstandard
@@ -19,14 +22,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.helpers import arrow_map
 
-#: Words that a block must have.
-CUES = ("licens", "licenc", "copyright", "permission", "redistribut", "warrant", "spdx", "public domain")
-#: Lines without a cue between two with one that don't end a block.
-GAP = 6
 #: Share of a template's words that may be missing, and that there may be of others between them.
 DIFFERENT = 0.2
-#: Results that a worker remembers; notices repeat.
-REMEMBERED = 20_000
 
 # Notices by which works state their licenses, in their usual wording.
 TEMPLATES: dict[str, list[str]] = {
@@ -119,40 +116,29 @@ TEMPLATES: dict[str, list[str]] = {
     "CC-BY-NC-ND-4.0": ["Licensed under CC BY-NC-ND 4.0."],
     "CC0-1.0": ["Dedicated to the public domain under CC0 1.0."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+        "for any damages arising from the use of this software. Permission is granted to anyone to use this software for any "
+        "purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following "
+        "restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote the original "
+        "software.",
+    ],
 }
+#: Names by which short sentences call a license; BSD alone tells no version.
+CALLED = {"MIT": "MIT", "ISC": "ISC", "Zlib": "zlib", "Apache-2.0": "Apache 2.0", "MPL-2.0": "MPL 2.0", "BSD": "BSD"}
 
 for _name, _texts in TEMPLATES.items():
     _texts.append(f"SPDX-License-Identifier: {_name}")
+for _name, _called in CALLED.items():
+    TEMPLATES.setdefault(_name, []).extend([f"This project is {_called} licensed.", f"Distributed under the {_called} license."])
 
-_WORD = re.compile(r"[a-z0-9]+")
+_WORD = re.compile(r"[A-Za-z0-9]+")
 
 
 def _words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def blocks(text: str) -> list[tuple[int, str]]:
-    """(start, block) of every run of lines that begins and ends with a cue and has no GAP + 1 lines without one."""
-    low = text.lower()
-    if not any(c in low for c in CUES):
-        return []
-    found, start, end, since, at = [], None, 0, 0, 0
-    for line in text.split("\n"):
-        small = line.lower()
-        if any(c in small for c in CUES):
-            start = at if start is None else start
-            end, since = at + len(line), 0
-        elif start is not None:
-            since += 1
-            if since > GAP:
-                found.append((start, text[start:end]))
-                start = None
-        at += len(line) + 1
-    if start is not None:
-        found.append((start, text[start:end]))
-    return found
-
-
 class LicenseScanner:
     def __init__(self, templates: dict[str, list[str]]):
         self.templates = [(name, words) for name, texts in sorted(templates.items()) for words in map(_words, texts)]
@@ -164,95 +150,111 @@ class LicenseScanner:
             )
             for _, w in self.templates
         ]
-        self.least = [(set(w), int(DIFFERENT * len(w))) for _, w in self.templates]
+        self.allowed = [int(DIFFERENT * len(w)) for _, w in self.templates]
+        self.kinds = [frozenset(w) for _, w in self.templates]
+        self.vocabulary = frozenset().union(*self.kinds)
+        #: The most words of a notice.
+        self.longest = max(len(w) + m for (_, w), m in zip(self.templates, self.allowed, strict=True))
+        # What a template has and a similar one of another license has not; a notice must have it, but for the share that may be missing.
         self.own = [
             [
-                own for _, t in self.templates
-                if t is not w and (own := set(w) - set(t)) and difflib.SequenceMatcher(None, w, t, autojunk=False).ratio() > 1 - 2 * DIFFERENT
+                own for other, t in self.templates
+                if other != name and (own := set(w) - set(t)) and difflib.SequenceMatcher(None, w, t, autojunk=False).ratio() > 1 - 2 * DIFFERENT
             ]
-            for _, w in self.templates
+            for name, w in self.templates
         ]
-        self.known: dict[str, list] = {}
 
-    def scan(self, block: str) -> list[tuple[str, float, int, int]]:
-        """(license, reduction, missing words, other words) of each notice, in their order.
+    def scan(self, text: str) -> Iterator[tuple[int, int, str, float, int, int]]:
+        """(start, length, license, reduction, missing words, other words) of each notice, in their order.
 
-        Words of the block before and after a notice don't count.
+        start and length are those of the notice in characters, reduction is the share by which its template shrinks the block.
         """
-        if block not in self.known:
-            if len(self.known) >= REMEMBERED:
-                self.known = {}
-            self.known[block] = self._scan(_words(block))
-        return self.known[block]
+        # The words of the window alone are held, however long the text is.
+        for spans, notices in self._windows((m.start(), m.end(), m.group().lower()) for m in _WORD.finditer(text)):
+            for first, last, *notice in notices:
+                yield (spans[first][0], spans[last - 1][1] - spans[first][0], *notice)
 
-    def _scan(self, words: list[str]) -> list[tuple[str, float, int, int]]:
-        notices, rests = [], [(0, len(words))]
-        while rests:
-            start, end = rests.pop()
-            at = start
-            for first, last, *notice in self._notices(words[start:end]):
-                notices.append((start + first, *notice))
-                rests.append((at, start + first))
-                at = start + last
-            if at > start:
-                rests.append((at, end))
-        return [tuple(n[1:]) for n in sorted(notices)]
+    def _windows(self, words: Iterable[tuple[int, int, str]]) -> Iterator[tuple[list, list]]:
+        """Windows with the notices that begin in their first halves; the last window has all of its own."""
+        words, held = iter(words), []
+        while True:
+            held += itertools.islice(words, 2 * self.longest - len(held))
+            ended = len(held) < 2 * self.longest
+            half = len(held) if ended else self.longest
+            found = sorted(n for n in self._notices([w for _, _, w in held]) if n[0] < half)
+            if found:
+                yield held, found
+            if ended:
+                return
+            # A notice that reaches into the second half is over; the next window begins behind it.
+            held = held[max([half, *(n[1] for n in found)]) :]
 
     def _notices(self, words: list[str]) -> list[tuple[int, int, str, float, int, int]]:
-        """(start, end, license, reduction, missing, others) of the notices of one search; they don't overlap."""
-        fits = sorted(f for i in range(len(self.templates)) for f in self._fits(i, words))
-        groups: list[list] = []
-        for fit in fits:
-            if groups and fit[0] < max(f[1] for f in groups[-1]):
-                groups[-1].append(fit)
-            else:
-                groups.append([fit])
-        return [self._likeliest(group, words) for group in groups]
+        """(start, end, license, reduction, missing, others) of the notices of a window, which don't overlap."""
+        notices, blocks = [], [(0, len(words))]
+        while blocks:
+            start, end = blocks.pop()
+            winner = self._winner(words[start:end])
+            if winner is not None:
+                first, last, *notice = winner
+                notices.append((start + first, start + last, *notice))
+                blocks += [(start, start + first), (start + last, end)]
+        return notices
 
-    def _likeliest(self, group: list, words: list[str]) -> tuple[int, int, str, float, int, int]:
-        data = " ".join(words[min(f[0] for f in group) : max(f[1] for f in group)]).encode()
-        size = len(self.alone.compress(data))
-        sizes = {i: len(self.given[i].compress(data)) for i in {f[4] for f in group}}
-        start, end, missing, others, i = min(group, key=lambda f: (sizes[f[4]], f[2] + f[3] - (f[1] - f[0]), f))
-        return start, end, self.templates[i][0], 1 - sizes[i] / size, missing, others
+    def possible(self, words: list[str]) -> set[int]:
+        """The templates of which a block has so many words that it may be confirmed."""
+        there = self.vocabulary.intersection(words)
+        if len(there) < 3:
+            return set()
+        return {i for i, kinds in enumerate(self.kinds) if len(kinds - there) <= self.allowed[i]}
 
-    def _fits(self, i: int, words: list[str]) -> set[tuple[int, int, int, int, int]]:
-        """(start, end, missing, others, i) where template i may stand.
+    def reductions(self, words: list[str]) -> list[tuple[float, int]]:
+        """(reduction, template) of a block by every template, largest first."""
+        data = " ".join(words).encode()
+        alone = len(self.alone.compress(data))
+        return sorted(((1 - len(c.compress(data)) / alone, i) for i, c in enumerate(self.given)), key=lambda r: (-r[0], r[1]))
 
-        Such a place is no longer than the template and the other words allowed, and so lies whole in one of the windows.
-        """
-        template, (kinds, allowed) = self.templates[i][1], self.least[i]
-        if len(kinds.difference(words)) > allowed:
-            return set()
+    def _winner(self, words: list[str]) -> tuple[int, int, str, float, int, int] | None:
+        """The confirmed template of the largest reduction; of several with that, the one that differs least for its length."""
+        possible = self.possible(words)
+        if not possible:
+            return None
+        for reduction, ranked in itertools.groupby(self.reductions(words), key=lambda r: r[0]):
+            places = [p for _, i in ranked if i in possible and (p := self._place(i, words)) is not None]
+            if places:
+                start, end, missing, others, i = min(places, key=lambda p: (p[2] + p[3] - (p[1] - p[0]), p))
+                return start, end, self.templates[i][0], reduction, missing, others
+        return None
+
+    def _place(self, i: int, words: list[str]) -> tuple[int, int, int, int, int] | None:
+        """(start, end, missing, others, i) of the place where the wording differs least from template i, if little enough."""
+        template, allowed = self.templates[i][1], self.allowed[i]
         step = len(template) + allowed
-        found = set()
+        found = []
         for at in range(0, max(1, len(words) - step), step):
             window = words[at : at + 2 * step]
-            if len(kinds.difference(window)) > allowed:
+            if len(self.kinds[i].difference(window)) > allowed:
                 continue
             matcher = difflib.SequenceMatcher(None, template, window, autojunk=False)
             runs = [m for m in matcher.get_matching_blocks() if m.size]
-            best = None
             for k, first in enumerate(runs):
                 same = 0
                 for last in runs[k:]:
                     same += last.size
                     others = last.b + last.size - first.b - same
                     missing = len(template) - same
-                    if missing <= allowed and others <= allowed and (best is None or missing + others < best[2] + best[3]):
-                        best = (at + first.b, at + last.b + last.size, missing, others, i)
-            if best is not None:
-                have = set(words[best[0] : best[1]])
-                if all(own <= have for own in self.own[i]):
-                    found.add(best)
-        return found
+                    if missing <= allowed and others <= allowed:
+                        have = set(words[at + first.b : at + last.b + last.size])
+                        if all(len(own - have) <= int(DIFFERENT * len(own)) for own in self.own[i]):
+                            found.append((missing + others, at + first.b, at + last.b + last.size, missing, others, i))
+        return min(found)[1:] if found else None
 
 
 def license_notices(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:
     """(doc_id, start, length, license, reduction, missing, others) of every notice; start and length count characters.
 
-    Null and empty texts have none; doc_id may be null or repeated. start and length are those of the block, which
-    may hold several notices.
+    Null and empty texts have none; doc_id may be null or repeated, and repeated rows have their notices each. Other columns
+    are not read.
     """
     templates = templates or TEMPLATES
     scanners: list[LicenseScanner] = []
@@ -262,8 +264,7 @@ def license_notices(docs: DataFrame, templates: dict[str, list[str]] | None = No
             scanners.append(LicenseScanner(templates))
         rows = []
         for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-            for start, block in blocks(text.as_py() or ""):
-                rows += [(doc, start, len(block), *found) for found in scanners[0].scan(block)]
+            rows += [(doc, *found) for found in scanners[0].scan(text.as_py() or "")]
         if rows:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64())
             names = ["doc_id", "start", "length", "license", "reduction", "missing", "others"]
