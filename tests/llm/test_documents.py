@@ -232,6 +232,17 @@ def test_containment(spark):
     assert contained_items(docs, bench.limit(0)).count() == 0 and report(docs.limit(0), bench).count() == 0
 
 
+def test_items_of_many_chunks(spark, monkeypatch):
+    rnd = random.Random(36)
+    items = [words(rnd, 12) for _ in range(60)]
+    docs = table_of(spark, [words(rnd, 40) + " " + x + " " + words(rnd, 40) for x in items] + ["no item here", None])
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = sorted((i, i, 1.0) for i in range(60))
+    monkeypatch.setattr("tidemark.llm.decontaminate.CHUNK_BYTES", 1 + len("".join(items).encode()) // 5)
+    assert sorted(map(tuple, contained_items(docs, bench).collect())) == want
+    assert {r.doc_id for r in decontaminate(docs, bench).collect()} == {60, 61}
+
+
 def test_short_items_in_long_documents():
     rnd = random.Random(16)
     items = [(i, " ".join(f"v{rnd.getrandbits(40)}" for _ in range(5 + i % 8))) for i in range(800)]

@@ -9,17 +9,22 @@ each shingle is hashed MINIMA times whatever the classes. Each candidate is then
 shingles that the whole document has, compared as words. Items of up to EXACT distinct shingles would be too small a part
 of their windows; every document that has one of their shingles is a candidate.
 
-Items go to the tasks in chunks of bounded size (CHUNK_BYTES of text), one pass over the documents for each chunk.
+Items lie in the shared folder in chunks of bounded size (CHUNK_BYTES of text), which the tasks read; one pass over the
+documents for each chunk.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.helpers import arrow_map, cut
+from tidemark.llm.helpers import arrow_map, cut, shared_folder
 from tidemark.llm.words import mix, shingle_hashes, slices, text_buffers, text_shingles, word_hashes
 
 MINIMA = 64
@@ -114,17 +119,35 @@ class ItemIndex:
         return found
 
 
-def _chunks(items: DataFrame) -> list[list[tuple[int, str]]]:
-    """The items in lists of CHUNK_BYTES of text at most (or of one item)."""
-    chunks, held = [], 0
-    for row in items.toLocalIterator():
-        size = len(row["text"].encode())
-        if not chunks or held + size > CHUNK_BYTES:
-            chunks.append([])
-            held = 0
-        chunks[-1].append((row["item_id"], row["text"]))
-        held += size
-    return chunks
+class ItemChunks:
+    """The items in `n` parts of about CHUNK_BYTES of text, as a table in the shared folder; no item passes through the driver."""
+
+    def __init__(self, items: DataFrame):
+        texts = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+        texts = texts.filter("item_id is not null and text is not null").distinct()
+        size = texts.agg(F.sum(F.octet_length("text"))).first()[0]
+        self.folder, self.n = shared_folder(items.sparkSession, "items"), -(-(size or 0) // CHUNK_BYTES)
+        if self.n:
+            chunk = F.pmod(F.xxhash64("item_id", "text"), F.lit(self.n))
+            texts.withColumn("chunk", chunk).repartition("chunk").write.partitionBy("chunk").parquet(self.folder)
+
+    def index(self, chunk: int) -> Callable[[], ItemIndex]:
+        """What builds the index of a chunk in a task, once for all of its batches."""
+        folder, held = self.folder, []
+
+        def build() -> ItemIndex:
+            if not held:
+                store, root = fs.FileSystem.from_uri(folder)
+                files = store.get_file_info(fs.FileSelector(f"{root}/chunk={chunk}", allow_not_found=True))
+                rows = []
+                for path in sorted(f.path for f in files if f.path.endswith(".parquet")):
+                    with store.open_input_file(path) as source:
+                        part = pq.ParquetFile(source).read(["item_id", "text"])
+                    rows += zip(part.column("item_id").to_pylist(), part.column("text").to_pylist(), strict=True)
+                held.append(ItemIndex(sorted(rows)))
+            return held[0]
+
+        return build
 
 
 def contained_items(
@@ -139,18 +162,18 @@ def contained_items(
     if containment < CONTAINMENT:
         raise ValueError("windows and minima find containments of 0.8 or more")
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = items.filter("item_id is not null and text is not null").distinct().orderBy("item_id", "text")
     schema = "doc_id long, item_id long, containment double"
+    chunks = ItemChunks(items)
     found = None
-    for chunk in _chunks(items):
-        part = arrow_map(docs, _search(ItemIndex(chunk), containment), schema)
+    for chunk in range(chunks.n):
+        part = arrow_map(docs, _search(chunks.index(chunk), containment), schema)
         found = part if found is None else found.union(part)
     return docs.sparkSession.createDataFrame([], schema) if found is None else found
 
 
-def _search(index: ItemIndex, containment: float):
+def _search(build: Callable[[], ItemIndex], containment: float):
     def work(batch: pa.RecordBatch):
+        index = build()
         for part in slices(batch, "text"):
             hashes, bounds = shingle_hashes(*word_hashes(*text_buffers(part.column("text"))))
             rows, held = [], {}
@@ -172,14 +195,15 @@ def _search(index: ItemIndex, containment: float):
 
 def decontaminate(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """The rows of `docs`, all columns, whose texts hold no item. Each row is judged by its own text, whatever its id."""
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    for chunk in _chunks(items.filter("item_id is not null and text is not null").distinct().orderBy("item_id", "text")):
-        docs = arrow_map(docs, _clean(ItemIndex(chunk), containment), docs.schema)
+    chunks = ItemChunks(items)
+    for chunk in range(chunks.n):
+        docs = arrow_map(docs, _clean(chunks.index(chunk), containment), docs.schema)
     return docs
 
 
-def _clean(index: ItemIndex, containment: float):
+def _clean(build: Callable[[], ItemIndex], containment: float):
     def work(batch: pa.RecordBatch):
+        index = build()
         for part in slices(batch, "text"):
             texts = part.column("text")
             clean = np.ones(part.num_rows, dtype=bool)
