@@ -7,12 +7,16 @@ The end of a batch is written down before its rows are taken in, and again when
 finished with the end it had. The marks also tell where the next run begins. It first looks back: rows that came late, but no further
 behind the mark than `lookback` seconds, are taken in as a batch of their own, which the limit doesn't count.
 
+The rows after the mark are read once per run and kept beside the marks, sorted by cursor and key, so that a batch reads its own
+span of them instead of the whole source again.
+
 Rows with a NULL cursor belong to the first batch ever; later ones of that kind are not seen.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -119,15 +123,35 @@ def drain(
         n += 1
         take_in(read(since(end, lookback)).where(place <= pair(end)), n, end)
         batches += 1
+    pending = None
     while True:
         after = None
         if end is not None:
             after = spark.range(1).select(pair(end).alias("p")).first()["p"].asDict()
-        page = bounded_batch(read(since(end)), order, rows, after=after)
-        found = page.agg(F.to_json(F.max(place), options).alias("end"), F.count("*").alias("n")).first()
+        if pending is None:
+            pending = _stage(read(since(end)), order, f"{folder.rstrip('/')}-pending/{uuid.uuid4().hex}")
+        page = bounded_batch(pending, order, rows, after=after)
+        found = page.agg(
+            F.to_json(F.max(place), options).alias("end"), F.max(place).getField(cursor).alias("top"), F.count("*").alias("n")
+        ).first()
         if not found["n"]:
             return batches
         n, before, end = n + 1, end, json.dumps(json.loads(found["end"]))
         marks.write(n, end, done=False)
-        take_in(between(before, end), n, end)
+        # Bounds on the cursor alone reach the file scan of the sorted rows; the pair decides.
+        span = pending.where(place <= pair(end))
+        if found["top"] is not None:
+            span = span.where(F.col(f"`{cursor}`").isNull() | (F.col(f"`{cursor}`") <= F.lit(found["top"]).cast(kinds[cursor].dataType)))
+        if before is not None:
+            span = span.where(place > pair(before))
+            if after[cursor] is not None:
+                span = span.where(F.col(f"`{cursor}`") >= F.lit(after[cursor]).cast(kinds[cursor].dataType))
+        take_in(span, n, end)
         batches += 1
+
+
+def _stage(rows: DataFrame, order: Sequence[str], path: str) -> DataFrame:
+    """The rows written once, sorted by `order` across files, and read back."""
+    columns = [F.col(f"`{c}`") for c in order]
+    rows.repartitionByRange(*columns).sortWithinPartitions(*columns).write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
