@@ -74,16 +74,33 @@ def conform(
     derived = [fn(record.field).alias(f"__c_{name}") for name, fn in computed.items()]
     parsed = record.parse(df)
     extracted = parsed.select(*keep, record.problem().alias("__bad"), *taken_out, *derived)
+    # A plain value's kind, and its text where the kind is not that of its column, are each
+    # worked out once in a projection of their own: the lenient rules use them many times.
+    leaves = [i for i, f in enumerate(taken) if f.name not in as_text and not _is_nested(f.dataType)]
+    raw = [f"__f{i}" for i, f in enumerate(taken) if f.name not in as_text]
+    common = [*keep, "__bad", *raw, *[f"__c_{n}" for n in computed]]
+    every = [*keep, "__bad", *[f"__f{i}" for i in range(len(taken))], *[f"__c_{n}" for n in computed]]
+    kinds = extracted.select(*every, *[F.schema_of_variant(f"__f{i}").alias(f"__k{i}") for i in leaves])
+    texts = kinds.select(
+        *every,
+        *[f"__k{i}" for i in leaves],
+        *[
+            F.when(~_same(F.col(f"__k{i}"), taken[i].dataType), _text(F.col(f"__f{i}"), F.col(f"__k{i}"))).alias(f"__t{i}")
+            for i in leaves
+        ],
+    )
     built = []
     for i, f in enumerate(taken):
         if f.name in as_text:
             built.append(F.col(f"__f{i}").alias(f"__v{i}"))
             continue
         field = F.col(f"__f{i}")
-        value = _pair(field, f.dataType, f.name) if _is_nested(f.dataType) else _leaf(field, f.dataType)
+        if _is_nested(f.dataType):
+            value = _pair(field, f.dataType, f.name)
+        else:
+            value = _leaf(field, f.dataType, F.col(f"__k{i}"), F.col(f"__t{i}"))
         built.append(value.alias(f"__v{i}"))
-    raw = [f"__f{i}" for i, f in enumerate(taken) if f.name not in as_text]
-    converted = extracted.select(*keep, "__bad", *raw, *[f"__c_{n}" for n in computed], *built)
+    converted = texts.select(*common, *built)
 
     bad = F.col("__bad")
     values: dict[str, Column] = {}
@@ -223,10 +240,10 @@ def _present(v: Column) -> Column:
     return v.isNotNull() & ~F.is_variant_null(v)
 
 
-def _text(v: Column) -> Column:
+def _text(v: Column, kind: Column | None = None) -> Column:
     """Text of a value. Numbers and containers are written as JSON, which is cheaper than
     the cast of a VARIANT number to string."""
-    is_string = F.schema_of_variant(v) == "STRING"
+    is_string = (F.schema_of_variant(v) if kind is None else kind) == "STRING"
     return F.when(is_string, F.try_variant_get(v, "$", "string")).when(_present(v), F.to_json(v))
 
 
@@ -240,18 +257,24 @@ def _message(v: Column, dtype: T.DataType, path: str) -> Column:
     )
 
 
-def _leaf(v: Column, dtype: T.DataType) -> Column:
-    kind = F.schema_of_variant(v)
-    lenient = _scalar(_text(v), kind, dtype)
+def _same(kind: Column, dtype: T.DataType) -> Column:
+    """Whether a value of this JSON kind is read as the type directly."""
     if isinstance(dtype, (T.IntegerType, T.LongType)):
-        same = kind == "BIGINT"
-    elif isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-        same = (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
-    elif isinstance(dtype, T.BooleanType):
-        same = kind == "BOOLEAN"
-    else:
+        return kind == "BIGINT"
+    if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
+    if isinstance(dtype, T.BooleanType):
+        return kind == "BOOLEAN"
+    return F.lit(False)
+
+
+def _leaf(v: Column, dtype: T.DataType, kind: Column | None = None, text: Column | None = None) -> Column:
+    """`kind` and `text` may be given as worked out already: `text` only where `kind` is not the type's own."""
+    kind = F.schema_of_variant(v) if kind is None else kind
+    lenient = _scalar(_text(v, kind) if text is None else text, kind, dtype)
+    if not isinstance(dtype, (T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType, T.BooleanType)):
         return lenient
-    return F.when(same, F.try_variant_get(v, "$", dtype.simpleString())).otherwise(lenient)
+    return F.when(_same(kind, dtype), F.try_variant_get(v, "$", dtype.simpleString())).otherwise(lenient)
 
 
 def _check_supported(dtype: T.DataType, path: str) -> None:
