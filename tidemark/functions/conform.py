@@ -375,7 +375,7 @@ def _array(v: Column, dtype: T.ArrayType, path: str) -> Column:
     if dtype.containsNull:  # a single value stands for a list of one
         items = F.coalesce(items, F.array(v))
     if isinstance(dtype.elementType, T.StringType):
-        done = F.when(items.isNotNull(), _of(F.transform(items, _text), F.lit(None)))
+        done = F.when(items.isNotNull(), _of(F.transform(items, lambda x: _text(x)), F.lit(None)))
         return done if dtype.containsNull else done.otherwise(_wrong(v, dtype, path))
     pairs = F.transform(items, lambda x: _pair(x, dtype.elementType, f"{path}[]"))
 
