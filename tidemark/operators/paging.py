@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.conform import member
@@ -46,6 +46,21 @@ def bounded_batch(df: DataFrame, order: Sequence[str], rows: int, *, after: dict
     return df.orderBy(*order).limit(rows)
 
 
+def batch_ends(df: DataFrame, order: Sequence[str], position: str, rows: int, *, after: int, last: int) -> DataFrame:
+    """The ends of all batches of `rows` rows behind position `after`, in one pass, where `bounded_batch` gives the next one alone.
+
+    `position` numbers the rows in their order, without gaps up to `last`. Gives for each batch the position `upto` and the place `end` of its last
+    row, and whether the next row has the same place (`parted`).
+    """
+    place = F.struct(*[F.col(f"`{c}`") for c in order])
+    behind = F.col(position) - after - 1
+    edges = df.where((behind % rows == 0) | (behind % rows == rows - 1) | (F.col(position) == last))
+    edges = edges.select(F.col(position).alias("__at"), place.alias("__place"), F.floor(behind / F.lit(rows)).alias("__batch"))
+    ends = edges.groupBy("__batch").agg(F.min("__place").alias("__first"), F.max("__place").alias("end"), F.max("__at").alias("upto"))
+    following = F.lead("__first").over(Window.orderBy("__batch"))
+    return ends.select("upto", "end", F.coalesce(following == F.col("end"), F.lit(False)).alias("parted"))
+
+
 def batch_rows(per_page=None, max_pages=None) -> int:
     """Row cap from text options: page size kept in 1..100, unreadable text takes the default."""
 

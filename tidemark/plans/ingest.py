@@ -91,7 +91,7 @@ def _by_rows(table: TableDef, options: Mapping) -> bool:
     return asked and table.cursor is not None and table.ingestion_mode in (APPEND, CDC)
 
 
-def _drain(spark: SparkSession, source: TableSource, table: TableDef, options: Mapping, root: str, apply) -> None:
+def _drain(spark: SparkSession, source: TableSource, table: TableDef, options: Mapping, root: str, apply, prepare=None) -> None:
     limits = ("per_page", "max_pages_per_batch", "lookback_seconds")
     plain = {k: v for k, v in options.items() if k not in limits}
     back = options.get("lookback_seconds", LOOKBACK_SECONDS)
@@ -99,7 +99,7 @@ def _drain(spark: SparkSession, source: TableSource, table: TableDef, options: M
     if not cap:
         return
     read = lambda since: source.read(spark, table.name, since, plain)
-    drain(spark, read, table.cursor, table.keys, cap, apply, f"{root}/marks", lookback=int(back))
+    drain(spark, read, table.cursor, table.keys, cap, apply, f"{root}/marks", lookback=int(back), prepare=prepare)
 
 
 def _start(
@@ -122,7 +122,8 @@ def _start(
         apply_as_deletes=options.get("apply_as_deletes"),
     )
     if mode == CDC and _by_rows(table, options):
-        _drain(spark, source, table, options, root, lambda rows, n: target.upsert(rows, n, "rows"))
+        prepare = None if target.scd == "2" else lambda rows, number, last: target.prepare(rows, number, "rows", last=last)
+        _drain(spark, source, table, options, root, lambda rows, n: target.upsert(rows, n, "rows"), prepare)
         return Ingested(table, target, f"{root}/data")
     if mode == CDC:
         rows = source.read_stream(spark, table.name, options)

@@ -6,6 +6,10 @@ files of all other buckets stay as they are and belong to the new version too:
     <root>/data/<write>/__bucket=<b>/   rows of a bucket, as one write left them
     <root>/manifest/version=<n>/        one small file per version: the folders of every bucket, the columns, the writes taken in
 
+Many batches can be worked out together (`prepare`) and are then committed one by one: a version's bucket has parts then, which are
+folders with rows of several batches and the number up to which they count. Reads give the latest rows of these; the next write
+of the bucket, or the last batch of a run, makes plain rows of them.
+
 A version counts once its manifest is there; what a lost job left behind is referred to by none. Files never change, so a
 version and the difference between two of them read the same whenever they are asked for, as long as they are kept: the newest
 `keep_versions` are, and with each write the folders that only older ones refer to are removed. One writer per table.
@@ -19,7 +23,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Collection, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -29,10 +33,13 @@ from pyspark.sql import types as T
 from tidemark.operators.changes import DELETED, START, apply_changes, refresh_history
 from tidemark.operators.latest import latest_per_key, orderable
 from tidemark.operators.snapshot import apply_snapshot, open_history, snapshot_diff
+from tidemark.workspace import put_line
 
 BUCKET = "__bucket"
-#: Parts of a bucket's change log before they are written as one.
+#: Parts of a bucket, or of its change log, before they are written as one.
 LOG_PARTS = 16
+#: The batch of a row, in folders that hold several.
+NUMBER = "__batch"
 
 _WIDER = {
     T.ByteType(): [T.ShortType(), T.IntegerType(), T.LongType()],
@@ -117,8 +124,7 @@ class TargetTable:
         return manifest is not None and any(low <= number <= high for low, high in manifest["writes"].get(flow, []))
 
     def _commit(self, live: list[dict], manifest: dict) -> None:
-        text = self.spark.createDataFrame([(json.dumps(manifest),)], "manifest string")
-        text.coalesce(1).write.mode("overwrite").json(f"{self.root}/manifest/version={manifest['version']}")
+        put_line(self.spark, f"{self.root}/manifest/version={manifest['version']}/manifest.json", json.dumps({"manifest": json.dumps(manifest)}))
         self._forget([*live, manifest])
 
     def _forget(self, live: list[dict], keep: int | None = None) -> None:
@@ -136,6 +142,7 @@ class TargetTable:
         for entry in manifest["buckets"].values():
             yield from entry["rows"]
             yield from entry["log"]
+            yield from (path for path, _ in entry.get("parts", []))
 
     def _remove(self, path: str) -> None:
         jvm = self.spark._jvm
@@ -148,8 +155,8 @@ class TargetTable:
 
     # -- writing ---------------------------------------------------------------
 
-    def upsert(self, changes: DataFrame, batch_id: int, flow: str | None = None) -> None:
-        """Apply a batch of changes once, also if it is sent again under the same flow and number.
+    def upsert(self, changes: DataFrame, batch_id: int, flow: str | None = None) -> bool:
+        """Apply a batch of changes once, also if it is sent again under the same flow and number: False for a batch that is there.
 
         Only the buckets of the batch's keys are read and written. For type 2 each keeps its change log, because a late change can
         bring back a row that was folded away before; the histories of the batch's keys alone are worked out again.
@@ -160,7 +167,7 @@ class TargetTable:
         live = self._live()
         last = live[-1] if live else None
         if self._taken_in(last, flow, batch_id):
-            return
+            return False
         history = self.scd == "2"
         if history:
             rows = self._flagged(changes)
@@ -185,7 +192,7 @@ class TargetTable:
                 logs |= {b: [whole[b]] for b in long}
         else:
             logs = {}
-            stored = self._scan([p for e in old.values() for p in e["rows"]], schema) if old else None
+            stored = self._unmerged(old.values(), schema) if old else None
             done = batch if stored is None else latest_per_key(stored.unionByName(batch), self.keys, self.sequence)
         written = staged if not history and not old else self._write(done, last)
         entries = {
@@ -195,6 +202,54 @@ class TargetTable:
             for path in staged.values():
                 self._remove(path)
         self._commit(live, self._next(last, "batch", flow, batch_id, schema, done.schema, entries))
+        return True
+
+    def prepare(self, changes: DataFrame, number: str, flow: str | None = None, *, last: int | None = None) -> Callable[[int], None]:
+        """Work out many batches at once, which the column `number` tells apart; gives a function that commits one by its number.
+
+        For type 1. Each batch is reduced like one of `upsert`, and the rows of all are written once, by bucket. The commits come in the
+        order of the numbers and are versions like any others; with that of `last`, buckets that have parts become plain rows.
+        """
+        flow = flow or self.flow
+        if not self.keys or not self.sequence or self.scd == "2":
+            raise ValueError("batches are prepared for type 1, with key and sequence columns")
+        live = self._live()
+        rows = apply_changes(changes, [number, *self.keys], self.sequence, apply_as_deletes=self.deletes, keep_tombstones=True)
+        rows = rows.withColumn(number, F.col(f"`{number}`").cast("bigint")).withColumnRenamed(number, NUMBER)
+        staged, _ = self._stage(rows, live[-1] if live else None)
+        own = T.StructType([f for f in rows.schema.fields if f.name != NUMBER])
+        touched = self._touched(staged)
+
+        def commit(batch_id: int) -> None:
+            before = live[-1] if live else None
+            if self._taken_in(before, flow, batch_id):
+                return
+            schema = own if before is None else merged_schema(T.StructType.fromJson(before["log_schema"]), own)
+            have = before["buckets"] if before else {}
+            entries = {}
+            for b in touched.get(batch_id, ()):
+                old = have.get(b, {"rows": []})
+                parts = [p for p in old.get("parts", []) if p[0] != staged[b]]
+                entries[b] = {"rows": old["rows"], "log": [], "digest": None, "parts": [*parts, [staged[b], batch_id]]}
+            parted = {b: e for b, e in {**have, **entries}.items() if e.get("parts")}
+            whole = {b: e for b, e in parted.items() if batch_id == last or len(e["parts"]) > LOG_PARTS}
+            if whole:
+                written = self._write(latest_per_key(self._unmerged(whole.values(), schema), self.keys, self.sequence), before)
+                entries |= {b: {"rows": [written[b]], "log": [], "digest": None} for b in whole}
+            manifest = self._next(before, "batch", flow, batch_id, schema, schema, entries)
+            self._commit(live, manifest)
+            live[:] = [*live, manifest][-self.keep_versions :]
+
+        return commit
+
+    def _touched(self, staged: dict[str, str]) -> dict[int, Collection[str]]:
+        """The buckets that each of the prepared batches has rows in."""
+        if not staged:
+            return {}
+        folder = next(iter(staged.values())).rsplit("/", 1)[0]
+        rows = self.spark.read.schema(T.StructType().add(NUMBER, T.LongType()).add(BUCKET, T.IntegerType())).parquet(folder)
+        found = rows.groupBy(NUMBER).agg(F.collect_set(F.col(BUCKET).cast("string")).alias("buckets")).collect()
+        return {r[NUMBER]: r["buckets"] for r in found}
 
     def replace(self, snapshot: DataFrame, run_id: int, *, complete: bool = True) -> None:
         """Take in a snapshot once per run: current rows (type 1), or history with `run_id` as version (type 2).
@@ -214,7 +269,7 @@ class TargetTable:
         compared = {*touched, *have} if complete else touched
         differing = {b for b in compared if b not in have or digests.get(b) is None or digests[b] != have[b]["digest"]}
         new = self._scan([staged[b] for b in differing if b in staged], schema)
-        old = self._scan([p for b in differing if b in have for p in have[b]["rows"]], self._history_schema(schema, version) if history else schema)
+        old = self._merged([have[b] for b in differing if b in have], self._history_schema(schema, version) if history else schema)
         if history:
             done = open_history(new, version) if last is None else apply_snapshot(old, new, self.keys, complete=complete, scd_type=2, version=version)
         else:
@@ -230,7 +285,7 @@ class TargetTable:
     def _next(self, last: dict | None, kind: str, flow: str, number: int, log_schema, schema, entries: dict) -> dict:
         writes = dict(last["writes"]) if last else {}
         writes[flow] = _with_number(writes.get(flow, []), number)
-        buckets = {b: e for b, e in {**(last["buckets"] if last else {}), **entries}.items() if e["rows"] or e["log"]}
+        buckets = {b: e for b, e in {**(last["buckets"] if last else {}), **entries}.items() if e["rows"] or e["log"] or e.get("parts")}
         return {
             "version": last["version"] + 1 if last else 0, "kind": kind, "writes": writes, "n_buckets": self._count(last),
             "log_schema": json.loads(log_schema.json()), "schema": json.loads(schema.json()), "buckets": buckets,
@@ -259,6 +314,30 @@ class TargetTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def _unmerged(self, entries: Iterable[dict], schema: T.StructType) -> DataFrame:
+        """The rows of some buckets as their folders have them: with parts, one of a key from each batch that has it."""
+        entries = list(entries)
+        rows = self._scan([p for e in entries for p in e["rows"]], schema)
+        folders: dict[str, list[list]] = {}
+        for part in (p for e in entries for p in e.get("parts", [])):
+            folders.setdefault(part[0].rsplit("/", 1)[0], []).append(part)
+        numbered = T.StructType([*schema.fields, T.StructField(NUMBER, T.LongType())])
+        for parts in folders.values():
+            # A bucket that the last of these batches leaves alone has no rows of it, so that one bound holds for all.
+            upto = max(n for _, n in parts)
+            rows = rows.unionByName(self._scan([p for p, _ in parts], numbered).where(F.col(NUMBER) <= upto).drop(NUMBER))
+        return rows
+
+    def _merged(self, entries: Iterable[dict], schema: T.StructType) -> DataFrame:
+        """The rows of some buckets: a scan, but where buckets have parts the latest row of each key."""
+        entries = list(entries)
+        parted = [e for e in entries if e.get("parts")]
+        if not parted:
+            return self._unmerged(entries, schema)
+        rows = latest_per_key(self._unmerged(parted, schema), self.keys, self.sequence)
+        plain = [e for e in entries if not e.get("parts")]
+        return rows.unionByName(self._unmerged(plain, schema)) if plain else rows
+
     def _history_schema(self, schema: T.StructType, start=None) -> T.StructType:
         kind = T.LongType() if start is not None else schema[self.sequence[0]].dataType
         kept = [f for f in schema.fields if f.name != DELETED]
@@ -283,16 +362,18 @@ class TargetTable:
         """Stored rows as written: for type 2 every change, for type 1 the latest rows with tombstones."""
         m = self._at(version)
         history = self.scd == "2" and self.sequence
-        paths = [p for e in m["buckets"].values() for p in e["log" if history else "rows"]]
-        return self._scan(paths, T.StructType.fromJson(m["log_schema" if history else "schema"]))
+        schema = T.StructType.fromJson(m["log_schema" if history else "schema"])
+        if history:
+            return self._scan([p for e in m["buckets"].values() for p in e["log"]], schema)
+        return self._merged(m["buckets"].values(), schema)
 
     def read(self, version: int | None = None) -> DataFrame:
         """Current rows, or the history of a type 2 target: a scan of the version's files."""
         return self._rows(self._at(version))
 
     def _rows(self, manifest: dict, buckets: Iterable[str] | None = None, schema: T.StructType | None = None) -> DataFrame:
-        paths = [p for b, e in manifest["buckets"].items() if buckets is None or b in buckets for p in e["rows"]]
-        rows = self._scan(paths, schema or T.StructType.fromJson(manifest["schema"]))
+        entries = [e for b, e in manifest["buckets"].items() if buckets is None or b in buckets]
+        rows = self._merged(entries, schema or T.StructType.fromJson(manifest["schema"]))
         if DELETED in rows.columns:
             rows = rows.where(~F.coalesce(F.col(DELETED), F.lit(False))).drop(DELETED)
         return rows

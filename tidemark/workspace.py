@@ -45,3 +45,23 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             _local_folder = tempfile.mkdtemp(prefix="tidemark-")
         root = _local_folder
     return f"{root.rstrip('/')}/tidemark/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def put_line(spark: SparkSession, file: str, line: str) -> None:
+    """A file with one line of text: a small record that the driver has anyway, so no Spark job is run for it.
+
+    The file gets its name when it is whole, so that a reader sees all of it or nothing.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(file)
+    fresh = hadoop.Path(path.getParent(), f"_{uuid.uuid4().hex}")  # Spark's readers pass over such names
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(fresh, True)
+    try:
+        out.write(bytearray(f"{line}\n", "utf-8"))
+    finally:
+        out.close()
+    if not files.rename(fresh, path):  # not all file systems replace a file
+        files.delete(path, False)
+        if not files.rename(fresh, path):
+            raise OSError(f"{file} can't be written")
